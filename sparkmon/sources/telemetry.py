@@ -1,0 +1,110 @@
+"""Deterministic telemetry view over the ``events`` table, used where no sensor table exists."""
+
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
+
+from sparkmon import constants as K
+from sparkmon.functions import sensors
+
+# Hash factors of the noise term (event, user) and the ramp after day 18.
+NOISE = {
+    "temperature_c": (7919, 13),
+    "vibration_mm_s": (104729, 17),
+    "spindle_load_pct": (6101, 19),
+    "power_kw": (4409, 23),
+    "acoustic_db": (2203, 29),
+}
+SEVERITY_NOISE = (3571, 41)
+RAMP = {"temperature_c": 14.0, "vibration_mm_s": 2.5}
+RAMP_DAY = 18
+RAMP_DAYS = 12.0
+UNIFORM_WIDTH = 1.7320508
+SURROGATE_OFFSET = 4.0
+
+
+def _noise(event_factor: int, user_factor: int) -> Column:
+    mixed = F.col("seq") * event_factor + F.col("user_id") * user_factor
+    return mixed % 2001 - 1000
+
+
+def _sensor(name: str, clip: bool) -> Column:
+    spec = K.SENSOR_SPECS[name]
+    value = F.lit(spec["mean"]) + F.lit(spec["std"] * UNIFORM_WIDTH) * _noise(*NOISE[name]) / 1000.0
+    severity = 1.0 + 0.4 * _noise(*SEVERITY_NOISE) / 1000.0
+    for i, signature in enumerate(K.FAULTS.values()):
+        if name in signature:
+            affected = (F.col("label") == 1) & (F.col("fk") == i)
+            value = value + F.when(affected, signature[name] * severity).otherwise(0.0)
+    if name in RAMP:
+        past = F.greatest(F.lit(0.0), (F.dayofmonth("event_time") - RAMP_DAY) / RAMP_DAYS)
+        value = value + RAMP[name] * past
+    if clip:
+        value = F.least(F.greatest(value, F.lit(spec["lo"])), F.lit(spec["hi"]))
+    return value.alias(name)
+
+
+def telemetry(events: DataFrame, clip: bool = True) -> DataFrame:
+    """Sensor readings derived from each row of ``events``; a pure projection."""
+    user = F.col("user_id")
+    site = reduce(
+        lambda rest, i: F.when(user % 3 == i, K.SITES[i]).otherwise(rest), (1, 0), F.lit(K.SITES[2])
+    )
+    machine_type = reduce(
+        lambda rest, i: F.when(user % 4 == i, K.MACHINE_TYPES[i]).otherwise(rest),
+        (2, 1, 0),
+        F.lit(K.MACHINE_TYPES[3]),
+    )
+    faulty = (F.col("event_type") == "error") & (F.col("event_id") % 10 < 3)
+    base = events.select(
+        F.col("event_id").alias("seq"),
+        F.col("ts").alias("event_time"),
+        "user_id",
+        F.when(faulty, 1).otherwise(0).alias("label"),
+        ((F.col("event_id") + user) % 4).cast("int").alias("fk"),
+    )
+    return base.select(
+        F.col("seq").cast("string").alias("event_id"),
+        "event_time",
+        "seq",
+        site.alias("site"),
+        machine_type.alias("machine_type"),
+        F.concat(F.lit("M-"), user.cast("string")).alias("machine_id"),
+        *[_sensor(s, clip) for s in K.SENSORS],
+        "label",
+        F.when(F.col("label") == 1, F.col("fk")).alias("fault_k"),
+    )
+
+
+def fault_type(fault_k: str = "fault_k") -> Column:
+    """Name of the fault with the given position; NULL for healthy readings."""
+    return F.get(F.array(*[F.lit(f) for f in K.FAULTS]), F.col(fault_k))
+
+
+def as_events(view: DataFrame) -> DataFrame:
+    """The view in the column order of the event schema."""
+    return view.select(
+        "event_id",
+        "event_time",
+        "site",
+        "machine_id",
+        "machine_type",
+        *K.SENSORS,
+        "label",
+        fault_type().alias("fault_type"),
+    )
+
+
+def surrogate_probability(view: DataFrame) -> DataFrame:
+    """``anomaly_prob`` from the sum of elevated z-scores, a stand-in for a fitted model."""
+    elevation = reduce(
+        lambda a, b: a + b,
+        [
+            F.when(sensors.zscore(s) >= K.ELEVATED_Z, sensors.zscore(s)).otherwise(0.0)
+            for s in K.SENSORS
+        ],
+    )
+    return view.withColumn(
+        "anomaly_prob", 1.0 / (1.0 + F.exp(-(elevation - SURROGATE_OFFSET)))
+    )
