@@ -1,108 +1,109 @@
 """Per-reading column expressions: z-scores, elevation, fault match, severity, symptom.
 
-Everything here is a narrow projection; no reading is exploded or shuffled to be classified.
+Everything here is a narrow projection; no reading is exploded or shuffled to be classified. The
+expressions are SQL text, which costs one call per column when a micro-batch plan is built.
 """
 
-from functools import reduce
-
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sparkmon import constants as K
 
 
-def valid(column: str | Column) -> Column:
+def valid_sql(column: str) -> str:
     """NaN as NULL, so that aggregates skip it and comparisons with it are not true."""
-    column = F.col(column) if isinstance(column, str) else column
-    return F.nanvl(column, F.lit(None).cast("double"))
+    return f"nanvl({column}, CAST(NULL AS DOUBLE))"
+
+
+def valid(column: str) -> Column:
+    return F.expr(valid_sql(column))
 
 
-def zscore(sensor: str) -> Column:
+def zscore_sql(sensor: str) -> str:
     spec = K.SENSOR_SPECS[sensor]
-    return (valid(sensor) - spec["mean"]) / spec["std"]
+    return f"(({valid_sql(sensor)} - {spec['mean']}D) / {spec['std']}D)"
 
 
-def elevated_z(sensor: str, z_min: float = K.ELEVATED_Z) -> Column:
-    """Rounded z where the unrounded z reaches ``z_min``, else NULL."""
-    z = zscore(sensor)
-    return F.when(z >= z_min, F.round(z, 2))
+def out_of_spec(sensor: str) -> Column:
+    """Strictly outside the spec band; the bounds themselves are in spec."""
+    spec, value = K.SENSOR_SPECS[sensor], valid_sql(sensor)
+    return F.expr(f"{value} < {spec['lo']}D OR {value} > {spec['hi']}D")
+
+
+def with_elevation(events: DataFrame, z_min: float = K.ELEVATED_Z) -> DataFrame:
+    """Adds ``z_<sensor>``: the rounded z where the unrounded z reaches ``z_min``, else NULL."""
+    return events.selectExpr(
+        "*",
+        *[
+            f"CASE WHEN {zscore_sql(s)} >= {float(z_min)}D THEN round({zscore_sql(s)}, 2) END AS z_{s}"
+            for s in K.SENSORS
+        ],
+    )
+
 
+def elevated_sensors() -> Column:
+    """``array<struct<z, tie, sensor>>``, most elevated first, ties in sensor order.
 
-def elevated_sensors(z_min: float = K.ELEVATED_Z) -> Column:
-    """``array<struct<z, tie, sensor>>``, most elevated first, ties in sensor order."""
-    entries = [
-        F.when(
-            zscore(s) >= z_min,
-            F.struct(
-                F.round(zscore(s), 2).alias("z"), F.lit(-i).alias("tie"), F.lit(s).alias("sensor")
-            ),
-        )
+    Descending order puts the entries of normal sensors, which are NULL, last; the slice ends
+    before them.
+    """
+    entries = ", ".join(
+        f"CASE WHEN z_{s} IS NOT NULL THEN named_struct('z', z_{s}, 'tie', {-i}, 'sensor', '{s}') END"
         for i, s in enumerate(K.SENSORS)
-    ]
-    count = reduce(
-        lambda a, b: a + b,
-        [F.when(zscore(s) >= z_min, 1).otherwise(0) for s in K.SENSORS],
     )
-    # Descending order puts the NULL entries last, where the slice leaves them out.
-    return F.slice(F.sort_array(F.array(*entries), asc=False), F.lit(1), count)
+    count = " + ".join(f"CAST(z_{s} IS NOT NULL AS INT)" for s in K.SENSORS)
+    return F.expr(f"slice(sort_array(array({entries}), false), 1, {count})")
+
 
+def fault() -> Column:
+    """Fault whose signature gathers the highest sum of elevated z; first declared on ties.
 
-def fault(z_min: float = K.ELEVATED_Z) -> Column:
-    """Fault whose signature gathers the highest sum of elevated z; first declared on ties."""
-    candidates = []
+    The neutral entry precedes all faults in tie order, so a fault needs a positive score.
+    """
+    candidates = [f"named_struct('score', 0D, 'tie', 1, 'fault', '{K.NO_FAULT}')"]
     for i, (name, signature) in enumerate(K.FAULTS.items()):
-        score = reduce(
-            lambda a, b: a + b,
-            [F.coalesce(elevated_z(s, z_min), F.lit(0.0)) for s in signature],
-        )
-        candidates.append(
-            F.struct(score.alias("score"), F.lit(-i).alias("tie"), F.lit(name).alias("fault"))
-        )
-    best = F.greatest(*candidates)
-    return F.when(best["score"] > 0, best["fault"]).otherwise(K.NO_FAULT)
-
-
-def severity(prob: str | Column) -> Column:
-    prob = F.coalesce(valid(prob), F.lit(0.0))
-    return (
-        F.when(prob >= K.CRITICAL_PROB, "critical")
-        .when(prob >= K.WARNING_PROB, "warning")
-        .otherwise("watch")
-    )
+        score = " + ".join(f"coalesce(z_{s}, 0D)" for s in signature)
+        candidates.append(f"named_struct('score', {score}, 'tie', {-i}, 'fault', '{name}')")
+    return F.expr(f"greatest({', '.join(candidates)}).fault")
 
 
-def words(name: str | Column) -> Column:
-    return F.translate(name, "_", " ")
+def probability_sql(column: str = "anomaly_prob") -> str:
+    """A missing probability counts as zero."""
+    return f"coalesce({valid_sql(column)}, 0D)"
 
 
-def plain_number(value: Column) -> Column:
-    """Two-decimal value without exponent and with at least one decimal (``2.0``, ``1.25``)."""
-    return F.regexp_replace(value.cast("decimal(38,2)").cast("string"), "0$", "")
+def severity(column: str = "anomaly_prob") -> Column:
+    prob = probability_sql(column)
+    return F.expr(
+        f"CASE WHEN {prob} >= {K.CRITICAL_PROB} THEN 'critical' "
+        f"WHEN {prob} >= {K.WARNING_PROB} THEN 'warning' ELSE 'watch' END"
+    )
+
+
+def words(name: Column) -> Column:
+    return F.translate(name, "_", " ")
 
 
 def symptom(elevated: str, top: int = K.TOP_SYMPTOMS) -> Column:
-    """Text of the most elevated sensors of an ``elevated_sensors`` array."""
+    """Text of the most elevated sensors, such as ``power kw +2.0σ, acoustic db +1.25σ``.
+
+    The decimal type keeps large values free of an exponent; its last zero is dropped.
+    """
     parts = []
     for i in range(top):
-        entry = F.get(F.col(elevated), F.lit(i))
-        parts.append(
-            F.concat(words(entry["sensor"]), F.lit(" +"), plain_number(entry["z"]), F.lit("σ"))
-        )
-    return F.coalesce(F.nullif(F.concat_ws(", ", *parts), F.lit("")), F.lit(K.NO_SYMPTOM))
+        entry = f"get({elevated}, {i})"
+        z = f"regexp_replace(CAST(CAST({entry}.z AS DECIMAL(38, 2)) AS STRING), '0$', '')"
+        parts.append(f"concat(translate({entry}.sensor, '_', ' '), ' +', {z}, 'σ')")
+    return F.expr(f"coalesce(nullif(concat_ws(', ', {', '.join(parts)}), ''), '{K.NO_SYMPTOM}')")
 
 
-def query_text(z_min: float = K.ELEVATED_Z) -> Column:
+def query_text() -> Column:
     """Words of the machine type and of every elevated sensor, in sensor order.
 
     Bag-of-words retrieval ignores word order, so the fixed order keeps the number of distinct
     queries at (machine types) x 2^sensors however many readings there are.
     """
-    keywords = [F.when(zscore(s) >= z_min, K.SENSOR_KEYWORDS.get(s, s)) for s in K.SENSORS]
-    return F.concat_ws(" ", words("machine_type"), *keywords)
-
-
-def out_of_spec(sensor: str) -> Column:
-    """Strictly outside the spec band; the bounds themselves are in spec."""
-    spec = K.SENSOR_SPECS[sensor]
-    value = valid(sensor)
-    return (value < spec["lo"]) | (value > spec["hi"])
+    keywords = ", ".join(
+        f"CASE WHEN z_{s} IS NOT NULL THEN '{K.SENSOR_KEYWORDS.get(s, s)}' END" for s in K.SENSORS
+    )
+    return F.expr(f"concat_ws(' ', translate(machine_type, '_', ' '), {keywords})")

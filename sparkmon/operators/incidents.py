@@ -32,9 +32,8 @@ def top_alerts(alert_rows: DataFrame, n: int) -> DataFrame:
 
 def elevated_rows(events: DataFrame, z_min: float = K.ELEVATED_Z) -> DataFrame:
     """One row per elevated sensor of a reading, with its rank in the reading."""
-    return events.select(
-        "event_id", F.posexplode(sensors.elevated_sensors(z_min)).alias("pos", "entry")
-    ).select(
+    elevated = F.posexplode(sensors.elevated_sensors()).alias("pos", "entry")
+    return sensors.with_elevation(events, z_min).select("event_id", elevated).select(
         "event_id",
         (F.col("pos") + 1).alias("position"),
         F.col("entry.sensor").alias("sensor"),
@@ -45,11 +44,15 @@ def elevated_rows(events: DataFrame, z_min: float = K.ELEVATED_Z) -> DataFrame:
 def classify(alert_rows: DataFrame) -> DataFrame:
     """Fault, severity, symptom and retrieval query of every alert, without a shuffle."""
     return (
-        alert_rows.withColumn("elevated", sensors.elevated_sensors())
-        .withColumn("fault", sensors.fault())
-        .withColumn("severity", sensors.severity("anomaly_prob"))
+        sensors.with_elevation(alert_rows)
+        .select(
+            *alert_rows.columns,
+            sensors.elevated_sensors().alias("elevated"),
+            sensors.fault().alias("fault"),
+            sensors.severity().alias("severity"),
+            sensors.query_text().alias("query_text"),
+        )
         .withColumn("symptom", sensors.symptom("elevated"))
-        .withColumn("query_text", sensors.query_text())
     )
 
 
@@ -86,8 +89,9 @@ def grounding(
         .select(
             "query_text",
             "fault",
-            sensors.words(F.when(F.col("forced").isNull(), F.col("name")).otherwise(F.col("fault")))
-            .alias("likely_cause"),
+            sensors.words(
+                F.when(F.col("forced").isNull(), F.col("name")).otherwise(F.col("fault"))
+            ).alias("likely_cause"),
             "recommended_action",
             F.concat("name", F.lit(".md")).alias("source"),
             F.round(F.coalesce("score", F.lit(0.0)), 3).alias("retrieval_score"),
@@ -111,7 +115,7 @@ def incidents(
     classified = classify(alert_rows)
     queries = stage(classified.select("query_text", "fault").distinct(), "queries")
     answers = stage(grounding(queries, guides, stop_words), "grounding")
-    prob = F.coalesce(sensors.valid("anomaly_prob"), F.lit(0.0))
+    prob = F.expr(sensors.probability_sql())
     return classified.join(answers, ["query_text", "fault"]).select(
         "event_id",
         "machine_id",

@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sparkmon import constants as K
-from sparkmon.functions.sensors import valid
+from sparkmon.functions.sensors import valid_sql
 from sparkmon.operators.evaluate import evaluator
 from sparkmon.session import shared_dir
 
@@ -39,10 +39,7 @@ def random_split(df: DataFrame, fraction: float = K.TRAIN_FRACTION, seed: int =
 
 def is_scorable() -> Column:
     """Rows the feature assembler accepts: no sensor is NULL or NaN."""
-    condition = F.lit(True)
-    for s in K.SENSORS:
-        condition = condition & valid(s).isNotNull()
-    return condition
+    return F.expr(" AND ".join(f"{valid_sql(s)} IS NOT NULL" for s in K.SENSORS))
 
 
 def classifier(**params) -> GBTClassifier:

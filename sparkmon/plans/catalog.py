@@ -90,7 +90,9 @@ def elevated_sensors(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def fault_match(spark: SparkSession, folder: str) -> DataFrame:
-    return view(spark, folder).select("event_id", sensors.fault().alias("fault"))
+    return sensors.with_elevation(view(spark, folder)).select(
+        "event_id", sensors.fault().alias("fault")
+    )
 
 
 def symptom_severity(spark: SparkSession, folder: str) -> DataFrame:

@@ -4,49 +4,24 @@ from sparkmon import constants as K
 from sparkmon.functions.text import TOKEN_PATTERN, WHITESPACE
 from sparkmon.plans.catalog import CURSOR, REFERENCE_DAYS, TOP_N
 from sparkmon.sources.files import packaged_texts
-from sparkmon.sources.telemetry import NOISE, RAMP, RAMP_DAY, SEVERITY_NOISE, SURROGATE_OFFSET, UNIFORM_WIDTH
+from sparkmon.sources.telemetry import (
+    FAULT_INDEX,
+    LABEL,
+    identity_sql,
+    number,
+    sensor_sql,
+    surrogate_sql,
+)
 
 
 def quote(text: str) -> str:
     return "'" + text.replace("'", "''") + "'"
 
 
-def number(value: float) -> str:
-    return f"{value!r}e0"
-
-
-def noise(a: int, b: int) -> str:
-    return f"(((event_id*{a} + user_id*{b}) % 2001) - 1000)"
-
-
-def sensor_sql(name: str, clip: bool) -> str:
-    spec = K.SENSOR_SPECS[name]
-    text = f"{number(spec['mean'])} + {number(spec['std'])}*{number(UNIFORM_WIDTH)}*{noise(*NOISE[name])} / 1000e0"
-    for i, signature in enumerate(K.FAULTS.values()):
-        if name in signature:
-            text += (
-                f" + CASE WHEN label=1 AND fk={i} THEN {number(signature[name])}"
-                f"*(1e0 + 0.4e0*{noise(*SEVERITY_NOISE)} / 1000e0) ELSE 0e0 END"
-            )
-    if name in RAMP:
-        text += f" + {number(RAMP[name])}*greatest(0e0,(day(ts)-{RAMP_DAY})/12e0)"
-    if clip:
-        text = f"least(greatest({text},{number(spec['lo'])}),{number(spec['hi'])})"
-    return f"{text} AS {name}"
-
-
 def view_sql(clip: bool = True) -> str:
-    sites = K.SITES
-    types = K.MACHINE_TYPES
-    columns = ",\n ".join(sensor_sql(s, clip) for s in K.SENSORS)
-    return f"""SELECT CAST(event_id AS VARCHAR) AS event_id, ts AS event_time,
- CASE user_id%3 WHEN 0 THEN '{sites[0]}' WHEN 1 THEN '{sites[1]}' ELSE '{sites[2]}' END AS site,
- CASE user_id%4 WHEN 0 THEN '{types[0]}' WHEN 1 THEN '{types[1]}' WHEN 2 THEN '{types[2]}' ELSE '{types[3]}' END AS machine_type,
- concat('M-',CAST(user_id AS VARCHAR)) AS machine_id,
- {columns},
- label, CASE WHEN label=1 THEN fk END AS fault_k
- FROM (SELECT *, CASE WHEN event_type='error' AND event_id%10<3 THEN 1 ELSE 0 END AS label,
-  (event_id+user_id)%4 AS fk FROM events) e"""
+    columns = ",\n ".join([*identity_sql(), *[sensor_sql(s, clip) for s in K.SENSORS]])
+    return f"""SELECT {columns}, label, CASE WHEN label = 1 THEN fk END AS fault_k
+ FROM (SELECT *, {LABEL} AS label, {FAULT_INDEX} AS fk FROM events) e"""
 
 
 def z(sensor: str) -> str:
@@ -74,10 +49,8 @@ def per_sensor(template: str, source: str) -> str:
     )
 
 
-ELEVATION = " + ".join(f"CASE WHEN {z(s)} >= 1 THEN {z(s)} ELSE 0e0 END" for s in K.SENSORS)
-PROBABILITY = f"1e0/(1e0+exp(-(({ELEVATION}) - {number(SURROGATE_OFFSET)})))"
 VIEW = f"WITH tel AS ({view_sql()})"
-SCORED = f"{VIEW}, scored AS (SELECT *, {PROBABILITY} AS anomaly_prob FROM tel)"
+SCORED = f"{VIEW}, scored AS (SELECT *, {surrogate_sql()} AS anomaly_prob FROM tel)"
 ALERTS = f"{SCORED}, alerts AS (SELECT * FROM scored WHERE anomaly_prob >= {K.ALERT_PROB_THRESHOLD})"
 WINDOWS = """SELECT time_bucket(INTERVAL '{w}', event_time) AS window_start,
  time_bucket(INTERVAL '{w}', event_time) + INTERVAL '{w}' AS window_end, site, machine_type,
@@ -292,7 +265,7 @@ ORACLES: dict[str, str] = {
     "WHERE window_end <= (SELECT date_trunc('milliseconds', max(event_time)) - INTERVAL '2 minutes' FROM tel)",
     "stream_alerts": f"{ALERTS} SELECT {EVENT_COLUMNS}, {rounded([*K.SENSORS, 'anomaly_prob'])}, "
     "CAST(0 AS BIGINT) AS batch_id FROM alerts",
-    "stream_drift": f"WITH tel AS ({view_sql()}), scored AS (SELECT *, {PROBABILITY} AS anomaly_prob FROM tel), "
+    "stream_drift": f"WITH tel AS ({view_sql()}), scored AS (SELECT *, {surrogate_sql()} AS anomaly_prob FROM tel), "
     f"{DRIFT.replace('day(event_time) AS batch_id', 'CAST(0 AS BIGINT) AS batch_id')} "
     "SELECT * FROM summary",
 }

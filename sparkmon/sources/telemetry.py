@@ -1,12 +1,9 @@
 """Deterministic telemetry view over the ``events`` table, used where no sensor table exists."""
 
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sparkmon import constants as K
-from sparkmon.functions import sensors
 
 # Hash factors of the noise term (event, user) and the ramp after day 18.
 NOISE = {
@@ -19,67 +16,65 @@ NOISE = {
 SEVERITY_NOISE = (3571, 41)
 RAMP = {"temperature_c": 14.0, "vibration_mm_s": 2.5}
 RAMP_DAY = 18
-RAMP_DAYS = 12.0
 UNIFORM_WIDTH = 1.7320508
 SURROGATE_OFFSET = 4.0
 
+# The expressions below are common to Spark SQL and other engines; ``e0`` keeps them in double.
+LABEL = "CASE WHEN event_type = 'error' AND event_id % 10 < 3 THEN 1 ELSE 0 END"
+FAULT_INDEX = "(event_id + user_id) % 4"
+
+
+def number(value: float) -> str:
+    return f"{value!r}e0"
+
 
-def _noise(event_factor: int, user_factor: int) -> Column:
-    mixed = F.col("seq") * event_factor + F.col("user_id") * user_factor
-    return mixed % 2001 - 1000
+def _noise(factors: tuple[int, int]) -> str:
+    return f"(((event_id*{factors[0]} + user_id*{factors[1]}) % 2001) - 1000) / 1000e0"
 
 
-def _sensor(name: str, clip: bool) -> Column:
+def sensor_sql(name: str, clip: bool = True) -> str:
+    """Reading of one sensor: uniform noise, fault shift, drift ramp, optional clipping."""
     spec = K.SENSOR_SPECS[name]
-    value = F.lit(spec["mean"]) + F.lit(spec["std"] * UNIFORM_WIDTH) * _noise(*NOISE[name]) / 1000.0
-    severity = 1.0 + 0.4 * _noise(*SEVERITY_NOISE) / 1000.0
+    width = f"{number(spec['std'])}*{number(UNIFORM_WIDTH)}"
+    terms = [number(spec["mean"]), f"{width}*{_noise(NOISE[name])}"]
     for i, signature in enumerate(K.FAULTS.values()):
         if name in signature:
-            affected = (F.col("label") == 1) & (F.col("fk") == i)
-            value = value + F.when(affected, signature[name] * severity).otherwise(0.0)
+            shift = f"{number(signature[name])}*(1e0 + 0.4e0*{_noise(SEVERITY_NOISE)})"
+            terms.append(f"CASE WHEN label = 1 AND fk = {i} THEN {shift} ELSE 0e0 END")
     if name in RAMP:
-        past = F.greatest(F.lit(0.0), (F.dayofmonth("event_time") - RAMP_DAY) / RAMP_DAYS)
-        value = value + RAMP[name] * past
+        terms.append(f"{number(RAMP[name])}*greatest(0e0, (day(ts) - {RAMP_DAY})/12e0)")
+    value = " + ".join(terms)
     if clip:
-        value = F.least(F.greatest(value, F.lit(spec["lo"])), F.lit(spec["hi"]))
-    return value.alias(name)
+        value = f"least(greatest({value}, {number(spec['lo'])}), {number(spec['hi'])})"
+    return f"{value} AS {name}"
+
+
+def identity_sql() -> list[str]:
+    site = " ".join(f"WHEN {i} THEN '{s}'" for i, s in enumerate(K.SITES[:-1]))
+    kind = " ".join(f"WHEN {i} THEN '{m}'" for i, m in enumerate(K.MACHINE_TYPES[:-1]))
+    return [
+        "CAST(event_id AS VARCHAR(20)) AS event_id",
+        "ts AS event_time",
+        f"CASE user_id % {len(K.SITES)} {site} ELSE '{K.SITES[-1]}' END AS site",
+        f"CASE user_id % {len(K.MACHINE_TYPES)} {kind} ELSE '{K.MACHINE_TYPES[-1]}' END AS machine_type",
+        "concat('M-', CAST(user_id AS VARCHAR(20))) AS machine_id",
+    ]
 
 
 def telemetry(events: DataFrame, clip: bool = True) -> DataFrame:
     """Sensor readings derived from each row of ``events``; a pure projection."""
-    user = F.col("user_id")
-    site = reduce(
-        lambda rest, i: F.when(user % 3 == i, K.SITES[i]).otherwise(rest), (1, 0), F.lit(K.SITES[2])
-    )
-    machine_type = reduce(
-        lambda rest, i: F.when(user % 4 == i, K.MACHINE_TYPES[i]).otherwise(rest),
-        (2, 1, 0),
-        F.lit(K.MACHINE_TYPES[3]),
-    )
-    faulty = (F.col("event_type") == "error") & (F.col("event_id") % 10 < 3)
-    base = events.select(
-        F.col("event_id").alias("seq"),
-        F.col("ts").alias("event_time"),
-        "user_id",
-        F.when(faulty, 1).otherwise(0).alias("label"),
-        ((F.col("event_id") + user) % 4).cast("int").alias("fk"),
-    )
-    return base.select(
-        F.col("seq").cast("string").alias("event_id"),
-        "event_time",
-        "seq",
-        site.alias("site"),
-        machine_type.alias("machine_type"),
-        F.concat(F.lit("M-"), user.cast("string")).alias("machine_id"),
-        *[_sensor(s, clip) for s in K.SENSORS],
+    return events.selectExpr("*", f"{LABEL} AS label", f"{FAULT_INDEX} AS fk").selectExpr(
+        *identity_sql(),
+        *[sensor_sql(s, clip) for s in K.SENSORS],
         "label",
-        F.when(F.col("label") == 1, F.col("fk")).alias("fault_k"),
+        "CASE WHEN label = 1 THEN fk END AS fault_k",
     )
 
 
 def fault_type(fault_k: str = "fault_k") -> Column:
     """Name of the fault with the given position; NULL for healthy readings."""
-    return F.get(F.array(*[F.lit(f) for f in K.FAULTS]), F.col(fault_k))
+    names = ", ".join(f"'{f}'" for f in K.FAULTS)
+    return F.expr(f"get(array({names}), CAST({fault_k} AS INT))")
 
 
 def as_events(view: DataFrame) -> DataFrame:
@@ -96,15 +91,15 @@ def as_events(view: DataFrame) -> DataFrame:
     )
 
 
+def surrogate_sql() -> str:
+    """Logistic function of the sum of elevated z-scores."""
+    parts = []
+    for s, spec in K.SENSOR_SPECS.items():
+        z = f"(({s} - {number(spec['mean'])})/{number(spec['std'])})"
+        parts.append(f"CASE WHEN {z} >= {number(K.ELEVATED_Z)} THEN {z} ELSE 0e0 END")
+    return f"1e0/(1e0 + exp(-(({' + '.join(parts)}) - {number(SURROGATE_OFFSET)})))"
+
+
 def surrogate_probability(view: DataFrame) -> DataFrame:
-    """``anomaly_prob`` from the sum of elevated z-scores, a stand-in for a fitted model."""
-    elevation = reduce(
-        lambda a, b: a + b,
-        [
-            F.when(sensors.zscore(s) >= K.ELEVATED_Z, sensors.zscore(s)).otherwise(0.0)
-            for s in K.SENSORS
-        ],
-    )
-    return view.withColumn(
-        "anomaly_prob", 1.0 / (1.0 + F.exp(-(elevation - SURROGATE_OFFSET)))
-    )
+    """``anomaly_prob`` as a stand-in for a fitted model."""
+    return view.selectExpr("*", f"{surrogate_sql()} AS anomaly_prob")

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from sparkmon import constants as K
-from sparkmon.functions.sensors import valid
+from sparkmon.functions.sensors import valid_sql
 from sparkmon.operators.drift import batch_statistics, drift_detail, drift_summary
 from sparkmon.operators.incidents import alerts
 from sparkmon.operators.windows import window_metrics
@@ -48,7 +48,10 @@ def score_rows(batch: DataFrame, score: Scorer) -> DataFrame:
     """
     held = batch.select(*IDENTITY, F.struct(*K.SENSORS).alias("reading"), is_valid().alias("valid"))
     filled = held.withColumns(
-        {s: F.coalesce(valid(f"reading.{s}"), F.lit(K.SENSOR_SPECS[s]["mean"])) for s in K.SENSORS}
+        {
+            s: F.expr(f"coalesce({valid_sql(f'reading.{s}')}, {K.SENSOR_SPECS[s]['mean']}D)")
+            for s in K.SENSORS
+        }
     )
     return score(filled).select(
         *IDENTITY, "reading.*", F.when(F.col("valid"), F.col("anomaly_prob")).alias("anomaly_prob")
