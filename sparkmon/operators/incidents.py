@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from sparkmon import constants as K
 from sparkmon.functions import sensors
 from sparkmon.functions.text import guide_action
-from sparkmon.operators.retrieval import best_document, cosine_scores
+from sparkmon.operators.retrieval import cosine_scores
 from sparkmon.session import stage
 
 
@@ -65,37 +65,41 @@ def grounding(
     most similar guide and adopts it as the cause.
     """
     texts = queries.select("query_text", F.col("query_text").alias("words")).distinct()
-    scores = stage(
-        cosine_scores(guides, "name", "text", texts, "query_text", "words", stop_words), "scores"
-    )
-    best = best_document(scores, "query_text", "name").select(
-        "query_text", F.col("name").alias("retrieved")
+    scores = cosine_scores(
+        guides, "name", "text", texts, "query_text", "words", stop_words, small_corpus=True
     )
     mapping = F.create_map(*[F.lit(x) for pair in K.FAULT_GUIDES.items() for x in pair])
-    known = guides.select(F.col("name").alias("forced"), F.lit(True).alias("known"))
-    first = guides.select(F.min("name")).scalar()
+    asked = queries.withColumn("forced", F.try_element_at(mapping, F.col("fault")))
+    key = ["query_text", "fault", "forced"]
+    # Guides without a shared token score zero: the forced one, and the first one as a last resort.
+    names = guides.select("name")
+    similar = asked.join(scores, "query_text").select(*key, "name", "score")
+    forced = asked.join(names, F.col("forced") == F.col("name")).withColumn("score", F.lit(0.0))
+    first = asked.select(
+        *key, names.select(F.min("name")).scalar().alias("name"), F.lit(0.0).alias("score")
+    )
+    order = F.struct(
+        F.coalesce(F.col("name") != F.col("forced"), F.lit(True)).alias("other"),
+        (-F.col("score")).alias("negated"),
+        "name",
+    )
     chosen = (
-        queries.withColumn("forced", F.try_element_at(mapping, F.col("fault")))
-        .join(known, "forced", "left")
-        .join(best, "query_text", "left")
-        .withColumn(
-            "name", F.when(F.col("known"), F.col("forced")).otherwise(F.coalesce("retrieved", first))
-        )
+        similar.unionByName(forced)
+        .unionByName(first)
+        .groupBy(*key)
+        .agg(F.min(order).alias("best"))
+        .select(*key, "best.name", (-F.col("best.negated")).alias("score"))
     )
     actions = guides.select("name", guide_action("text").alias("recommended_action"))
-    return (
-        chosen.join(actions, "name")
-        .join(scores, ["query_text", "name"], "left")
-        .select(
-            "query_text",
-            "fault",
-            sensors.words(
-                F.when(F.col("forced").isNull(), F.col("name")).otherwise(F.col("fault"))
-            ).alias("likely_cause"),
-            "recommended_action",
-            F.concat("name", F.lit(".md")).alias("source"),
-            F.round(F.coalesce("score", F.lit(0.0)), 3).alias("retrieval_score"),
-        )
+    return chosen.join(actions, "name").select(
+        "query_text",
+        "fault",
+        sensors.words(
+            F.when(F.col("forced").isNull(), F.col("name")).otherwise(F.col("fault"))
+        ).alias("likely_cause"),
+        "recommended_action",
+        F.concat("name", F.lit(".md")).alias("source"),
+        F.round("score", 3).alias("retrieval_score"),
     )
 
 

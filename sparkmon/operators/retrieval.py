@@ -59,15 +59,19 @@ def cosine_scores(
     query_id: str,
     query_text: str,
     stop_words: list[str] | None = None,
+    small_corpus: bool = False,
 ) -> DataFrame:
     """``(query_id, doc_id, score)`` for every pair that shares a token.
 
     The corpus is shuffled once, as text, by ``doc_id``. Term counts, norms and scores are then
     computed per document without a further exchange as long as the factor table fits a broadcast;
     it is staged first, so Catalyst knows its true size and otherwise joins by token with AQE
-    splitting the partitions of frequent tokens.
+    splitting the partitions of frequent tokens. The idf table is staged too, unless the corpus
+    is small enough to be tokenised twice.
     """
-    idf = stage(term_weights(corpus, text, stop_words), "idf")
+    idf = term_weights(corpus, text, stop_words)
+    if not small_corpus:
+        idf = stage(idf, "idf")
     weights = query_weights(queries, query_id, query_text, idf, stop_words)
     # One factor per (token, query), plus one per token with no query that yields the norm.
     factors = stage(
