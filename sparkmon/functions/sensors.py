@@ -81,19 +81,20 @@ def severity(column: str = "anomaly_prob") -> Column:
 
 
 def words(name: Column) -> Column:
-    return F.translate(name, "_", " ")
+    return F.replace(name, F.lit("_"), F.lit(" "))
 
 
 def symptom(elevated: str, top: int = K.TOP_SYMPTOMS) -> Column:
     """Text of the most elevated sensors, such as ``power kw +2.0σ, acoustic db +1.25σ``.
 
-    The decimal type keeps large values free of an exponent; its last zero is dropped.
+    From ten million on, the text of a double has an exponent; the decimal type has none.
     """
     parts = []
     for i in range(top):
-        entry = f"get({elevated}, {i})"
-        z = f"regexp_replace(CAST(CAST({entry}.z AS DECIMAL(38, 2)) AS STRING), '0$', '')"
-        parts.append(f"concat(translate({entry}.sensor, '_', ' '), ' +', {z}, 'σ')")
+        z = f"get({elevated}, {i}).z"
+        large = f"regexp_replace(CAST(CAST({z} AS DECIMAL(38, 2)) AS STRING), '0$', '')"
+        text = f"CASE WHEN {z} < 1e7 THEN CAST({z} AS STRING) ELSE {large} END"
+        parts.append(f"concat(replace(get({elevated}, {i}).sensor, '_', ' '), ' +', {text}, 'σ')")
     return F.expr(f"coalesce(nullif(concat_ws(', ', {', '.join(parts)}), ''), '{K.NO_SYMPTOM}')")
 
 
@@ -106,4 +107,4 @@ def query_text() -> Column:
     keywords = ", ".join(
         f"CASE WHEN z_{s} IS NOT NULL THEN '{K.SENSOR_KEYWORDS.get(s, s)}' END" for s in K.SENSORS
     )
-    return F.expr(f"concat_ws(' ', translate(machine_type, '_', ' '), {keywords})")
+    return F.expr(f"concat_ws(' ', replace(machine_type, '_', ' '), {keywords})")

@@ -38,11 +38,12 @@ def guide_action(text: str | Column) -> Column:
     text = F.col(text) if isinstance(text, str) else text
     sections = F.filter(
         F.split(text, "## "),
-        lambda c: F.lower(c).startswith(K.ACTION_HEADING) & c.contains("\n"),
+        lambda c: (F.lower(F.substring(c, 1, len(K.ACTION_HEADING))) == K.ACTION_HEADING)
+        & c.contains("\n"),
     )
     section = F.get(sections, F.lit(0))
     body = F.substring(section, F.locate("\n", section) + 1, F.length(section))
-    paragraph = F.translate(strip(body), "\n", " ")
+    paragraph = F.replace(strip(body), F.lit("\n"), F.lit(" "))
     return F.coalesce(paragraph, F.substring(strip(text), 1, K.ACTION_FALLBACK_CHARS))
 
 

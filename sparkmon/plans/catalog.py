@@ -32,7 +32,7 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
 
 
 def view(spark: SparkSession, folder: str, clip: bool = True) -> DataFrame:
-    return telemetry(table(spark, folder, "events"), clip)
+    return telemetry(spread(table(spark, folder, "events")), clip)
 
 
 def scored(spark: SparkSession, folder: str) -> DataFrame:
@@ -122,9 +122,10 @@ def sectioned_documents(spark: SparkSession, folder: str) -> DataFrame:
     """Documents laid out as guides; every third one is left without sections."""
     heading = F.concat(F.lit("# "), F.col("source"), F.lit("\n\n## Symptoms\n"), F.col("text"))
     action = F.concat(F.lit("\n\n## Recommended Action\n  "), F.col("text"), F.lit("\n"))
-    return table(spark, folder, "documents").select(
+    sectioned = F.concat(heading, action)
+    return spread(table(spark, folder, "documents")).select(
         "doc_id",
-        F.when(F.col("doc_id") % 3 == 0, F.col("text")).otherwise(F.concat(heading, action)).alias("text"),
+        F.when(F.col("doc_id") % 3 == 0, F.col("text")).otherwise(sectioned).alias("text"),
     )
 
 
@@ -297,9 +298,7 @@ def stream_drift(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def gbt_training_rows(spark: SparkSession, folder: str) -> DataFrame:
-    return spread(table(spark, folder, "events")).transform(telemetry).transform(
-        lambda v: until_day(v, TRAIN_DAYS)
-    )
+    return until_day(view(spark, folder), TRAIN_DAYS)
 
 
 def gbt_scores(spark: SparkSession, folder: str) -> DataFrame:
