@@ -7,7 +7,7 @@ from sparkmon import constants as K
 from sparkmon.functions import sensors
 from sparkmon.functions.text import guide_action
 from sparkmon.operators.retrieval import cosine_scores
-from sparkmon.session import stage
+from sparkmon.session import broadcast_if_small, stage
 
 
 def alerts(scored: DataFrame, threshold: float = K.ALERT_PROB_THRESHOLD) -> DataFrame:
@@ -112,7 +112,7 @@ def incidents(
     """One report per alert.
 
     Retrieval runs on the distinct queries only, at most (machine types) x 2^sensors of them. The
-    staged answers are joined back by Catalyst according to their size.
+    staged answers are joined back by broadcast if their size allows it.
     """
     if top_n:
         alert_rows = top_alerts(alert_rows, top_n)
@@ -120,7 +120,7 @@ def incidents(
     queries = stage(classified.select("query_text", "fault").distinct(), "queries")
     answers = stage(grounding(queries, guides, stop_words), "grounding")
     prob = F.expr(sensors.probability_sql())
-    return classified.join(answers, ["query_text", "fault"]).select(
+    return classified.join(broadcast_if_small(answers), ["query_text", "fault"]).select(
         "event_id",
         "machine_id",
         "site",

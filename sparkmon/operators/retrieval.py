@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from sparkmon.functions.text import is_content, tokens
-from sparkmon.session import stage
+from sparkmon.session import broadcast_if_small, stage
 
 SCORE_DECIMALS = 9
 
@@ -64,8 +64,8 @@ def cosine_scores(
     """``(query_id, doc_id, score)`` for every pair that shares a token.
 
     The corpus is shuffled once, as text, by ``doc_id``. Term counts, norms and scores are then
-    computed per document without a further exchange as long as the factor table fits a broadcast;
-    it is staged first, so Catalyst knows its true size and otherwise joins by token with AQE
+    computed per document without a further exchange as long as the factor table fits a broadcast.
+    It is staged first, so its size is known; beyond the limit the join is by token, with AQE
     splitting the partitions of frequent tokens. The idf table is staged too, unless the corpus
     is small enough to be tokenised twice.
     """
@@ -92,7 +92,7 @@ def cosine_scores(
     )
     part = F.col("tf") * F.col("factor")
     sums = (
-        counts.join(factors, "token")
+        counts.join(broadcast_if_small(factors), "token")
         .groupBy(doc_id, query_id)
         .agg(F.sum(F.when(F.col(query_id).isNull(), part * part).otherwise(part)).alias("total"))
     )

@@ -5,6 +5,7 @@ import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
@@ -72,9 +73,9 @@ def fresh_dir(spark: SparkSession, label: str) -> str:
 def stage(df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` as Parquet in the shared folder and read it back.
 
-    The written files cut the lineage, survive the loss of executors and give Catalyst the true
-    size, so that a later join is a broadcast only below ``spark.sql.autoBroadcastJoinThreshold``
-    and otherwise a shuffled join with skew splitting.
+    The written files cut the lineage, survive the loss of executors and have a known size, from
+    which :func:`broadcast_if_small` and Catalyst choose between a broadcast and a shuffled join
+    with skew splitting.
     """
     spark = df.sparkSession
     path = fresh_dir(spark, label)
@@ -82,6 +83,20 @@ def stage(df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def _planned_size(df: DataFrame) -> int:
+    return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
+
+
+def broadcast_if_small(staged: DataFrame) -> DataFrame:
+    """Hint a broadcast of a staged table whose files are within the session's broadcast limit.
+
+    Catalyst does not foresee how ``explode`` multiplies rows and may pick the wrong side of a
+    join with exploded text. Beyond the limit the join is left to it, as a shuffled one.
+    """
+    limit = staged.sparkSession._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold()
+    return F.broadcast(staged) if _planned_size(staged) <= limit else staged
+
+
 def spread(df: DataFrame) -> DataFrame:
     """Deal the rows of a small table out to all slots.
 
@@ -91,8 +106,5 @@ def spread(df: DataFrame) -> DataFrame:
     """
     spark = df.sparkSession
     slots = spark.sparkContext.defaultParallelism
-    size = int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
-    split = spark._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(
-        spark.conf.get("spark.sql.files.maxPartitionBytes")
-    )
-    return df.repartition(slots) if size < slots * split else df
+    split = spark._jsparkSession.sessionState().conf().filesMaxPartitionBytes()
+    return df.repartition(slots) if _planned_size(df) < slots * split else df
