@@ -4,6 +4,7 @@ from dataclasses import dataclass
 
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from sparkmon import constants as K
@@ -102,7 +103,7 @@ def report(
 ) -> DataFrame:
     """Write incidents and summary of a finished stream; returns the summary row."""
     alerts = files.read_alerts(spark, layout.alerts)
-    ranked = incidents(alerts, guides, top_n).orderBy("alert_prob", ascending=False)
+    ranked = incidents(alerts, guides, top_n).orderBy(F.col("alert_prob").desc(), F.col("event_id"))
     write_json(ranked, layout.incidents)
     summary = run_summary(
         events,
