@@ -9,9 +9,10 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from sparkmon.functions.text import is_content, tokens
-from sparkmon.session import broadcast_if_small, stage
+from sparkmon.session import broadcast_if_small, is_small, stage
 
 SCORE_DECIMALS = 9
+HOT_TOKENS = 20_000
 
 
 def term_weights(corpus: DataFrame, text: str, stop_words: list[str] | None = None) -> DataFrame:
@@ -44,11 +45,11 @@ def query_weights(
         .groupBy(query_id, "token")
         .agg(F.count(F.lit(1)).alias("tf"))
     )
-    raw = counts.join(idf.select("token", "idf"), "token").withColumn(
+    raw = counts.join(idf, "token").withColumn(
         "raw", F.col("tf") * F.col("idf")
     )
     norm = F.sqrt(F.sum(F.col("raw") * F.col("raw")).over(Window.partitionBy(query_id)))
-    return raw.select(query_id, "token", (F.col("raw") / norm).alias("weight"), "idf")
+    return raw.select(query_id, "token", (F.col("raw") / norm).alias("weight"), "idf", "df")
 
 
 def cosine_scores(
@@ -60,14 +61,15 @@ def cosine_scores(
     query_text: str,
     stop_words: list[str] | None = None,
     small_corpus: bool = False,
+    hot_tokens: int = HOT_TOKENS,
 ) -> DataFrame:
     """``(query_id, doc_id, score)`` for every pair that shares a token.
 
     The corpus is shuffled once, as text, by ``doc_id``. Term counts, norms and scores are then
-    computed per document without a further exchange as long as the factor table fits a broadcast.
-    It is staged first, so its size is known; beyond the limit the join is by token, with AQE
-    splitting the partitions of frequent tokens. The idf table is staged too, unless the corpus
-    is small enough to be tokenised twice.
+    computed per document without a further exchange as long as the factor table, which is staged
+    so that its size is known, fits a broadcast. Beyond that only the frequent tokens, which make
+    up most of a text and would skew a shuffle, are looked up in place; the rare rest is joined by
+    token. The idf table is staged too, unless the corpus is small enough to be tokenised twice.
     """
     idf = term_weights(corpus, text, stop_words)
     if not small_corpus:
@@ -75,9 +77,11 @@ def cosine_scores(
     weights = query_weights(queries, query_id, query_text, idf, stop_words)
     # One factor per (token, query), plus one per token with no query that yields the norm.
     factors = stage(
-        weights.select("token", query_id, (F.col("weight") * F.col("idf")).alias("factor")).union(
+        weights.select(
+            "token", "df", query_id, (F.col("weight") * F.col("idf")).alias("factor")
+        ).union(
             idf.select(
-                "token", F.lit(None).cast(queries.schema[query_id].dataType), F.col("idf")
+                "token", "df", F.lit(None).cast(queries.schema[query_id].dataType), F.col("idf")
             )
         ),
         "factors",
@@ -92,7 +96,7 @@ def cosine_scores(
     )
     part = F.col("tf") * F.col("factor")
     sums = (
-        counts.join(broadcast_if_small(factors), "token")
+        _with_factors(counts, factors, hot_tokens)
         .groupBy(doc_id, query_id)
         .agg(F.sum(F.when(F.col(query_id).isNull(), part * part).otherwise(part)).alias("total"))
     )
@@ -110,6 +114,25 @@ def cosine_scores(
     )
 
 
+def _with_factors(counts: DataFrame, factors: DataFrame, hot_tokens: int) -> DataFrame:
+    """Inner join of term counts and factors on ``token``.
+
+    A token is hot from a ``1 / hot_tokens`` share of all postings on, so there are at most
+    ``hot_tokens`` of them and their list can be broadcast whatever the corpus. A cold token holds
+    less than that share, so no partition of the shuffled join stands out.
+    """
+    if is_small(factors):
+        return counts.join(F.broadcast(factors), "token")
+    one_per_token = factors.select("token", "df").distinct()
+    cutoff = one_per_token.select(F.sum("df") / hot_tokens).scalar()
+    hot = stage(factors.filter(F.col("df") >= cutoff), "hot")
+    hot_list = stage(hot.select("token").distinct(), "hot-tokens")
+    cold = factors.filter(F.col("df") < cutoff)
+    return counts.join(broadcast_if_small(hot), "token").unionByName(
+        counts.join(F.broadcast(hot_list), "token", "left_anti").join(cold, "token")
+    )
+
+
 def best_document(scores: DataFrame, query_id: str, doc_id: str) -> DataFrame:
     """Highest score per query, the lowest ``doc_id`` on ties; combined before the shuffle."""
     best = F.min(F.struct((-F.col("score")).alias("negated"), F.col(doc_id)))

@@ -87,14 +87,19 @@ def _planned_size(df: DataFrame) -> int:
     return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
 
 
+def is_small(staged: DataFrame) -> bool:
+    """Whether the files of a staged table are within the session's broadcast limit."""
+    limit = staged.sparkSession._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold()
+    return _planned_size(staged) <= limit
+
+
 def broadcast_if_small(staged: DataFrame) -> DataFrame:
-    """Hint a broadcast of a staged table whose files are within the session's broadcast limit.
+    """Hint a broadcast of a small staged table and leave a large one to a shuffled join.
 
     Catalyst does not foresee how ``explode`` multiplies rows and may pick the wrong side of a
-    join with exploded text. Beyond the limit the join is left to it, as a shuffled one.
+    join with exploded text.
     """
-    limit = staged.sparkSession._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold()
-    return F.broadcast(staged) if _planned_size(staged) <= limit else staged
+    return F.broadcast(staged) if is_small(staged) else staged
 
 
 def spread(df: DataFrame) -> DataFrame:

@@ -119,3 +119,12 @@ def start_scoring(
         .trigger(**(trigger or {"availableNow": True}))
         .start()
     )
+
+
+def late_rows_dropped(query: StreamingQuery) -> int:
+    """Rows that came after the watermark, over the progress the query still holds."""
+    return sum(
+        operator["numRowsDroppedByWatermark"]
+        for progress in query.recentProgress
+        for operator in progress["stateOperators"]
+    )

@@ -50,14 +50,16 @@ def frames(spark):
     return docs, queries
 
 
-@pytest.mark.parametrize("threshold", ["10MB", "-1"])
-@pytest.mark.parametrize("small", [False, True])
-def test_scores_equal_brute_force(spark, frames, threshold, small):
+@pytest.mark.parametrize(
+    "threshold, hot, small",
+    [("10MB", 9, False), ("10MB", 9, True), ("-1", 10**6, False), ("-1", 9, False), ("-1", 1, True)],
+)
+def test_scores_equal_brute_force(spark, frames, threshold, hot, small):
     docs, queries = frames
     expected = {k: v for k, v in brute(DOCS, QUERIES).items() if v > 0}
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
     try:
-        scores = cosine_scores(docs, "doc", "text", queries, "q", "words", small_corpus=small)
+        scores = cosine_scores(docs, "doc", "text", queries, "q", "words", small_corpus=small, hot_tokens=hot)
         got = {(r["q"], r["doc"]): r["score"] for r in scores.collect()}
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")

@@ -143,3 +143,37 @@ def test_view_label_rate_and_fault_names(spark):
     ).collect()[0]
     assert abs(stats[0] - 0.06) < 0.02 and stats[1] == 0
     assert all(rise > 0 for rise in stats[2:])
+
+
+class Recorder:
+    """Stands in for a reader or writer and keeps the options it is given."""
+
+    def __init__(self, result=None):
+        self.options, self.result = {}, result
+
+    def format(self, name):
+        self.options["format"] = name
+        return self
+
+    def option(self, key, value):
+        self.options[key] = value
+        return self
+
+    def load(self):
+        return self.result
+
+
+def test_kafka_options_and_decoding(spark):
+    class Session:
+        readStream = Recorder(
+            spark.createDataFrame([(bytearray(json.dumps(GOOD), "utf-8"),)], "value binary")
+        )
+
+    rows = kafka.read_kafka(Session, "broker:9092", "telemetry")
+    assert Session.readStream.options == {
+        "format": "kafka",
+        "kafka.bootstrap.servers": "broker:9092",
+        "subscribe": "telemetry",
+        "startingOffsets": "earliest",
+    }
+    assert rows.collect()[0]["machine_type"] == "Lathe"
