@@ -102,8 +102,7 @@ def symptom_severity(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def alert_rows(spark: SparkSession, folder: str) -> DataFrame:
-    rounded = {c: F.round(c, 6) for c in [*K.SENSORS, "anomaly_prob"]}
-    return alerts(spark, folder).withColumns(rounded)
+    return alerts(spark, folder).withColumn("anomaly_prob", F.round("anomaly_prob", 6))
 
 
 def tfidf_terms(spark: SparkSession, folder: str) -> DataFrame:
@@ -227,10 +226,7 @@ def auc_exact(spark: SparkSession, folder: str) -> DataFrame:
 
 def json_roundtrip(spark: SparkSession, folder: str) -> DataFrame:
     decoded = wire.decode(wire.encode(as_events(view(spark, folder))))
-    rounded = {s: F.round(s, 6) for s in K.SENSORS}
-    return decoded.withColumns(rounded).withColumn(
-        "event_time", F.col("event_time").cast("timestamp_ntz")
-    )
+    return decoded.withColumn("event_time", F.col("event_time").cast("timestamp_ntz"))
 
 
 def quarantine(spark: SparkSession, folder: str) -> DataFrame:
@@ -283,11 +279,10 @@ def run_scoring_stream(spark: SparkSession, folder: str) -> str:
 
 
 def stream_alerts(spark: SparkSession, folder: str) -> DataFrame:
-    rounded = {c: F.round(c, 6) for c in [*K.SENSORS, "anomaly_prob"]}
     out = run_scoring_stream(spark, folder)
     return (
         files.read_alerts(spark, f"{out}/alerts")
-        .withColumns(rounded)
+        .withColumn("anomaly_prob", F.round("anomaly_prob", 6))
         .withColumn("event_time", F.col("event_time").cast("timestamp_ntz"))
     )
 

@@ -188,6 +188,7 @@ def counts_text(column: str) -> str:
 
 
 EVENT_COLUMNS = "event_id, event_time, site, machine_id, machine_type"
+SENSOR_LIST = ", ".join(K.SENSORS)
 FAULT_NAME = "CASE fault_k " + " ".join(f"WHEN {i} THEN '{f}'" for i, f in enumerate(K.FAULTS)) + " END"
 
 ORACLES: dict[str, str] = {
@@ -205,7 +206,7 @@ ORACLES: dict[str, str] = {
     f"coalesce(symptom, '{K.NO_SYMPTOM}') AS symptom, {SEVERITY} AS severity, "
     "replace(machine_type, '_', ' ') || coalesce(' ' || words, '') AS query_text "
     "FROM scored LEFT JOIN symptoms USING (event_id)",
-    "alerts": f"{ALERTS} SELECT {EVENT_COLUMNS}, {rounded([*K.SENSORS, 'anomaly_prob'])} FROM alerts",
+    "alerts": f"{ALERTS} SELECT {EVENT_COLUMNS}, {SENSOR_LIST}, {rounded(['anomaly_prob'])} FROM alerts",
     "tfidf_terms": "WITH docs AS (SELECT doc_id AS did, text FROM documents), "
     "asked AS (SELECT item_id AS qid, text FROM benchmark),"
     f"{retrieval_ctes('docs', 'asked')} SELECT tok AS token, df, round(idf, 6) AS idf FROM idf",
@@ -256,14 +257,14 @@ ORACLES: dict[str, str] = {
  r AS (SELECT pos, neg, coalesce(sum(neg) OVER (ORDER BY p ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)
  AS below FROM g)
  SELECT round(CAST(sum(pos * (below + neg / 2)) AS DOUBLE) / sum(pos) / sum(neg), 6) AS auc FROM r""",
-    "json_roundtrip": f"{VIEW} SELECT {EVENT_COLUMNS}, {rounded(K.SENSORS)}, label, {FAULT_NAME} AS fault_type FROM tel",
+    "json_roundtrip": f"{VIEW} SELECT {EVENT_COLUMNS}, {SENSOR_LIST}, label, {FAULT_NAME} AS fault_type FROM tel",
     "quarantine": """SELECT reason, count(*) AS n FROM (SELECT CASE WHEN event_id % 97 = 0 THEN 'unreadable'
  WHEN event_id % 89 = 0 THEN 'event time' WHEN event_id % 83 = 0 THEN 'sensor value' END AS reason FROM events)
  WHERE reason IS NOT NULL GROUP BY 1 ORDER BY n DESC, reason""",
     "event_files": f"{VIEW} {count_by('machine_type', 'tel')}",
     "stream_window_metrics": f"{VIEW} SELECT * FROM ({WINDOWS.format(w='1 minute', avgs=averages())}) "
     "WHERE window_end <= (SELECT date_trunc('milliseconds', max(event_time)) - INTERVAL '2 minutes' FROM tel)",
-    "stream_alerts": f"{ALERTS} SELECT {EVENT_COLUMNS}, {rounded([*K.SENSORS, 'anomaly_prob'])}, "
+    "stream_alerts": f"{ALERTS} SELECT {EVENT_COLUMNS}, {SENSOR_LIST}, {rounded(['anomaly_prob'])}, "
     "CAST(0 AS BIGINT) AS batch_id FROM alerts",
     "stream_drift": f"WITH tel AS ({view_sql()}), scored AS (SELECT *, {surrogate_sql()} AS anomaly_prob FROM tel), "
     f"{DRIFT.replace('day(event_time) AS batch_id', 'CAST(0 AS BIGINT) AS batch_id')} "
