@@ -52,7 +52,10 @@ def at_cursor(df: DataFrame, time_column: str, position: DataFrame) -> DataFrame
 
 
 def drift_prefix(drift_log: DataFrame, position: DataFrame) -> DataFrame:
-    """The first ``max(1, round(n * cursor / windows))`` batches of the drift log."""
+    """The first ``max(1, round(n * cursor / windows))`` batches of the drift log.
+
+    The log has one row per micro-batch, which is what the global order runs over.
+    """
     n = F.count(F.lit(1)).over(Window.partitionBy())
     rank = F.row_number().over(Window.orderBy("batch_id"))
     fraction = position.select(
@@ -122,12 +125,11 @@ def run_summary(
         F.array_sort(F.collect_set("site")).alias("sites"),
         F.count_distinct("machine_id").alias("machines"),
     )
-    newest = F.row_number().over(Window.orderBy(F.col("batch_id").desc()))
-    drift = drift_log.withColumn("age", newest).agg(
-        F.count(F.lit(1)).alias("drift_batches"),
-        F.max(F.when(F.col("age") <= K.TAIL_BATCHES, F.col("max_drift_z"))).alias("max_z"),
-        F.max_by("n_drifted_sensors", "batch_id").alias("drifted"),
+    log = drift_log.agg(
+        F.count(F.lit(1)).alias("batches"),
+        F.coalesce(F.max_by("n_drifted_sensors", "batch_id"), F.lit(0)).alias("drifted"),
     )
+    tail = drift_log.orderBy(F.col("batch_id").desc()).limit(K.TAIL_BATCHES)
     incident_counts = incidents.groupBy("likely_cause", "severity").agg(
         F.count(F.lit(1)).alias("n")
     )
@@ -156,8 +158,10 @@ def run_summary(
             counts("severity").alias("incidents_by_severity"),
             "sites",
             "machines",
-            only(drift, F.col("drift_batches")).alias("drift_batches"),
-            F.round(only(drift, F.coalesce("max_z", F.lit(0.0))), 2).alias("max_drift_z_end"),
-            only(drift, F.coalesce("drifted", F.lit(0))).alias("drifted_at_end"),
+            only(log, F.col("batches")).alias("drift_batches"),
+            F.round(only(tail, F.coalesce(F.max("max_drift_z"), F.lit(0.0))), 2).alias(
+                "max_drift_z_end"
+            ),
+            only(log, F.col("drifted")).alias("drifted_at_end"),
         )
     )
