@@ -94,12 +94,7 @@ def cosine_scores(
         .groupBy(doc_id, "token")
         .agg(F.count(F.lit(1)).alias("tf"))
     )
-    part = F.col("tf") * F.col("factor")
-    sums = (
-        _with_factors(counts, factors, hot_tokens)
-        .groupBy(doc_id, query_id)
-        .agg(F.sum(F.when(F.col(query_id).isNull(), part * part).otherwise(part)).alias("total"))
-    )
+    sums = _pair_sums(counts, factors, doc_id, query_id, hot_tokens)
     norm = F.sqrt(
         F.sum(F.when(F.col(query_id).isNull(), F.col("total"))).over(Window.partitionBy(doc_id))
     )
@@ -114,22 +109,39 @@ def cosine_scores(
     )
 
 
-def _with_factors(counts: DataFrame, factors: DataFrame, hot_tokens: int) -> DataFrame:
-    """Inner join of term counts and factors on ``token``.
+def _pair_sums(
+    counts: DataFrame, factors: DataFrame, doc_id: str, query_id: str, hot_tokens: int
+) -> DataFrame:
+    """``(doc_id, query_id, total)``: dot products, and the squared norm where the query is NULL.
 
     A token is hot from a ``1 / hot_tokens`` share of all postings on, so there are at most
     ``hot_tokens`` of them and their list can be broadcast whatever the corpus. A cold token holds
     less than that share, so no partition of the shuffled join stands out.
     """
+    part = F.col("tf") * F.col("factor")
+    term = F.when(F.col(query_id).isNull(), part * part).otherwise(part)
+    pair = [doc_id, query_id]
     if is_small(factors):
-        return counts.join(F.broadcast(factors), "token")
+        return counts.join(F.broadcast(factors), "token").groupBy(*pair).agg(F.sum(term).alias("total"))
     one_per_token = factors.select("token", "df").distinct()
     cutoff = one_per_token.select(F.sum("df") / hot_tokens).scalar()
     hot = stage(factors.filter(F.col("df") >= cutoff), "hot")
     hot_list = stage(hot.select("token").distinct(), "hot-tokens")
     cold = factors.filter(F.col("df") < cutoff)
-    return counts.join(broadcast_if_small(hot), "token").unionByName(
-        counts.join(F.broadcast(hot_list), "token", "left_anti").join(cold, "token")
+    # Hot terms are summed where the document lies; only their sums meet the cold terms.
+    hot_sums = (
+        counts.join(broadcast_if_small(hot), "token").groupBy(*pair).agg(F.sum(term).alias("total"))
+    )
+    cold_terms = (
+        counts.join(F.broadcast(hot_list), "token", "left_anti")
+        .join(cold, "token")
+        .select(*pair, term.alias("total"))
+    )
+    return (
+        hot_sums.unionByName(cold_terms)
+        .repartition(doc_id)
+        .groupBy(*pair)
+        .agg(F.sum("total").alias("total"))
     )
 
 

@@ -54,18 +54,17 @@ def classifier(**params) -> GBTClassifier:
 
 
 def feature_stages() -> list:
-    encoded = [f"{c}_oh" for c in K.CATEGORICAL]
-    indexed = [f"{c}_idx" for c in K.CATEGORICAL]
+    """Sensors and one-hot categories, standardised; unseen categories are kept as their own level.
+
+    One indexer serves all categorical columns, so their levels are counted in one pass.
+    """
+    levels = [f"{c}_level" for c in K.CATEGORICAL]
+    flags = [f"{c}_flags" for c in K.CATEGORICAL]
     return [
-        *[
-            StringIndexer(inputCol=c, outputCol=i, handleInvalid="keep")
-            for c, i in zip(K.CATEGORICAL, indexed)
-        ],
-        OneHotEncoder(inputCols=indexed, outputCols=encoded),
-        VectorAssembler(inputCols=[*K.SENSORS, *encoded], outputCol="features_raw"),
-        StandardScaler(
-            inputCol="features_raw", outputCol="features", withMean=True, withStd=True
-        ),
+        StringIndexer(inputCols=K.CATEGORICAL, outputCols=levels, handleInvalid="keep"),
+        OneHotEncoder(inputCols=levels, outputCols=flags),
+        VectorAssembler(inputCols=[*K.SENSORS, *flags], outputCol="assembled"),
+        StandardScaler(inputCol="assembled", outputCol="features", withMean=True, withStd=True),
     ]
 
 
