@@ -45,9 +45,7 @@ def query_weights(
         .groupBy(query_id, "token")
         .agg(F.count(F.lit(1)).alias("tf"))
     )
-    raw = counts.join(idf, "token").withColumn(
-        "raw", F.col("tf") * F.col("idf")
-    )
+    raw = counts.join(idf, "token").withColumn("raw", F.col("tf") * F.col("idf"))
     norm = F.sqrt(F.sum(F.col("raw") * F.col("raw")).over(Window.partitionBy(query_id)))
     return raw.select(query_id, "token", (F.col("raw") / norm).alias("weight"), "idf", "df")
 

@@ -1,7 +1,6 @@
 import math
 
 import pytest
-from pyspark.sql import functions as F
 
 from sparkmon.functions import sensors
 from sparkmon.functions.text import guide_action
