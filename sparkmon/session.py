@@ -103,13 +103,12 @@ def broadcast_if_small(staged: DataFrame) -> DataFrame:
 
 
 def spread(df: DataFrame) -> DataFrame:
-    """Deal the rows of a small table out to all slots.
+    """Deal the rows of a table below two scan splits out to all slots.
 
-    A table below one scan split per slot may sit in a single row group and would keep one slot
-    busy; its size bounds the cost of the shuffle. Larger tables fill the slots as they are and
-    pass through without one.
+    Such a table may sit in a single row group and would keep one slot busy; two splits bound the
+    cost of the shuffle. Larger tables pass through without one.
     """
     spark = df.sparkSession
-    slots = spark.sparkContext.defaultParallelism
     split = spark._jsparkSession.sessionState().conf().filesMaxPartitionBytes()
-    return df.repartition(slots) if _planned_size(df) < slots * split else df
+    slots = spark.sparkContext.defaultParallelism
+    return df.repartition(slots) if _planned_size(df) < 2 * split else df
