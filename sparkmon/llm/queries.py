@@ -6,10 +6,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sparkmon.llm.decontaminate import contamination
+from sparkmon.llm.near_duplicates import near_duplicate_groups
 from sparkmon.llm.packing import pack_documents
+from sparkmon.llm.quality import graded, quality
 from sparkmon.llm.shipping import ship
 from sparkmon.llm.token_files import read_documents, write_ids
 from sparkmon.llm.tokens import tokenizer_path
+from sparkmon.llm.toxicity import toxicity
 from sparkmon.session import fresh_dir
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -35,6 +38,11 @@ def op4_decontaminate(spark: SparkSession, folder: str) -> DataFrame:
     return contamination(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
 
 
+def op5_quality(spark: SparkSession, folder: str) -> DataFrame:
+    grades = graded(table(spark, folder, "labels"))
+    return quality(table(spark, folder, "documents"), grades)
+
+
 def op6_packing(spark: SparkSession, folder: str) -> DataFrame:
     name, mark, spaced, end_id = PACK_VOCABULARY
     return pack_documents(
@@ -42,10 +50,21 @@ def op6_packing(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op7_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    return toxicity(table(spark, folder, "documents"), table(spark, folder, "labels"))
+
+
+def op9_near_duplicates(spark: SparkSession, folder: str) -> DataFrame:
+    return near_duplicate_groups(table(spark, folder, "documents"))
+
+
 QUERIES: dict[str, Query] = {
     "op3_token_files": op3_token_files,
     "op4_decontaminate": op4_decontaminate,
+    "op5_quality": op5_quality,
     "op6_packing": op6_packing,
+    "op7_toxicity": op7_toxicity,
+    "op9_near_duplicates": op9_near_duplicates,
 }
 
 DECONTAMINATE_SQL = r"""
@@ -77,4 +96,31 @@ SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, c
 FROM docs LEFT JOIN words_hit USING (row) LEFT JOIN held USING (row)
 """
 
-ORACLES: dict[str, str] = {"op4_decontaminate": DECONTAMINATE_SQL}
+NEAR_DUPLICATES_SQL = r"""
+WITH RECURSIVE docs AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+    'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents),
+shingles AS MATERIALIZED (
+  SELECT DISTINCT doc_id, CASE WHEN len(w) < 5 THEN len(w) || ':' || array_to_string(w, ' ')
+    ELSE array_to_string(w[i:i + 4], ' ') END AS s
+  FROM (SELECT doc_id, w, unnest(range(1, greatest(1, len(w) - 4) + 1)) AS i FROM docs WHERE len(w) > 0)),
+sizes AS MATERIALIZED (SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id),
+links AS MATERIALIZED (
+  SELECT a, b FROM (
+    SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS common
+    FROM shingles x JOIN shingles y ON x.s = y.s AND x.doc_id < y.doc_id GROUP BY ALL) p
+  JOIN sizes m ON m.doc_id = a JOIN sizes n ON n.doc_id = b
+  WHERE 100 * common >= 85 * (m.n + n.n - common)),
+both_ways AS (SELECT a, b FROM links UNION SELECT b, a FROM links),
+reach(doc_id, other) AS (
+  SELECT doc_id, doc_id FROM docs
+  UNION SELECT r.doc_id, l.b FROM reach r JOIN both_ways l ON l.a = r.other)
+SELECT d.doc_id, coalesce(n, 0) AS n_shingles, component_id, d.doc_id = component_id AS kept
+FROM docs d LEFT JOIN sizes USING (doc_id)
+JOIN (SELECT doc_id, min(other) AS component_id FROM reach GROUP BY doc_id) USING (doc_id)
+"""
+
+ORACLES: dict[str, str] = {
+    "op4_decontaminate": DECONTAMINATE_SQL,
+    "op9_near_duplicates": NEAR_DUPLICATES_SQL,
+}
