@@ -6,10 +6,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sparkmon.llm.decontaminate import contamination
+from sparkmon.llm.fingerprints import fingerprints
+from sparkmon.llm.html_text import page_texts
 from sparkmon.llm.near_duplicates import near_duplicate_groups
 from sparkmon.llm.packing import pack_documents
 from sparkmon.llm.quality import graded, quality
 from sparkmon.llm.shipping import ship
+from sparkmon.llm.substring_dedup import without_repeats
 from sparkmon.llm.token_files import read_documents, write_ids
 from sparkmon.llm.tokens import tokenizer_path
 from sparkmon.llm.toxicity import toxicity
@@ -27,6 +30,10 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def op2_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return without_repeats(table(spark, folder, "documents")).drop("kept_text")
+
+
 def op3_token_files(spark: SparkSession, folder: str) -> DataFrame:
     path = fresh_dir(spark, "token-files")
     name, mark, spaced, end_id = FILE_VOCABULARY
@@ -54,17 +61,28 @@ def op7_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     return toxicity(table(spark, folder, "documents"), table(spark, folder, "labels"))
 
 
+def op8_html_text(spark: SparkSession, folder: str) -> DataFrame:
+    return page_texts(table(spark, folder, "pages"))
+
+
 def op9_near_duplicates(spark: SparkSession, folder: str) -> DataFrame:
     return near_duplicate_groups(table(spark, folder, "documents"))
 
 
+def op10_fingerprints(spark: SparkSession, folder: str) -> DataFrame:
+    return fingerprints(table(spark, folder, "documents"))
+
+
 QUERIES: dict[str, Query] = {
+    "op2_substring_dedup": op2_substring_dedup,
     "op3_token_files": op3_token_files,
     "op4_decontaminate": op4_decontaminate,
     "op5_quality": op5_quality,
     "op6_packing": op6_packing,
     "op7_toxicity": op7_toxicity,
+    "op8_html_text": op8_html_text,
     "op9_near_duplicates": op9_near_duplicates,
+    "op10_fingerprints": op10_fingerprints,
 }
 
 DECONTAMINATE_SQL = r"""
@@ -96,6 +114,26 @@ SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, c
 FROM docs LEFT JOIN words_hit USING (row) LEFT JOIN held USING (row)
 """
 
+SUBSTRING_DEDUP_SQL = r"""
+WITH docs AS (
+  SELECT row_number() OVER () AS row, doc_id,
+    regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+spots AS MATERIALIZED (
+  SELECT row, doc_id, i, md5(array_to_string(w[i:i + 49], ' ')) AS h
+  FROM (SELECT row, doc_id, w, unnest(range(1, len(w) - 48)) AS i FROM docs WHERE len(w) >= 50)),
+firsts AS (SELECT h, min(doc_id) AS low FROM spots GROUP BY h),
+gone AS (
+  SELECT row, list(DISTINCT p) AS p
+  FROM (SELECT row, unnest(range(i, i + 50)) AS p FROM spots JOIN firsts USING (h) WHERE low < doc_id) GROUP BY row),
+rest AS (
+  SELECT row, doc_id, w, coalesce(len(p), 0) AS n,
+    CASE WHEN p IS NULL THEN w ELSE list_filter(w, lambda x, i: NOT list_contains(p, i)) END AS kept
+  FROM docs LEFT JOIN gone USING (row))
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(n AS BIGINT) AS n_removed,
+  sha256(array_to_string(kept, ' ')) AS kept_sha256
+FROM rest
+"""
+
 NEAR_DUPLICATES_SQL = r"""
 WITH RECURSIVE docs AS (
   SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
@@ -121,6 +159,7 @@ JOIN (SELECT doc_id, min(other) AS component_id FROM reach GROUP BY doc_id) USIN
 """
 
 ORACLES: dict[str, str] = {
+    "op2_substring_dedup": SUBSTRING_DEDUP_SQL,
     "op4_decontaminate": DECONTAMINATE_SQL,
     "op9_near_duplicates": NEAR_DUPLICATES_SQL,
 }
