@@ -3,18 +3,38 @@
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from sparkmon.llm.decontaminate import contamination
+from sparkmon.llm.near_duplicates import near_duplicate_groups
 from sparkmon.llm.packing import pack_documents
 from sparkmon.llm.queries import PACK_VOCABULARY, table
 from sparkmon.llm.shipping import ship
+from sparkmon.llm.substring_dedup import cleaned_documents
 from sparkmon.llm.tokens import tokenizer_path
-from sparkmon.session import stage
+from sparkmon.llm.toxicity import toxicity
+from sparkmon.session import broadcast_if_small, stage
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 
+def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Drop documents that the classifier calls toxic."""
+    scores = toxicity(docs, table(spark, sf_dir, "labels"))
+    return without(docs, scores.filter("predicted = 1").select("doc_id"))
+
+
+def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Keep one document of each group, the one with the smallest id."""
+    ship(spark)
+    return without(docs, near_duplicate_groups(docs).filter("not kept").select("doc_id"))
+
+
+def drop_repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Take passages that an earlier document holds out of the texts."""
+    ship(spark)
+    return cleaned_documents(docs)
+
+
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drop documents that hold benchmark passages."""
     judged = contamination(docs, table(spark, sf_dir, "benchmark"))
@@ -29,18 +49,25 @@ def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def without(docs: DataFrame, rejected: DataFrame) -> DataFrame:
-    return docs.join(stage(rejected.distinct(), "rejected"), "doc_id", "left_anti").select(docs.columns)
+    """The documents whose id is not among the rejected ones, by a broadcast only if those are few."""
+    gone = stage(rejected.distinct(), "rejected")
+    return docs.join(broadcast_if_small(gone), "doc_id", "left_anti").select(docs.columns)
 
 
 STAGES: list[tuple[str, Stage]] = [
-    ("decontaminate", decontaminate),
-    ("pack", pack),
+    ("toxicity", drop_toxic),
+    ("near_duplicates", drop_near_duplicates),
+    ("substring_dedup", drop_repeated_passages),
+    ("decontamination", decontaminate),
+    ("packing", pack),
 ]
 
+# The first stage learns a model, which SQL cannot express.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All stages over the documents; each result is written and read back before the next one."""
     docs = table(spark, sf_dir, "documents")
     for name, step in STAGES[:-1]:
         docs = stage(step(spark, docs, sf_dir), name)

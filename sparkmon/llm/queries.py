@@ -3,11 +3,11 @@
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from sparkmon.llm.decontaminate import contamination
 from sparkmon.llm.fingerprints import fingerprints
 from sparkmon.llm.html_text import page_texts
+from sparkmon.llm.licenses import license_scan
 from sparkmon.llm.near_duplicates import near_duplicate_groups
 from sparkmon.llm.packing import pack_documents
 from sparkmon.llm.quality import graded, quality
@@ -30,6 +30,10 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def op1_license_scan(spark: SparkSession, folder: str) -> DataFrame:
+    return license_scan(table(spark, folder, "documents"))
+
+
 def op2_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return without_repeats(table(spark, folder, "documents")).drop("kept_text")
 
@@ -74,6 +78,7 @@ def op10_fingerprints(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
+    "op1_license_scan": op1_license_scan,
     "op2_substring_dedup": op2_substring_dedup,
     "op3_token_files": op3_token_files,
     "op4_decontaminate": op4_decontaminate,

@@ -221,24 +221,47 @@ def crowded_answers(stretches: DataFrame) -> DataFrame:
     )
 
 
+def kept_words(words: list[bytes], spans: list[dict]) -> list[bytes]:
+    """The words outside all windows of the spans."""
+    covered = np.zeros(len(words) + 1, np.int64)
+    start = np.array([span["start"] for span in spans])
+    end = start + np.array([span["n"] for span in spans]) + WINDOW - 1
+    np.add.at(covered, start, 1)
+    np.add.at(covered, end, -1)
+    return list(itertools.compress(words, (np.cumsum(covered[:-1]) == 0).tolist()))
+
+
 def _report(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch, texts in _unpacked(batches):
         rows = []
         columns = (batch.column(c).to_pylist() for c in ("doc_id", "spans"))
         for doc, spans, words in zip(*columns, texts, strict=True):
-            kept = words
-            if spans:
-                covered = np.zeros(len(words) + 1, np.int64)
-                start = np.array([span["start"] for span in spans])
-                end = start + np.array([span["n"] for span in spans]) + WINDOW - 1
-                np.add.at(covered, start, 1)
-                np.add.at(covered, end, -1)
-                kept = list(itertools.compress(words, (np.cumsum(covered[:-1]) == 0).tolist()))
+            kept = kept_words(words, spans) if spans else words
             text = b" ".join(kept)
             rows.append((doc, len(words), len(words) - len(kept), hashlib.sha256(text).hexdigest(), text))
         yield _rows(rows, REPORT.replace("kept_text string", "kept_text binary")).cast(_report_schema())
 
 
+def _cleaned(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in sliced(batches):
+        spans = batch.column("_spans").to_pylist()
+        columns = {name: batch.column(name) for name in batch.schema.names if name != "_spans"}
+        texts = columns["text"].to_pylist()
+        sizes = columns["n_chars"].to_pylist() if "n_chars" in columns else []
+        stays = [True] * len(texts)
+        for row, found in enumerate(spans):
+            if found:
+                texts[row] = b" ".join(kept_words(texts[row].encode().split(), found)).decode()
+                stays[row] = bool(texts[row])
+                if sizes:
+                    sizes[row] = len(texts[row])
+        columns["text"] = pa.array(texts, columns["text"].type)
+        if sizes:
+            columns["n_chars"] = pa.array(sizes, columns["n_chars"].type)
+        cleaned = pa.RecordBatch.from_arrays(list(columns.values()), names=list(columns))
+        yield cleaned.filter(pa.array(stays))
+
+
 def _report_schema() -> pa.Schema:
     return pa.schema(
         [("doc_id", pa.int64()), ("n_words", pa.int64()), ("n_removed", pa.int64())]
@@ -307,3 +330,19 @@ def without_repeats(documents: DataFrame) -> DataFrame:
     packed = keyed_texts(documents).mapInArrow(_pack, PACKED)
     joined = packed.join(broadcast_if_small(spans), KEY, "left").select("doc_id", "packed", "spans")
     return joined.mapInArrow(_report, REPORT)
+
+
+def cleaned_documents(documents: DataFrame) -> DataFrame:
+    """The documents with the repeated passages taken out, all columns kept.
+
+    A text that loses words becomes its kept words joined by one space, and ``n_chars``, if there, is
+    counted anew. A document of which nothing is left goes. All other rows stay as they are.
+    """
+    spans = repeated_spans(documents).select(
+        F.col("doc_id").alias("_doc"), F.col("text_hash").alias("_hash"), F.col("spans").alias("_spans")
+    )
+    same = (F.col("doc_id").cast("long") == F.col("_doc")) & (
+        F.xxhash64(F.col("text").cast("string")) == F.col("_hash")
+    )
+    joined = documents.join(broadcast_if_small(spans), same, "left").select(*documents.columns, "_spans")
+    return joined.mapInArrow(_cleaned, documents.schema)
