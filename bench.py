@@ -16,8 +16,6 @@ sys.path.insert(0, str(Path(__file__).resolve().parent))
 from sparkmon.plans.catalog import PLANS
 from sparkmon.session import get_session
 
-SLOW = {"gbt_cv_metrics"}
-
 
 def measure(spark, name: str, folder: str) -> float:
     start = time.perf_counter()
@@ -28,7 +26,7 @@ def measure(spark, name: str, folder: str) -> float:
 def main() -> None:
     folder = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1").rstrip("/")
     cpus = os.environ.get("BENCH_CPUS", str(os.cpu_count()))
-    chosen = sys.argv[1:] or [name for name in PLANS if name not in SLOW]
+    chosen = sys.argv[1:] or list(PLANS)
     spark = get_session("bench", master=f"local[{cpus}]", conf={"spark.driver.memory": "16g"})
     measure(spark, "drift_summary", folder)
     times = {name: measure(spark, name, folder) for name in chosen}

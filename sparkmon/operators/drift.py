@@ -43,6 +43,51 @@ def batch_statistics(events: DataFrame, batch: list[str], alert: Column | None =
     )
 
 
+def moments(
+    events: DataFrame, keys: list[str], alert: Column | None = None, further: list[Column] | None = None
+) -> DataFrame:
+    """Counts, sums and sums of squares of shifted readings per key, which combine to any coarser key."""
+    alert = F.lit(False) if alert is None else alert
+    shifted = {s: valid(s) - F.lit(K.SENSOR_SPECS[s]["mean"]) for s in K.SENSORS}
+    return events.groupBy(*keys).agg(
+        F.count(F.lit(1)).alias("n_events"),
+        F.count_if(alert).alias("n_alerts"),
+        *[F.count(valid(s)).alias(f"n_{s}") for s in K.SENSORS],
+        *[F.sum(shifted[s]).alias(f"sum_{s}") for s in K.SENSORS],
+        *[F.sum(shifted[s] * shifted[s]).alias(f"sq_{s}") for s in K.SENSORS],
+        *[F.count_if(out_of_spec(s)).alias(f"oos_{s}") for s in K.SENSORS],
+        *(further or []),
+    )
+
+
+def _mean(s: str) -> Column:
+    return F.lit(K.SENSOR_SPECS[s]["mean"]) + F.try_divide(F.sum(f"sum_{s}"), F.sum(f"n_{s}"))
+
+
+def combined_statistics(parts: DataFrame, batch: list[str]) -> DataFrame:
+    """What :func:`batch_statistics` gives, from :func:`moments` of a finer key."""
+    return parts.groupBy(*batch).agg(
+        F.sum("n_events").alias("n_events"),
+        F.sum("n_alerts").alias("n_alerts"),
+        *[_mean(s).alias(f"mean_{s}") for s in K.SENSORS],
+        *[F.sum(f"oos_{s}").alias(f"oos_{s}") for s in K.SENSORS],
+    )
+
+
+def combined_reference(parts: DataFrame) -> DataFrame:
+    """What :func:`feature_reference` gives, from :func:`moments`."""
+
+    def deviation(s: str) -> Column:
+        n, total, squares = (F.sum(f"{p}_{s}") for p in ("n", "sum", "sq"))
+        return F.sqrt(F.greatest(F.lit(0.0), F.try_divide(squares - total * total / n, n - 1)))
+
+    wide = parts.agg(
+        *[_mean(s).alias(f"mean_{s}") for s in K.SENSORS],
+        *[deviation(s).alias(f"std_{s}") for s in K.SENSORS],
+    )
+    return wide.select(_stack({"mean": "mean_", "std": "std_"}, K.SENSORS))
+
+
 def drift_detail(
     statistics: DataFrame,
     reference: DataFrame,
@@ -51,8 +96,13 @@ def drift_detail(
 ) -> DataFrame:
     """Shift of each sensor's batch mean in reference standard deviations.
 
-    ``reference`` has one row per sensor (:func:`feature_reference`), which bounds the broadcast.
+    ``reference`` is brought to one row per sensor, which bounds the broadcast.
     """
+    reference = (
+        reference.filter(F.col("sensor").isin(K.SENSORS))
+        .groupBy("sensor")
+        .agg(F.max("mean").alias("mean"), F.max("std").alias("std"))
+    )
     long = statistics.select(
         *batch,
         "n_events",

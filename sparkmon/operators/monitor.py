@@ -6,6 +6,7 @@ from pyspark.sql.window import Window
 
 from sparkmon import constants as K
 from sparkmon.functions.text import preview
+from sparkmon.session import stage
 
 
 def count_by(df: DataFrame, column: str) -> DataFrame:
@@ -17,13 +18,6 @@ def count_by(df: DataFrame, column: str) -> DataFrame:
     )
 
 
-def count_map(df: DataFrame, column: str) -> DataFrame:
-    """One row with ``map<value, count>``; the map has one entry per distinct value."""
-    counts = df.groupBy(column).agg(F.count(F.lit(1)).alias("n"))
-    entries = F.array_sort(F.collect_list(F.struct(column, "n")))
-    return counts.agg(F.map_from_entries(entries).alias("counts"))
-
-
 def throughput_by_site(windows: DataFrame) -> DataFrame:
     return windows.groupBy("site", "window_start").agg(F.sum("events").alias("events"))
 
@@ -31,49 +25,42 @@ def throughput_by_site(windows: DataFrame) -> DataFrame:
 def cursor_position(windows: DataFrame, cursor: int | None = None) -> DataFrame:
     """One row: the n-th distinct window start, the number of windows and the events up to it.
 
-    The ordered part has one row per distinct window start, whatever the number of readings.
+    ``windows`` is first combined to one staged row per window start, whatever the number of readings;
+    the first ones are taken as a top-k, so no task has to number them all.
     """
-    starts = windows.groupBy("window_start").agg(F.sum("events").alias("events"))
-    ranked = starts.select(
-        "window_start", "events", F.row_number().over(Window.orderBy("window_start")).alias("rn")
-    )
-    visible = F.lit(True) if cursor is None else F.col("rn") <= cursor
-    return ranked.agg(
-        F.max(F.when(visible, F.col("window_start"))).alias("now"),
-        F.count(F.lit(1)).alias("n_windows"),
-        F.count_if(visible).alias("cursor"),
-        F.coalesce(F.sum(F.when(visible, F.col("events"))), F.lit(0)).alias("events_seen"),
+    starts = stage(windows.groupBy("window_start").agg(F.sum("events").alias("events")), "starts")
+    visible = starts if cursor is None else starts.orderBy("window_start").limit(cursor)
+    seen = visible.agg(
+        F.max("window_start").alias("now"),
+        F.count(F.lit(1)).alias("cursor"),
+        F.coalesce(F.sum("events"), F.lit(0)).alias("events_seen"),
     )
+    total = starts.select(F.count(F.lit(1))).scalar()
+    return stage(seen.select("now", total.alias("n_windows"), "cursor", "events_seen"), "position")
 
 
 def at_cursor(df: DataFrame, time_column: str, position: DataFrame) -> DataFrame:
-    """Rows whose time is not after the cursor."""
-    return df.filter(F.col(time_column) <= position.select("now").scalar())
+    """Rows whose time is not after the cursor; all of them while there is no window yet."""
+    now = position.select("now").scalar()
+    return df.filter(now.isNull() | (F.col(time_column) <= now))
 
 
 def drift_prefix(drift_log: DataFrame, position: DataFrame) -> DataFrame:
-    """The first ``max(1, round(n * cursor / windows))`` batches of the drift log.
+    """The first ``max(1, round(n * cursor / windows))`` batches of the drift log, as a top-k."""
+    share = F.coalesce(F.try_divide("cursor", "n_windows"), F.lit(1.0))
+    rows = drift_log.select(F.count(F.lit(1))).scalar()
+    wanted = position.select(F.greatest(F.lit(1), F.bround(rows * share)).cast("int").alias("n"))
+    return drift_log.orderBy("batch_id").limit(wanted.first().n)
 
-    The log has one row per micro-batch, which is what the global order runs over.
-    """
-    n = F.count(F.lit(1)).over(Window.partitionBy())
-    rank = F.row_number().over(Window.orderBy("batch_id"))
-    fraction = position.select(
-        F.coalesce(F.try_divide("cursor", "n_windows"), F.lit(1.0))
-    ).scalar()
-    return (
-        drift_log.withColumn("n", n)
-        .withColumn("rank", rank)
-        .filter(F.col("rank") <= F.greatest(F.lit(1), F.bround(F.col("n") * fraction)))
-        .drop("n", "rank")
-    )
+
+def alerts_seen(alerts: DataFrame, position: DataFrame) -> Column:
+    """Number of alerts at the cursor."""
+    return at_cursor(alerts, "event_time", position).select(F.count(F.lit(1))).scalar()
 
 
-def kpi_at_cursor(alerts: DataFrame, drift_log: DataFrame, position: DataFrame) -> DataFrame:
+def kpi_at_cursor(n_alerts: Column, drift_log: DataFrame, position: DataFrame) -> DataFrame:
     """Events seen, alerts, alert rate and drifted sensors at the cursor, in one row."""
-    seen = at_cursor(alerts, "event_time", position)
     prefix = drift_prefix(drift_log, position)
-    n_alerts = seen.select(F.count(F.lit(1))).scalar()
     drifted = prefix.select(F.coalesce(F.max_by("n_drifted_sensors", "batch_id"), F.lit(0))).scalar()
     return position.select(
         "now", "n_windows", "events_seen", n_alerts.alias("n_alerts"), drifted.alias("drifted_sensors")
@@ -84,43 +71,52 @@ def percentage(part: Column, whole: Column) -> Column:
     return F.coalesce(F.round(F.try_divide(part, whole) * 100, 2), F.lit(0.0))
 
 
-def top_incidents(
-    incidents: DataFrame, visible_alerts: DataFrame, n: int = K.TOP_INCIDENTS
+def top_alerts_seen(
+    alerts: DataFrame, visible_alerts: DataFrame, n: int = K.TOP_INCIDENTS
 ) -> DataFrame:
-    """The ``n`` most probable incidents of machines with a visible alert.
+    """The ``n`` most probable alerts of machines with a visible alert.
 
     Only a machine's own ``n`` best can be among the ``n`` best of all, and that cut is applied
-    within each task before the shuffle, so a machine with many incidents stays cheap.
+    within each task before the shuffle, so a machine with many alerts stays cheap.
     """
-    order = [F.col("alert_prob").desc(), F.col("event_id")]
+    order = [F.col("anomaly_prob").desc(), F.col("event_id")]
     per_machine = Window.partitionBy("machine_id").orderBy(*order)
     best = (
-        incidents.withColumn("rank", F.row_number().over(per_machine))
+        alerts.withColumn("rank", F.row_number().over(per_machine))
         .filter(F.col("rank") <= n)
         .drop("rank")
     )
     machines = visible_alerts.select("machine_id").distinct()
-    return (
-        best.join(machines, "machine_id", "left_semi")
-        .orderBy(*order)
-        .limit(n)
-        .withColumn("action_preview", preview("recommended_action"))
+    return best.join(machines, "machine_id", "left_semi").orderBy(*order).limit(n)
+
+
+def with_preview(incidents: DataFrame) -> DataFrame:
+    """Incidents, most probable first, with the start of the action."""
+    return incidents.orderBy(F.col("alert_prob").desc(), F.col("event_id")).withColumn(
+        "action_preview", preview("recommended_action")
     )
 
 
+def machine_totals(events: DataFrame) -> DataFrame:
+    """Events, labels present and anomalies per machine, all that a run summary needs of them."""
+    return events.groupBy("site", "machine_id").agg(
+        F.count(F.lit(1)).alias("n"),
+        F.count("label").alias("labelled"),
+        F.sum("label").alias("anomalies"),
+    )
+
+
+def incident_totals(incidents: DataFrame) -> DataFrame:
+    return incidents.groupBy("likely_cause", "severity").agg(F.count(F.lit(1)).alias("n"))
+
+
 def run_summary(
-    events: DataFrame, alerts: DataFrame, incidents: DataFrame, drift_log: DataFrame
+    machines: DataFrame, n_alerts: Column, incident_counts: DataFrame, drift_log: DataFrame
 ) -> DataFrame:
-    """One row that describes a whole run.
-
-    Events are first combined per machine, so that sites and machines are counted on that small
-    result instead of on every reading.
-    """
-    machines = events.groupBy("site", "machine_id").agg(
-        F.count(F.lit(1)).alias("n"), F.sum("label").alias("anomalies")
-    )
+    """One row that describes a whole run, from :func:`machine_totals` and :func:`incident_totals`."""
     total = machines.agg(
         F.coalesce(F.sum("n"), F.lit(0)).alias("n_events"),
+        F.sum("labelled").alias("labelled"),
         F.sum("anomalies").alias("anomalies"),
         F.array_sort(F.collect_set("site")).alias("sites"),
         F.count_distinct("machine_id").alias("machines"),
@@ -130,9 +126,6 @@ def run_summary(
         F.coalesce(F.max_by("n_drifted_sensors", "batch_id"), F.lit(0)).alias("drifted"),
     )
     tail = drift_log.orderBy(F.col("batch_id").desc()).limit(K.TAIL_BATCHES)
-    incident_counts = incidents.groupBy("likely_cause", "severity").agg(
-        F.count(F.lit(1)).alias("n")
-    )
 
     def counts(column: str) -> Column:
         per_value = incident_counts.groupBy(column).agg(F.sum("n").alias("n"))
@@ -142,7 +135,6 @@ def run_summary(
     def only(df: DataFrame, column: Column) -> Column:
         return df.select(column).scalar()
 
-    n_alerts = only(alerts, F.count(F.lit(1)))
     return (
         total.withColumn("n_alerts", n_alerts)
         .withColumn(
@@ -152,7 +144,7 @@ def run_summary(
             "n_events",
             "n_alerts",
             percentage(F.col("n_alerts"), F.col("n_events")).alias("alert_rate_pct"),
-            percentage(F.col("anomalies"), F.col("n_events")).alias("true_anomaly_rate_pct"),
+            percentage(F.col("anomalies"), F.col("labelled")).alias("true_anomaly_rate_pct"),
             "n_incidents",
             counts("likely_cause").alias("incidents_by_cause"),
             counts("severity").alias("incidents_by_severity"),

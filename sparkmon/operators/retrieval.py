@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from sparkmon.functions.text import is_content, tokens
-from sparkmon.session import broadcast_if_small, is_small, stage
+from sparkmon.session import broadcast_if_small, stage
 
 SCORE_DECIMALS = 9
 HOT_TOKENS = 20_000
@@ -63,11 +63,10 @@ def cosine_scores(
 ) -> DataFrame:
     """``(query_id, doc_id, score)`` for every pair that shares a token.
 
-    The corpus is shuffled once, as text, by ``doc_id``. Term counts, norms and scores are then
-    computed per document without a further exchange as long as the factor table, which is staged
-    so that its size is known, fits a broadcast. Beyond that only the frequent tokens, which make
-    up most of a text and would skew a shuffle, are looked up in place; the rare rest is joined by
-    token. The idf table is staged too, unless the corpus is small enough to be tokenised twice.
+    The corpus is shuffled once, as text, by ``doc_id``. The frequent tokens, which make up most of a
+    text and would skew a shuffle, are looked up in place where their staged table allows a
+    broadcast; the rare rest is joined by token. The idf table is staged too, unless the caller
+    knows the corpus to be small enough to be tokenised twice.
     """
     idf = term_weights(corpus, text, stop_words)
     if not small_corpus:
@@ -119,8 +118,6 @@ def _pair_sums(
     part = F.col("tf") * F.col("factor")
     term = F.when(F.col(query_id).isNull(), part * part).otherwise(part)
     pair = [doc_id, query_id]
-    if is_small(factors):
-        return counts.join(F.broadcast(factors), "token").groupBy(*pair).agg(F.sum(term).alias("total"))
     one_per_token = factors.select("token", "df").distinct()
     cutoff = one_per_token.select(F.sum("df") / hot_tokens).scalar()
     hot = stage(factors.filter(F.col("df") >= cutoff), "hot")

@@ -27,16 +27,16 @@ class Split:
 def hash_split(
     df: DataFrame, key: str = "event_id", fraction: float = K.TRAIN_FRACTION, seed: int = K.SEED
 ) -> Split:
-    """Split by a hash of the key: the same rows on each side whatever the partitioning."""
+    """Split by a hash of the key: the same rows on each side whatever the partitioning.
+
+    The hash is MD5, which other engines have too, so the sides can be compared with theirs.
+    """
     cut = round(fraction * 1000)
-    bucket = F.pmod(F.xxhash64(F.lit(seed), F.col(key)), F.lit(1000))
+    digest = F.md5(F.concat(F.lit(f"{seed}:"), F.col(key).cast("string")).cast("binary"))
+    bucket = F.conv(F.substring(digest, 1, 6), 16, 10).cast("long") % 1000
     return Split(df.filter(bucket < cut), df.filter(bucket >= cut))
 
 
-def random_split(df: DataFrame, fraction: float = K.TRAIN_FRACTION, seed: int = K.SEED) -> Split:
-    return Split(*df.randomSplit([fraction, 1 - fraction], seed=seed))
-
-
 def is_scorable() -> Column:
     """Rows the feature assembler accepts: no sensor is NULL or NaN."""
     return F.expr(" AND ".join(f"{valid_sql(s)} IS NOT NULL" for s in K.SENSORS))
@@ -72,9 +72,14 @@ def pipeline(gbt: GBTClassifier | None = None) -> Pipeline:
     return Pipeline(stages=[*feature_stages(), gbt or classifier()])
 
 
+def fit_features(train: DataFrame) -> PipelineModel:
+    """The stages before the classifier alone."""
+    return Pipeline(stages=feature_stages()).fit(train.filter(is_scorable()))
+
+
 def fit(train: DataFrame, gbt: GBTClassifier | None = None) -> PipelineModel:
     shared_dir(train.sparkSession)
-    return pipeline(gbt).fit(train.select(INPUT_COLUMNS))
+    return pipeline(gbt).fit(train.filter(is_scorable()).select(INPUT_COLUMNS))
 
 
 def cross_validate(
@@ -105,8 +110,11 @@ def cross_validate(
 
 
 def score(model: PipelineModel, events: DataFrame) -> DataFrame:
-    """Adds ``prediction`` and ``anomaly_prob``; works on batch and streaming input."""
-    scored = model.transform(events).withColumn(
+    """Adds ``prediction`` and ``anomaly_prob``; works on batch and streaming input.
+
+    Rows that lack a sensor value cannot be assembled and are left out.
+    """
+    scored = model.transform(events.filter(is_scorable())).withColumn(
         "anomaly_prob", vector_to_array("probability")[1]
     )
     return scored.select(*events.columns, "rawPrediction", "prediction", "anomaly_prob")

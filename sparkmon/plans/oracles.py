@@ -2,9 +2,9 @@
 
 from sparkmon import constants as K
 from sparkmon.functions.text import TOKEN_PATTERN, WHITESPACE
-from sparkmon.plans.catalog import CURSOR, REFERENCE_DAYS, TOP_N
+from sparkmon.plans.catalog import CURSOR, REFERENCE_END, STREAM_PARTS, TOP_N, TRAIN_END
 from sparkmon.sources.files import packaged_texts
-from sparkmon.sources.telemetry import (
+from sparkmon.plans.telemetry import (
     FAULT_INDEX,
     LABEL,
     identity_sql,
@@ -64,13 +64,16 @@ ELEVATED = f"""elevated AS (
 
 def fault_ctes() -> str:
     signatures = ", ".join(
-        f"({i}, '{fault}', '{s}')" for i, (fault, sig) in enumerate(K.FAULTS.items()) for s in sig
+        f"({i}, '{fault}', '{s}', {place})"
+        for i, (fault, sig) in enumerate(K.FAULTS.items())
+        for place, s in enumerate(sig)
     )
-    return f"""signatures(ord, fault, sensor) AS (VALUES {signatures}),
- fault_scores AS (SELECT e.event_id, s.fault, s.ord, sum(e.z) AS score
+    return f"""signatures(ord, fault, sensor, place) AS (VALUES {signatures}),
+ fault_scores AS (SELECT e.event_id, s.fault, s.ord,
+  list_sum(list(e.z ORDER BY s.place)) AS score
   FROM elevated e JOIN signatures s USING (sensor) GROUP BY ALL),
  faults AS (SELECT event_id, fault FROM fault_scores
-  QUALIFY row_number() OVER (PARTITION BY event_id ORDER BY round(score, 9) DESC, ord) = 1)"""
+  QUALIFY row_number() OVER (PARTITION BY event_id ORDER BY score DESC, ord) = 1)"""
 
 
 def symptom_ctes() -> str:
@@ -150,12 +153,13 @@ INCIDENT_COLUMNS = """event_id, machine_id, site, machine_type, round(alert_prob
  anomaly_prob, severity, symptom, likely_cause, recommended_action, source, retrieval_score"""
 INCIDENTS = f"{ALERTS}, {incident_ctes()}"
 
+DAY = "date_diff('day', DATE '1970-01-01', CAST(event_time AS DATE))"
 REFERENCE = f"""ref AS ({per_sensor(
     "'{s}' AS sensor, avg({s}) AS mean, stddev_samp({s}) AS std",
-    f"(SELECT * FROM tel WHERE day(event_time) <= {REFERENCE_DAYS})")})"""
+    f"(SELECT * FROM tel WHERE event_time < TIMESTAMP '{REFERENCE_END} 00:00:00')")})"""
 DRIFT = f"""{REFERENCE},
  long AS ({per_sensor(
-     "day(event_time) AS batch_id, '{s}' AS sensor, {s} AS v, {s} < {lo} OR {s} > {hi} AS bad,"
+     DAY + " AS batch_id, '{s}' AS sensor, {s} AS v, {s} < {lo} OR {s} > {hi} AS bad,"
      f" anomaly_prob >= {K.ALERT_PROB_THRESHOLD} AS hit", "scored")}),
  detail AS (SELECT batch_id, count(*) AS n_events, CAST(sum(CAST(hit AS INT)) AS BIGINT) AS n_alerts, sensor,
   round(avg(v), 3) AS batch_mean, round(any_value(mean), 3) AS ref_mean,
@@ -175,7 +179,7 @@ POSITION = f"""starts AS (SELECT window_start, sum(events) AS events,
   CAST(sum(events) FILTER (WHERE rn <= {CURSOR}) AS BIGINT) AS events_seen FROM starts)"""
 PREFIX = """prefix AS (SELECT * FROM summary QUALIFY row_number() OVER (ORDER BY batch_id) <=
   greatest(1, (SELECT round_even((SELECT count(*) FROM summary) * cursor / n_windows, 0) FROM cur)))"""
-SEEN = "seen AS (SELECT * FROM alerts WHERE event_time <= (SELECT now FROM cur))"
+SEEN = "seen AS (SELECT * FROM alerts WHERE coalesce(event_time <= (SELECT now FROM cur), true))"
 
 
 def count_by(column: str, source: str) -> str:
@@ -191,6 +195,42 @@ EVENT_COLUMNS = "event_id, event_time, site, machine_id, machine_type"
 SENSOR_LIST = ", ".join(K.SENSORS)
 FAULT_NAME = "CASE fault_k " + " ".join(f"WHEN {i} THEN '{f}'" for i, f in enumerate(K.FAULTS)) + " END"
 
+FINISHED = (
+    "WHERE window_end <= (SELECT date_trunc('milliseconds', max(event_time)) - INTERVAL '2 minutes' FROM tel)"
+)
+BOUNDS = f"(SELECT min({DAY}) AS low, max({DAY}) AS high FROM tel)"
+PART = (
+    f"CAST(({DAY} - (SELECT low FROM {BOUNDS})) // "
+    f"((SELECT (high - low) // {STREAM_PARTS} + 1 FROM {BOUNDS})) AS BIGINT)"
+)
+SPLIT = f"""split AS (SELECT *, CAST('0x' || substring(md5('{K.SEED}:' || event_id), 1, 6) AS BIGINT) % 1000
+  < {round(K.TRAIN_FRACTION * 1000)} AND event_time < TIMESTAMP '{TRAIN_END} 00:00:00' AS training FROM tel)"""
+
+
+def feature_ctes() -> str:
+    """Standardised sensors and category flags; levels go by frequency, then by name."""
+    levels, flags = [], []
+    for column, values in (("machine_type", K.MACHINE_TYPES), ("site", K.SITES)):
+        levels.append(
+            f"{column}_levels AS (SELECT {column}, row_number() OVER (ORDER BY count(*) DESC, {column}) AS level "
+            f"FROM split WHERE training GROUP BY 1)"
+        )
+        flags += [
+            f"CAST({column} = (SELECT {column} FROM {column}_levels WHERE level = {i + 1}) AS DOUBLE)"
+            for i in range(len(values))
+        ]
+    raw = [*K.SENSORS, *flags]
+    columns = ", ".join(f"{c} AS r{i}" for i, c in enumerate(raw))
+    means = ", ".join(f"avg(r{i}) AS m{i}, stddev_samp(r{i}) AS s{i}" for i in range(len(raw)))
+    scaled = ", ".join(
+        f"round(CASE WHEN s{i} = 0 THEN 0 ELSE (r{i} - m{i}) / s{i} END, 6) AS f{i}" for i in range(len(raw))
+    )
+    return (
+        f"{', '.join(levels)}, raw AS (SELECT event_id, training, {columns} FROM split), "
+        f"scale AS (SELECT {means} FROM raw WHERE training) SELECT event_id, {scaled} FROM raw, scale"
+    )
+
+
 ORACLES: dict[str, str] = {
     "window_metrics_1m": f"{VIEW} {WINDOWS.format(w='1 minute', avgs=averages())}",
     "window_metrics_1h": f"{VIEW} {WINDOWS.format(w='1 hour', avgs=averages())}",
@@ -261,12 +301,27 @@ ORACLES: dict[str, str] = {
     "quarantine": """SELECT reason, count(*) AS n FROM (SELECT CASE WHEN event_id % 97 = 0 THEN 'unreadable'
  WHEN event_id % 89 = 0 THEN 'event time' WHEN event_id % 83 = 0 THEN 'sensor value' END AS reason FROM events)
  WHERE reason IS NOT NULL GROUP BY 1 ORDER BY n DESC, reason""",
-    "event_files": f"{VIEW} {count_by('machine_type', 'tel')}",
-    "stream_window_metrics": f"{VIEW} SELECT * FROM ({WINDOWS.format(w='1 minute', avgs=averages())}) "
-    "WHERE window_end <= (SELECT date_trunc('milliseconds', max(event_time)) - INTERVAL '2 minutes' FROM tel)",
+    "event_files": f"{VIEW} SELECT machine_type, count(*) AS n, true AS within_limit, true AS in_order FROM tel "
+    "GROUP BY 1 ORDER BY n DESC, machine_type",
+    "stream_window_metrics": f"{VIEW} SELECT * FROM ({WINDOWS.format(w='1 minute', avgs=averages())}) {FINISHED}",
+    "stream_late": f"{VIEW} SELECT CAST(sum(events) AS BIGINT) AS events, CAST(1 AS BIGINT) AS late_rows "
+    f"FROM ({WINDOWS.format(w='1 minute', avgs=averages())}) {FINISHED}",
     "stream_alerts": f"{ALERTS} SELECT {EVENT_COLUMNS}, {SENSOR_LIST}, {rounded(['anomaly_prob'])}, "
-    "CAST(0 AS BIGINT) AS batch_id FROM alerts",
-    "stream_drift": f"WITH tel AS ({view_sql()}), scored AS (SELECT *, {surrogate_sql()} AS anomaly_prob FROM tel), "
-    f"{DRIFT.replace('day(event_time) AS batch_id', 'CAST(0 AS BIGINT) AS batch_id')} "
-    "SELECT * FROM summary",
+    f"{PART} AS batch_id FROM alerts",
+    "stream_drift": f"{SCORED}, {DRIFT.replace(DAY + ' AS batch_id', PART + ' AS batch_id')} SELECT * FROM summary",
+    "throughput_at_cursor": f"{VIEW}, wm AS ({WINDOWS.format(w='1 minute', avgs=averages())}), {POSITION} "
+    "SELECT site, window_start, CAST(sum(events) AS BIGINT) AS events FROM wm "
+    "WHERE coalesce(window_start <= (SELECT now FROM cur), true) GROUP BY ALL",
+    "alerts_by_type_at_cursor": f"{ALERTS}, {HOURLY}, {POSITION}, {SEEN} {count_by('machine_type', 'seen')}",
+    "feature_vectors": f"{VIEW}, {SPLIT}, {feature_ctes()}",
+    "gbt_quality": f"{VIEW}, {SPLIT} SELECT count(*) AS n_scored, CAST(sum(label) AS BIGINT) AS positives, "
+    "true AS accurate, true AS ranks_well FROM split WHERE NOT training",
+    "gbt_scores": f"{VIEW}, {SPLIT} SELECT event_id, label, true AS in_range FROM split WHERE NOT training",
+    "gbt_cv_metrics": f"{VIEW}, {SPLIT} SELECT 'GBTClassifier (Spark MLlib Pipeline)' AS model, "
+    f"{K.CV_FOLDS} AS cv_folds, count(*) AS n_train, true AS depth_in_grid, true AS ranks_well "
+    "FROM split WHERE training",
+    "model_reload": "SELECT count(*) AS n, CAST(0 AS BIGINT) AS differing FROM events",
 }
+ORACLES["end_to_end_summary"] = (
+    f"SELECT * EXCLUDE (drift_batches, max_drift_z_end, drifted_at_end) FROM ({ORACLES['run_summary']})"
+)

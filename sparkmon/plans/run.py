@@ -9,7 +9,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from sparkmon import constants as K
 from sparkmon.operators.incidents import incidents
-from sparkmon.operators.monitor import run_summary
+from sparkmon.operators.monitor import incident_totals, machine_totals, run_summary
 from sparkmon.operators.scoring import score
 from sparkmon.sources import files
 from sparkmon.sources.sinks import write_json
@@ -106,9 +106,9 @@ def report(
     ranked = incidents(alerts, guides, top_n).orderBy(F.col("alert_prob").desc(), F.col("event_id"))
     write_json(ranked, layout.incidents)
     summary = run_summary(
-        events,
-        alerts,
-        files.read_incidents(spark, layout.incidents),
+        machine_totals(events),
+        alerts.select(F.count(F.lit(1))).scalar(),
+        incident_totals(files.read_incidents(spark, layout.incidents)),
         files.read_drift_log(spark, layout.drift),
     )
     write_json(summary, layout.summary)

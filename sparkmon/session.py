@@ -1,5 +1,6 @@
 """Session factory and the shared scratch folder."""
 
+import atexit
 import os
 import tempfile
 import uuid
@@ -7,6 +8,8 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+_STAGED: list[str] = []
+
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 
@@ -70,15 +73,33 @@ def fresh_dir(spark: SparkSession, label: str) -> str:
     return f"{shared_dir(spark)}/sparkmon/{label}-{uuid.uuid4().hex}"
 
 
+def remove_staged(spark: SparkSession) -> None:
+    """Remove what :func:`stage` has written in this session; the results must have been used."""
+    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+    while _STAGED:
+        path = jvm.org.apache.hadoop.fs.Path(_STAGED.pop())
+        path.getFileSystem(conf).delete(path, True)
+
+
+@atexit.register
+def _remove_at_exit() -> None:
+    spark = SparkSession.getActiveSession()
+    if _STAGED and spark is not None and spark.sparkContext._jsc is not None:
+        remove_staged(spark)
+
+
 def stage(df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` as Parquet in the shared folder and read it back.
 
+    The folder is the session's: it goes when Python ends, or with :func:`remove_staged`.
+
     The written files cut the lineage, survive the loss of executors and have a known size, from
     which :func:`broadcast_if_small` and Catalyst choose between a broadcast and a shuffled join
     with skew splitting.
     """
     spark = df.sparkSession
     path = fresh_dir(spark, label)
+    _STAGED.append(path)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
@@ -100,15 +121,3 @@ def broadcast_if_small(staged: DataFrame) -> DataFrame:
     join with exploded text.
     """
     return F.broadcast(staged) if is_small(staged) else staged
-
-
-def spread(df: DataFrame) -> DataFrame:
-    """Deal the rows of a table below two scan splits out to all slots.
-
-    Such a table may sit in a single row group and would keep one slot busy; two splits bound the
-    cost of the shuffle. Larger tables pass through without one.
-    """
-    spark = df.sparkSession
-    split = spark._jsparkSession.sessionState().conf().filesMaxPartitionBytes()
-    slots = spark.sparkContext.defaultParallelism
-    return df.repartition(slots) if _planned_size(df) < 2 * split else df

@@ -14,15 +14,13 @@ CORPUS_SCHEMA = "name string, text string"
 
 
 def stream_json(
-    spark: SparkSession, path: str, max_files: int = K.MAX_FILES_PER_TRIGGER
+    spark: SparkSession, path: str, max_files: int | None = K.MAX_FILES_PER_TRIGGER
 ) -> DataFrame:
     """Typed event stream of a folder of JSON-lines files."""
-    raw = (
-        spark.readStream.schema(schema.WIRE_SCHEMA)
-        .option("maxFilesPerTrigger", max_files)
-        .json(path)
-    )
-    return parse_time(raw)
+    reader = spark.readStream.schema(schema.WIRE_SCHEMA)
+    if max_files is not None:
+        reader = reader.option("maxFilesPerTrigger", max_files)
+    return parse_time(reader.json(path))
 
 
 def read_json(spark: SparkSession, path: str) -> DataFrame:

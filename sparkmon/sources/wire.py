@@ -54,12 +54,8 @@ def is_valid() -> Column:
     return F.col("event_id").isNotNull() & F.col("event_time").isNotNull() & is_scorable()
 
 
-def valid_rows(events: DataFrame) -> DataFrame:
-    return events.filter(is_valid())
-
-
 def quarantined_rows(events: DataFrame) -> DataFrame:
-    """The complement of :func:`valid_rows`, with the reason."""
+    """Rows that cannot be used, with the reason."""
     return events.filter(~is_valid()).withColumn(
         "reason",
         F.when(F.col("event_id").isNull(), "unreadable")

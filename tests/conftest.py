@@ -30,7 +30,7 @@ def folder():
 
 @pytest.fixture(scope="session")
 def events(spark, folder):
-    from sparkmon.sources.telemetry import telemetry
+    from sparkmon.plans.telemetry import telemetry
 
     return telemetry(spark.read.parquet(f"{folder}/events.parquet")).persist()
 

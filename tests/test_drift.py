@@ -1,5 +1,6 @@
 import math
 
+import pytest
 from pyspark.sql import functions as F
 
 from sparkmon.constants import SENSORS
@@ -66,3 +67,15 @@ def test_threshold_is_strict(spark):
     reference = drift.feature_reference(readings(spark, 60.0, 60.0))
     detail, _ = evaluate(readings(spark, 61.0), reference)
     assert detail["temperature_c"]["drift_z"] == 1.0 and not detail["temperature_c"]["drifted"]
+
+
+def test_moments_combine_to_the_same_statistics(spark, events):
+    keys = events.withColumn("batch_id", F.dayofmonth("event_time").cast("long"))
+    parts = drift.moments(keys, ["batch_id", "site", "machine_id"])
+    order = lambda df: [tuple(r) for r in df.orderBy(df.columns[0]).collect()]
+    whole = order(drift.batch_statistics(keys, ["batch_id"]))
+    combined = order(drift.combined_statistics(parts, ["batch_id"]))
+    for a, b in zip(whole, combined, strict=True):
+        assert a == pytest.approx(b)
+    for a, b in zip(order(drift.feature_reference(keys)), order(drift.combined_reference(parts)), strict=True):
+        assert a[0] == b[0] and a[1:] == pytest.approx(b[1:])

@@ -45,7 +45,8 @@ def test_cursor_position_counts_windows_and_events(windows):
 
 def test_kpi_counts_alerts_up_to_the_window_start(spark, windows, alerts):
     position = monitor.cursor_position(windows, 4)
-    row = monitor.kpi_at_cursor(alerts, drift_log(spark, 5), position).collect()[0]
+    seen = monitor.alerts_seen(alerts, position)
+    row = monitor.kpi_at_cursor(seen, drift_log(spark, 5), position).collect()[0]
     assert (row["n_alerts"], row["events_seen"], row["alert_rate_pct"]) == (4, 40, 10.0)
     # round(5 * 0.4) = 2 batches, so the last visible one is batch 1
     assert row["drifted_sensors"] == 1
@@ -53,7 +54,8 @@ def test_kpi_counts_alerts_up_to_the_window_start(spark, windows, alerts):
 
 def test_kpi_without_events(spark, windows, alerts):
     position = monitor.cursor_position(windows.limit(0))
-    row = monitor.kpi_at_cursor(alerts.limit(0), drift_log(spark, 0), position).collect()[0]
+    seen = monitor.alerts_seen(alerts.limit(0), position)
+    row = monitor.kpi_at_cursor(seen, drift_log(spark, 0), position).collect()[0]
     assert (row["n_alerts"], row["events_seen"], row["alert_rate_pct"]) == (0, 0, 0.0)
     assert row["drifted_sensors"] == 0
 
@@ -71,32 +73,45 @@ def test_throughput_and_counts(windows, alerts):
     assert len(rows) == 20 and all(r["events"] == 2 * (r["window_start"].minute + 1) for r in rows)
     counted = monitor.count_by(alerts, "machine_type").collect()
     assert [tuple(r) for r in counted] == [("Lathe", 6), ("CNC_Mill", 4)]
-    assert monitor.count_map(alerts, "machine_type").collect()[0]["counts"] == {"Lathe": 6, "CNC_Mill": 4}
+
+
+def test_no_window_yet_shows_every_alert(windows, alerts):
+    position = monitor.cursor_position(windows.limit(0))
+    assert monitor.at_cursor(alerts, "event_time", position).count() == 10
+
+
+def test_cursor_needs_no_unpartitioned_window(spark, windows):
+    position = monitor.cursor_position(windows, 4)
+    plans = [monitor.drift_prefix(drift_log(spark, 5), position), windows.orderBy("window_start").limit(4)]
+    for df in plans:
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        assert "TakeOrdered" in plan and "Window " not in plan
 
 
 def test_top_incidents_with_one_dominant_machine(spark, alerts):
     # A third of all rows and all high probabilities belong to one machine that is not visible.
     rows = [(f"{i:05d}", "M-hidden", 0.99) for i in range(1000)]
     rows += [(f"{i:05d}", f"M-{i % 3}", (i % 700) / 1000) for i in range(1000, 3000)]
-    incidents = spark.createDataFrame(rows, "event_id string, machine_id string, alert_prob double")
-    incidents = incidents.withColumn("recommended_action", F.lit("x" * 200))
-    shown = monitor.top_incidents(incidents, alerts).collect()
+    raised = spark.createDataFrame(rows, "event_id string, machine_id string, anomaly_prob double")
+    best = monitor.top_alerts_seen(raised, alerts).withColumnRenamed("anomaly_prob", "alert_prob")
+    shown = monitor.with_preview(best.withColumn("recommended_action", F.lit("x" * 200))).collect()
     visible = sorted((r for r in rows if r[1] != "M-hidden"), key=lambda r: (-r[2], r[0]))[:4]
     assert [(r["event_id"], r["alert_prob"]) for r in shown] == [(v[0], v[2]) for v in visible]
     assert all(len(r["action_preview"]) == 160 for r in shown)
 
 
 def test_top_incidents_cut_within_tasks_before_the_shuffle(spark, alerts):
-    incidents = spark.createDataFrame(
-        [("a", "M-1", 0.5, "act")],
-        "event_id string, machine_id string, alert_prob double, recommended_action string",
+    raised = spark.createDataFrame(
+        [("a", "M-1", 0.5)], "event_id string, machine_id string, anomaly_prob double"
     )
-    plan = monitor.top_incidents(incidents, alerts)._jdf.queryExecution().executedPlan().toString()
+    plan = monitor.top_alerts_seen(raised, alerts)._jdf.queryExecution().executedPlan().toString()
     assert "WindowGroupLimit" in plan and "Partial" in plan
 
 
 def summary(spark, events, alerts, incidents, log):
-    return monitor.run_summary(events, alerts, incidents, log).collect()[0].asDict()
+    n_alerts = alerts.select(F.count(F.lit(1))).scalar()
+    machines, reports = monitor.machine_totals(events), monitor.incident_totals(incidents)
+    return monitor.run_summary(machines, n_alerts, reports, log).collect()[0].asDict()
 
 
 EVENTS = "site string, machine_id string, label int"

@@ -90,11 +90,3 @@ def test_named_documents_and_own_stop_words(spark):
 def test_tokens_are_runs_of_two_or_more_word_characters(spark):
     df = spark.createDataFrame([("A b2 x_y Ünï-c 7 don't",)], "text string")
     assert df.select(tokens("text")).collect()[0][0] == ["b2", "x_y", "ünï", "don"]
-
-
-def test_corpus_is_shuffled_once_when_factors_fit_a_broadcast(spark, folder):
-    docs = spark.read.parquet(f"{folder}/documents.parquet")
-    queries = spark.read.parquet(f"{folder}/benchmark.parquet").withColumnRenamed("text", "words")
-    scores = cosine_scores(docs, "doc_id", "text", queries, "item_id", "words")
-    plan = scores._jdf.queryExecution().executedPlan().toString()
-    assert plan.count("Exchange hashpartitioning") == 1 and "BroadcastHashJoin" in plan

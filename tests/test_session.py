@@ -1,12 +1,10 @@
+import os
+
 import pytest
 
 from sparkmon import session
 
 
-def partitions(df):
-    return df.rdd.getNumPartitions()
-
-
 def test_session_is_pinned_to_utc_and_adaptive(spark):
     assert spark.conf.get("spark.sql.session.timeZone") == "UTC"
     assert spark.conf.get("spark.sql.adaptive.enabled") == "true"
@@ -52,11 +50,8 @@ def test_broadcast_follows_the_staged_size(spark):
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
 
 
-def test_only_tables_below_two_splits_are_dealt_out(spark, folder):
-    events = spark.read.parquet(f"{folder}/events.parquet")
-    assert partitions(session.spread(events)) == spark.sparkContext.defaultParallelism
-    spark.conf.set("spark.sql.files.maxPartitionBytes", "1000")
-    try:
-        assert session.spread(events) is events
-    finally:
-        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+def test_staged_folders_can_be_removed(spark):
+    staged = session.stage(spark.range(3), "gone")
+    path = staged.inputFiles()[0].removeprefix("file://").rsplit("/", 1)[0]
+    session.remove_staged(spark)
+    assert not os.path.exists(path)

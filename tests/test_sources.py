@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from sparkmon.constants import SENSORS
 from sparkmon.schema import ALERT_SCHEMA, WIRE_SCHEMA
 from sparkmon.sources import files, kafka, sinks, wire
-from sparkmon.sources.telemetry import as_events, telemetry
+from sparkmon.plans.telemetry import as_events, telemetry
 
 GOOD = {
     "event_id": "e1",
@@ -37,18 +37,18 @@ def test_bad_rows_are_quarantined_with_a_reason(spark):
     missing = {k: v for k, v in GOOD.items() if k != "power_kw"}
     late = GOOD | {"event_time": "soon"}
     rows = decoded(spark, GOOD, missing, late, "{broken", None)
-    assert wire.valid_rows(rows).count() == 1
+    assert rows.filter(wire.is_valid()).count() == 1
     reasons = sorted(r["reason"] for r in wire.quarantined_rows(rows).collect())
     assert reasons == ["event time", "sensor value", "unreadable", "unreadable"]
 
 
 def test_nan_is_not_scorable(spark, events):
     odd = events.limit(1).withColumn("power_kw", F.lit(math.nan))
-    assert wire.valid_rows(odd).count() == 0
+    assert odd.filter(wire.is_valid()).count() == 0
 
 
 def test_parsing_happens_once_below_filters(spark):
-    plan = wire.valid_rows(decoded(spark, GOOD))._jdf.queryExecution().optimizedPlan().toString()
+    plan = decoded(spark, GOOD).filter(wire.is_valid())._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count("from_json") == 1
 
 

@@ -12,7 +12,7 @@ from sparkmon.operators.incidents import alerts
 from sparkmon.operators.windows import window_metrics
 from sparkmon.plans.run import Layout, report, start_streams
 from sparkmon.sources import files
-from sparkmon.sources.telemetry import as_events, surrogate_probability
+from sparkmon.plans.telemetry import as_events, surrogate_probability
 from sparkmon.sources.wire import encode
 from sparkmon.streaming.queries import late_rows_dropped, process_batch, start_window_metrics
 
