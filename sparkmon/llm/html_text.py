@@ -5,6 +5,7 @@ in, fewer the further up. Scores are discounted by the share of text inside link
 is the article; siblings that score well or read like paragraphs belong to it too.
 """
 
+import itertools
 import re
 from collections.abc import Iterator
 from html import unescape
@@ -17,11 +18,11 @@ from sparkmon.llm.text import sliced
 
 TEXT = "page_id long, url string, text string, n_chars long"
 
-# Quantifiers are possessive, so an unclosed quote costs one pass and no backtracking.
+# Quantifiers are possessive and a tag ends before the next one, so broken tags cost no second pass.
 TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)"
-    r"|<(?P<close>/?)(?P<name>[a-zA-Z][^\s/>]*+)(?P<rest>(?:[^>\"']|\"[^\"]*+\"|'[^']*+')*+)>"
-    r"|<(?P<close2>/?)(?P<name2>[a-zA-Z][^\s/>]*+)(?P<rest2>[^>]*+)>"
+    r"|<(?P<close>/?)(?P<name>[a-zA-Z][^\s/>]*+)(?P<rest>(?:[^<>\"']|\"[^\"]*+\"|'[^']*+')*+)>"
+    r"|<(?P<close2>/?)(?P<name2>[a-zA-Z][^\s/>]*+)(?P<rest2>[^<>]*+)>"
     r"|<[!?/][^>]*+(?:>|\Z)"
     r"|(?P<text>[^<]++|<)",
     re.DOTALL,
@@ -87,6 +88,7 @@ class Page:
         self.parts: list[str] = []
         self.link_parts: list[str] = []
         self.links = 0
+        self.unclosed: set[str] = set()
         self._read(html)
 
     def _read(self, html: str) -> None:
@@ -118,9 +120,12 @@ class Page:
 
     def _past(self, html: str, name: str, at: int) -> int:
         """Where the text goes on behind an element whose content is no text of the page."""
+        if name in self.unclosed:
+            return at
         end = re.compile(f"</{re.escape(name)}(?=[\\s/>])[^>]*>", re.IGNORECASE).search(html, at)
         if end:
             return end.end()
+        self.unclosed.add(name)
         if name == "head":  # its end tag may be left out
             body = re.compile("<body(?=[\\s/>])", re.IGNORECASE).search(html, at)
             return body.start() if body else at
@@ -235,16 +240,26 @@ class Page:
             element.parent.chars += element.chars
             element.parent.linked += element.linked
         best = max(self.elements, key=lambda e: (self.score(e), e.index))
-        keep = self._with_siblings(best)
-        dropped = [
-            (e.index, e.last)
-            for e in self.elements
-            if e.tag in ("ul", "ol", "dl", "table", "div", "section") and e.chars and 2 * e.linked > e.chars
-        ]
+        kept = self._inside(self._with_siblings(best))
+        dropped = self._inside(
+            [
+                (e.index, e.last)
+                for e in self.elements
+                if e.tag in ("ul", "ol", "dl", "table", "div", "section") and 2 * e.linked > e.chars
+            ]
+        )
         return "\n".join(
-            text for element, text, _ in blocks if within(element, keep) and not within(element, dropped)
+            text for element, text, _ in blocks if kept[element.index] and not dropped[element.index]
         )
 
+    def _inside(self, ranges: list[tuple[int, int]]) -> list[bool]:
+        """For every element, whether it lies in any of the ranges."""
+        edges = [0] * (len(self.elements) + 1)
+        for first, last in ranges:
+            edges[first] += 1
+            edges[last] -= 1
+        return [depth > 0 for depth in itertools.accumulate(edges)]
+
     @staticmethod
     def score(element: Element) -> float:
         if not element.points:
@@ -271,10 +286,6 @@ class Page:
         return ranges
 
 
-def within(element: Element, ranges: list[tuple[int, int]]) -> bool:
-    return any(first <= element.index < last for first, last in ranges)
-
-
 def main_text(html: str) -> str:
     return Page(html).main_text()
 
