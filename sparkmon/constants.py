@@ -60,6 +60,7 @@ CV_FOLDS = 3
 CV_PARALLELISM = 2
 
 # Report wording.
+MODEL_NAME = "GBTClassifier (Spark MLlib Pipeline)"
 NO_SYMPTOM = "multiple sensors elevated"
 ACTION_HEADING = "recommended action"
 ACTION_FALLBACK_CHARS = 300

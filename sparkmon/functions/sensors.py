@@ -4,6 +4,8 @@ Everything here is a narrow projection; no reading is exploded or shuffled to be
 expressions are SQL text, which costs one call per column when a micro-batch plan is built.
 """
 
+import math
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -55,14 +57,27 @@ def elevated_sensors() -> Column:
     return F.expr(f"slice(sort_array(array({entries}), false), 1, {count})")
 
 
-def fault() -> Column:
-    """Fault whose signature gathers the highest sum of elevated z; first declared on ties.
+def signature_weights(signature: dict[str, float]) -> dict[str, float]:
+    """A fault's shifts in standard deviations, at unit length."""
+    shifts = {s: shift / K.SENSOR_SPECS[s]["std"] for s, shift in signature.items()}
+    length = math.sqrt(sum(v * v for v in shifts.values()))
+    return {s: v / length for s, v in shifts.items()}
+
+
+def fault(scoring: str = "sum") -> Column:
+    """Fault whose signature fits the elevated z best; first declared on ties.
 
-    The neutral entry precedes all faults in tie order, so a fault needs a positive score.
+    ``sum`` adds up the elevated z of the signature's sensors. ``cosine`` weighs them by the signature at
+    unit length, which orders faults by the angle to the reading and so can name a fault whose sensors
+    are a subset of another's. The neutral entry precedes all faults in tie order, so a fault needs a
+    positive score.
     """
+    if scoring not in ("sum", "cosine"):
+        raise ValueError(f"unknown scoring {scoring!r}")
     candidates = [f"named_struct('score', 0D, 'tie', 1, 'fault', '{K.NO_FAULT}')"]
     for i, (name, signature) in enumerate(K.FAULTS.items()):
-        score = " + ".join(f"coalesce(z_{s}, 0D)" for s in signature)
+        weights = signature_weights(signature) if scoring == "cosine" else dict.fromkeys(signature, 1.0)
+        score = " + ".join(f"coalesce(z_{s}, 0D) * {w!r}D" for s, w in weights.items())
         candidates.append(f"named_struct('score', {score}, 'tie', {-i}, 'fault', '{name}')")
     return F.expr(f"greatest({', '.join(candidates)}).fault")
 

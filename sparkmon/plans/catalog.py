@@ -126,6 +126,12 @@ def fault_match(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def fault_match_cosine(spark: SparkSession, folder: str) -> DataFrame:
+    return sensors.with_elevation(view(spark, folder)).select(
+        "event_id", sensors.fault("cosine").alias("fault")
+    )
+
+
 def symptom_severity(spark: SparkSession, folder: str) -> DataFrame:
     return incidents.classify(scored(spark, folder)).select(
         "event_id", "symptom", "severity", "query_text"
@@ -522,6 +528,7 @@ PLANS: dict[str, Plan] = {
     "out_of_spec": out_of_spec,
     "elevated_sensors": elevated_sensors,
     "fault_match": fault_match,
+    "fault_match_cosine": fault_match_cosine,
     "symptom_severity": symptom_severity,
     "alerts": alert_rows,
     "tfidf_terms": tfidf_terms,

@@ -1,6 +1,7 @@
 """The same results as :mod:`sparkmon.plans.catalog`, as SQL for DuckDB over the same tables."""
 
 from sparkmon import constants as K
+from sparkmon.functions.sensors import signature_weights
 from sparkmon.functions.text import TOKEN_PATTERN, WHITESPACE
 from sparkmon.plans.catalog import CURSOR, REFERENCE_END, STREAM_PARTS, TOP_N, TRAIN_END
 from sparkmon.sources.files import packaged_texts
@@ -62,15 +63,15 @@ ELEVATED = f"""elevated AS (
  WHERE raw >= {K.ELEVATED_Z})"""
 
 
-def fault_ctes() -> str:
+def fault_ctes(cosine: bool = False) -> str:
     signatures = ", ".join(
-        f"({i}, '{fault}', '{s}', {place})"
+        f"({i}, '{fault}', '{s}', {place}, {number(weight if cosine else 1.0)})"
         for i, (fault, sig) in enumerate(K.FAULTS.items())
-        for place, s in enumerate(sig)
+        for place, (s, weight) in enumerate(signature_weights(sig).items())
     )
-    return f"""signatures(ord, fault, sensor, place) AS (VALUES {signatures}),
+    return f"""signatures(ord, fault, sensor, place, weight) AS (VALUES {signatures}),
  fault_scores AS (SELECT e.event_id, s.fault, s.ord,
-  list_sum(list(e.z ORDER BY s.place)) AS score
+  list_sum(list(e.z * s.weight ORDER BY s.place)) AS score
   FROM elevated e JOIN signatures s USING (sensor) GROUP BY ALL),
  faults AS (SELECT event_id, fault FROM fault_scores
   QUALIFY row_number() OVER (PARTITION BY event_id ORDER BY score DESC, ord) = 1)"""
@@ -242,6 +243,8 @@ ORACLES: dict[str, str] = {
     "elevated_sensors": f"{SCORED}, {ELEVATED} SELECT event_id, position, sensor, z FROM elevated",
     "fault_match": f"{SCORED}, {ELEVATED}, {fault_ctes()} SELECT event_id, "
     f"coalesce(fault, '{K.NO_FAULT}') AS fault FROM tel LEFT JOIN faults USING (event_id)",
+    "fault_match_cosine": f"{SCORED}, {ELEVATED}, {fault_ctes(cosine=True)} SELECT event_id, "
+    f"coalesce(fault, '{K.NO_FAULT}') AS fault FROM tel LEFT JOIN faults USING (event_id)",
     "symptom_severity": f"{SCORED}, {ELEVATED}, {symptom_ctes()} SELECT event_id, "
     f"coalesce(symptom, '{K.NO_SYMPTOM}') AS symptom, {SEVERITY} AS severity, "
     "replace(machine_type, '_', ' ') || coalesce(' ' || words, '') AS query_text "
@@ -317,8 +320,8 @@ ORACLES: dict[str, str] = {
     "gbt_quality": f"{VIEW}, {SPLIT} SELECT count(*) AS n_scored, CAST(sum(label) AS BIGINT) AS positives, "
     "true AS accurate, true AS ranks_well FROM split WHERE NOT training",
     "gbt_scores": f"{VIEW}, {SPLIT} SELECT event_id, label, true AS in_range FROM split WHERE NOT training",
-    "gbt_cv_metrics": f"{VIEW}, {SPLIT} SELECT 'GBTClassifier (Spark MLlib Pipeline)' AS model, "
-    f"{K.CV_FOLDS} AS cv_folds, count(*) AS n_train, true AS depth_in_grid, true AS ranks_well "
+    "gbt_cv_metrics": f"{VIEW}, {SPLIT} SELECT "
+    f"'{K.MODEL_NAME}' AS model, {K.CV_FOLDS} AS cv_folds, count(*) AS n_train, true AS depth_in_grid, true AS ranks_well "
     "FROM split WHERE training",
     "model_reload": "SELECT count(*) AS n, CAST(0 AS BIGINT) AS differing FROM events",
 }

@@ -52,7 +52,7 @@ def train(
     try:
         auc = evaluate.roc_auc(predictions)
         quality = evaluate.confusion(predictions).select(
-            F.lit("GBTClassifier (Spark MLlib Pipeline)").alias("model"),
+            F.lit(K.MODEL_NAME).alias("model"),
             F.round(F.lit(auc), 4).alias("auc"),
             F.round("precision", 3).alias("precision"),
             F.round("recall", 3).alias("recall"),

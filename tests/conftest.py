@@ -51,11 +51,11 @@ def alert(spark):
         "site": "Zurich",
         "machine_id": "M-1",
         "machine_type": "CNC_Mill",
-        "temperature_c": 95.0,
-        "vibration_mm_s": 3.0,
-        "spindle_load_pct": 90.0,
-        "power_kw": 35.0,
-        "acoustic_db": 80.0,
+        "temperature_c": 97.5,
+        "vibration_mm_s": 2.9,
+        "spindle_load_pct": 88.0,
+        "power_kw": 36.5,
+        "acoustic_db": 79.0,
         "anomaly_prob": 0.95,
     }
     types = ", ".join(

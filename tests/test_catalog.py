@@ -59,6 +59,11 @@ def test_streams_read_a_table_of_many_files(spark, folder, tmp_path, name):
         assert len({row[-1] for row in whole}) == catalog.STREAM_PARTS
 
 
+def test_only_cosine_scoring_names_a_fault_within_another(spark, folder):
+    faults = {n: {r.fault for r in PLANS[n](spark, folder).collect()} for n in ("fault_match", "fault_match_cosine")}
+    assert "coolant_loss" not in faults["fault_match"] and "coolant_loss" in faults["fault_match_cosine"]
+
+
 def test_entry_reports_incidents(spark):
     df = entry(spark)
     assert {"event_id", "likely_cause", "recommended_action"} <= set(df.columns)
