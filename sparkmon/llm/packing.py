@@ -2,8 +2,8 @@
 
 The plan depends on the histogram of piece lengths alone, which has at most as many rows as a sequence
 has tokens. Non-negative least squares chooses how often to repeat each pattern of up to four length
-classes so that together they use up the histogram; the counts are rounded, filled with exact lengths,
-and what is left over is packed best fit, longest first. Pieces then find their sequence from their
+classes so that together they use up the histogram; the counts are rounded and realised with lengths that fill a
+sequence exactly, and what is left over is packed best fit, longest first. Pieces then find their sequence from their
 number among the pieces of equal length, which costs no exchange of texts.
 """
 
@@ -23,6 +23,8 @@ from sparkmon.session import stage
 CAPACITY = 2048
 CLASSES = 64
 PATTERN_SIZE = 4
+#: Share of the fitted repeats to realise: what is left over keeps lengths of every size to fill gaps with.
+PATTERN_SHARE = 0.6
 
 PIECE = "doc_id long, piece int, start long, length int, ids_crc32 long, part int, number long"
 PACKED = (
@@ -97,6 +99,30 @@ class Lengths:
         lengths = np.flatnonzero(self.left[: room + 1])[::-1]
         return next((int(n) for n in lengths if self.left[n] > used.get(int(n), 0)), 0)
 
+    def filling(self, tops: list[int], width: int) -> dict[int, int]:
+        """Lengths left from classes of ``width`` below the tops that fill a sequence exactly, if any.
+
+        All but the last two are the longest of their classes; of the last two, every pair that sums up to
+        what is left is as good, and the first one found is taken.
+        """
+        room = len(self.left) - 1
+        used: dict[int, int] = {}
+        for top in tops[:-2]:
+            length = self.fits(min(top, room), used)
+            if length <= top - width:
+                return {}
+            used[length] = used.get(length, 0) + 1
+            room -= length
+        for first in range(min(tops[-2:][0], room), max(0, tops[-2:][0] - width), -1):
+            last = room - first
+            pair = [n for n in (first, last) if n]
+            wanted = used.copy()
+            for n in pair:
+                wanted[n] = wanted.get(n, 0) + 1
+            if all(self.left[n] >= k for n, k in wanted.items()):
+                return wanted
+        return {}
+
     def take(self, used: dict[int, int], most: int) -> int:
         """Take the lengths as often as they are left, ``most`` times at most."""
         times = min([most, *(int(self.left[n]) // k for n, k in used.items())])
@@ -105,60 +131,67 @@ class Lengths:
         return times
 
 
+class Sequences:
+    """Groups of equal sequences by the room that is left in them."""
+
+    def __init__(self, capacity: int):
+        self.capacity = capacity
+        self.by_room: list[list[tuple[int, tuple[int, ...]]]] = [[] for _ in range(capacity + 1)]
+
+    def add(self, repeats: int, chosen: tuple[int, ...]) -> None:
+        if repeats:
+            self.by_room[self.capacity - sum(chosen)].append((repeats, chosen))
+
+    def place(self, length: int, pieces: int) -> None:
+        """Put each piece where the least room is left, or into a new sequence."""
+        room = length
+        while pieces and room <= self.capacity:
+            if not self.by_room[room]:
+                room += 1
+                continue
+            repeats, chosen = self.by_room[room].pop()
+            most = room // length  # as many in each as fit, which is what comes next anyway
+            full, rest = divmod(min(pieces, repeats * most), most)
+            self.add(full, chosen + (length,) * most)
+            if rest:
+                self.add(1, chosen + (length,) * rest)
+            self.add(repeats - full - (rest > 0), chosen)
+            pieces -= full * most + rest
+        if pieces:
+            most = self.capacity // length
+            self.add(pieces // most, (length,) * most)
+            self.add(1 if pieces % most else 0, (length,) * (pieces % most))
+
+    def rows(self) -> list[tuple[int, tuple[int, ...]]]:
+        return [row for group in self.by_room for row in group]
+
+
 def plan(histogram: np.ndarray, capacity: int = CAPACITY) -> list[tuple[int, tuple[int, ...]]]:
     """``(repeats, lengths)`` rows that use up the histogram (index: length).
 
-    Every row exhausts a pattern's repeats or a length, so their number is bounded by the capacity and
-    the number of patterns, whatever the size of the corpus.
+    Every row exhausts a pattern's repeats, a length or a group of sequences, so their number is bounded by
+    the capacity and the number of patterns, whatever the size of the corpus.
     """
     lengths = Lengths(histogram)
-    rows: list[tuple[int, tuple[int, ...]]] = []
-    if lengths.left[capacity]:
-        rows.append((lengths.take({capacity: 1}, int(lengths.left[capacity])), (capacity,)))
+    sequences = Sequences(capacity)
+    sequences.add(lengths.take({capacity: 1}, int(lengths.left[capacity])), (capacity,))
     width = -(-capacity // CLASSES)
     classes = -(-np.arange(len(lengths.left)) // width)
-
-    def fill(start: list[int], most: int) -> int:
-        used: dict[int, int] = {}
-        room = capacity
-        chosen: list[int] = []
-
-        def add(length: int) -> None:
-            nonlocal room
-            used[length] = used.get(length, 0) + 1
-            room -= length
-            chosen.append(length)
-
-        for length in start:
-            add(length)
-        while length := lengths.fits(room, used):
-            add(length)
-        times = lengths.take(used, most)
-        rows.append((times, tuple(chosen)))
-        return times
-
     matrix = patterns()
     target = np.bincount(classes[1:], weights=lengths.left[1:], minlength=CLASSES + 1)[1:]
-    repeats = np.rint(nnls(matrix, target)).astype(np.int64)
+    repeats = np.floor(PATTERN_SHARE * nnls(matrix, target)).astype(np.int64)
     for column in np.argsort(-repeats, kind="stable"):
         most = int(repeats[column])
         sizes = np.flatnonzero(matrix[:, column]) + 1
         wanted = [int(c) for c in sizes[::-1] for _ in range(int(matrix[c - 1, column]))]
-        while most > 0:
-            used: dict[int, int] = {}
-            for size in wanted[:-1]:  # the last place takes whatever fits best
-                top, low = min(size * width, capacity), (size - 1) * width
-                length = lengths.fits(top, used)
-                if length <= low:
-                    break
-                used[length] = used.get(length, 0) + 1
-            else:
-                most -= fill([n for n, k in used.items() for _ in range(k)], most)
-                continue
-            break
-    while longest := lengths.fits(capacity, {}):
-        fill([longest], int(lengths.left[longest]))
-    return rows
+        while most > 0 and (used := lengths.filling([size * width for size in wanted], width)):
+            times = lengths.take(used, most)
+            sequences.add(times, tuple(n for n, k in used.items() for _ in range(k)))
+            most -= times
+    # What rounding and missing lengths leave over, longest first.
+    for length in range(capacity - 1, 0, -1):
+        sequences.place(length, int(lengths.left[length]))
+    return sequences.rows()
 
 
 class Places:
