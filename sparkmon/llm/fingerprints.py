@@ -5,12 +5,13 @@ is hashed, and the smallest hashes are its fingerprint; two fingerprints estimat
 two phrase sets, as a compressor would find shared phrases.
 """
 
+import bisect
 import hashlib
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -25,37 +26,45 @@ FINGERPRINT = (
 )
 
 
-def parse(text: str, seen: set[str], start: int = 0) -> list[int]:
-    """Add the phrases of ``text`` from ``start`` on to ``seen``; returns where each of them ends.
+def parse(text: bytes, seen: set[bytes], start: int = 0) -> tuple[list[bytes], list[int]]:
+    """The phrases of ``text`` from ``start`` on, given those seen before, and where each of them ends.
 
     A phrase's beginnings are all phrases too, so the search for its end may start at any length: it
     starts at the length of the last one and moves up or down.
     """
-    ends = []
-    add = seen.add
+    phrases, ends = [], []
+    add, keep, close = seen.add, phrases.append, ends.append
     size = len(text)
     length = 1
     while start < size:
-        end = min(start + length, size)
-        if text[start:end] in seen:
-            end += 1
-            while end <= size and text[start:end] in seen:
+        end = start + length
+        phrase = text[start:end]
+        if phrase in seen:
+            while phrase in seen and end < size:
                 end += 1
+                phrase = text[start:end]
         else:
-            while end - 1 > start and text[start : end - 1] not in seen:
+            while length > 1:
+                shorter = text[start : end - 1]
+                if shorter in seen:
+                    break
+                phrase = shorter
                 end -= 1
-        end = min(end, size)
-        add(text[start:end])
-        length = end - start
-        start = end
-        ends.append(end)
-    return ends
+                length -= 1
+        add(phrase)
+        keep(phrase)
+        length = len(phrase)
+        start += length
+        close(start)
+    return phrases, ends
 
 
-def smallest(phrases: set[str]) -> np.ndarray:
+def smallest(phrases: set[bytes]) -> np.ndarray:
     """The smallest hashes of the phrase set, ascending."""
-    digest = xxhash.xxh3_64_intdigest
-    hashes = np.fromiter((digest(p) >> 32 for p in phrases), np.uint32, len(phrases))
+    hashes = np.fromiter(map(zlib.crc32, phrases), np.uint32, len(phrases))
+    hashes *= np.uint32(0x9E3779B1)  # one-to-one, and spreads the checksums of short phrases
+    hashes ^= hashes >> np.uint32(15)
+    hashes *= np.uint32(0x85EBCA6B)
     if len(hashes) > SIZE:
         hashes = np.partition(hashes, SIZE)[:SIZE]
     return np.sort(hashes)
@@ -75,13 +84,13 @@ def text_of(sketch: np.ndarray) -> str:
 
 
 class Parsed:
-    """A text with its phrases and their ends."""
+    """A text with its phrases and their ends; phrases are of UTF-8 bytes."""
 
     def __init__(self, text: str):
         self.text = text
-        self.phrases: set[str] = set()
-        self.ends = parse(text, self.phrases)
-        self.sketch = smallest(self.phrases)
+        found: set[bytes] = set()
+        self.phrases, self.ends = parse(text.encode(), found)
+        self.sketch = smallest(found)
 
     def edited(self, following: str) -> tuple[str, np.ndarray]:
         """The text with its second half replaced by the start of the next, and its fingerprint.
@@ -89,17 +98,12 @@ class Parsed:
         Both parses agree on all phrases that end within the first half, so these are taken over.
         """
         cut = len(self.text) // 2
-        keep = len(self.text) - cut
-        edited = self.text[:keep] + following[:cut]
-        shared: set[str] = set()
-        at = 0
-        for end in self.ends:
-            if end > keep:
-                break
-            shared.add(self.text[at:end])
-            at = end
-        parse(edited, shared, at)
-        return edited, smallest(shared)
+        kept = self.text[: len(self.text) - cut]
+        edited = kept + following[:cut]
+        common = bisect.bisect_right(self.ends, len(kept.encode()))
+        found = set(self.phrases[:common])
+        parse(edited.encode(), found, self.ends[common - 1] if common else 0)
+        return edited, smallest(found)
 
 
 def _pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
