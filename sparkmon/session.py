@@ -69,12 +69,14 @@ def shared_dir(spark: SparkSession) -> str:
 
 
 def fresh_dir(spark: SparkSession, label: str) -> str:
-    """A path below the shared folder that no earlier run has used."""
-    return f"{shared_dir(spark)}/sparkmon/{label}-{uuid.uuid4().hex}"
+    """A path below the shared folder that no earlier run has used; it goes when Python ends."""
+    path = f"{shared_dir(spark)}/sparkmon/{label}-{uuid.uuid4().hex}"
+    _STAGED.append(path)
+    return path
 
 
 def remove_staged(spark: SparkSession) -> None:
-    """Remove what :func:`stage` has written in this session; the results must have been used."""
+    """Remove all folders of :func:`fresh_dir`; what was read from them must have been used."""
     jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
     while _STAGED:
         path = jvm.org.apache.hadoop.fs.Path(_STAGED.pop())
@@ -99,7 +101,6 @@ def stage(df: DataFrame, label: str) -> DataFrame:
     """
     spark = df.sparkSession
     path = fresh_dir(spark, label)
-    _STAGED.append(path)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
