@@ -5,8 +5,9 @@ signature of 128 values costs 64 permutations. Bands of four values choose candi
 confirmed on the full shingle sets, and groups are connected components.
 
 No step lists the pairs of a group. Documents with equal sets are one class from the start. In a band
-bucket every class is compared with one hub, and only classes that are still in different components
-after that are compared with each other.
+bucket every class is compared with one hub, which leaves what it lacks of the hub's shingles and what
+it has besides. Two classes that share no such difference are less alike than either is to the hub, so
+what is left to compare are classes in different components that share enough differences.
 """
 
 from collections.abc import Iterator
@@ -14,7 +15,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from sparkmon.llm.text import LOWERED, WordCodes, gram_codes, mixed, offsets, sliced, utf8
@@ -129,7 +130,7 @@ def components(edges: DataFrame, labels: DataFrame) -> DataFrame:
 
 
 def confirmed(pairs: DataFrame, sets: DataFrame, similarity: int) -> DataFrame:
-    """The ``a, b`` pairs whose full sets are similar enough, compared as sorted hash arrays."""
+    """The ``a, b`` pairs whose full sets are similar enough, compared as hash arrays."""
     left = sets.select(F.col("doc_id").alias("a"), F.col("shingles").alias("left"))
     right = sets.select(F.col("doc_id").alias("b"), F.col("shingles").alias("right"))
     joined = pairs.select("a", "b").join(right, "b").join(left, "a")
@@ -142,6 +143,29 @@ def confirmed(pairs: DataFrame, sets: DataFrame, similarity: int) -> DataFrame:
     return sizes.filter(F.expr(f"100 * common >= {similarity} * (total - common)")).select("a", "b")
 
 
+def differences(pairs: DataFrame, sets: DataFrame, similarity: int) -> DataFrame:
+    """Per ``hub, doc_id`` what the document lacks and has besides the hub, and whether they are linked.
+
+    With ``n`` hub shingles, ``x`` lacking and ``y`` besides, the likeness is (n - x) / (n + y), so the
+    two are linked if the burden 100 x + similarity y is at most (100 - similarity) n.
+    """
+    ours = sets.select("doc_id", F.col("shingles").alias("own"))
+    theirs = sets.select(F.col("doc_id").alias("hub"), F.col("shingles").alias("base"))
+    hubs = theirs.join(broadcast_if_small(stage(pairs.select("hub").distinct(), "hubs")), "hub", "left_semi")
+    joined = pairs.select("hub", "doc_id").join(ours, "doc_id").join(hubs, "hub")
+    apart = joined.select(
+        "hub",
+        "doc_id",
+        F.size("base").alias("n"),
+        F.array_except("base", "own").alias("lacks"),
+        F.array_except("own", "base").alias("adds"),
+    )
+    burden = 100 * F.size("lacks") + similarity * F.size("adds")
+    return apart.withColumn("burden", burden).withColumn(
+        "linked", F.col("burden") <= (100 - similarity) * F.col("n")
+    )
+
+
 def near_duplicate_groups(documents: DataFrame, similarity: int = SIMILARITY) -> DataFrame:
     """Per document its number of shingles, its group's smallest id, and whether it is that one.
 
@@ -169,18 +193,15 @@ def near_duplicate_groups(documents: DataFrame, similarity: int = SIMILARITY) ->
         .select("bucket", "hub"),
         "hubs",
     )
-    shared = stage(buckets.join(hubs, "bucket"), "shared")
-    votes = shared.filter("hub <> doc_id").groupBy("hub", "doc_id").agg(F.count("*").alias("votes"))
-    votes = stage(votes, "votes")
-    candidates = votes.select("doc_id").unionByName(votes.select(F.col("hub").alias("doc_id"))).distinct()
+    pairs = buckets.join(hubs, "bucket").filter("hub <> doc_id").select("hub", "doc_id").distinct()
+    pairs = stage(pairs, "hub-pairs")
+    candidates = pairs.select("doc_id").unionByName(pairs.select(F.col("hub").alias("doc_id"))).distinct()
     candidates = stage(candidates, "candidates")
     wanted = texts.join(broadcast_if_small(candidates), "doc_id", "left_semi")
     sets = stage(wanted.mapInArrow(_full_sets, SET), "sets")
 
-    # First every document against the hub it shares most bands with.
-    best = votes.groupBy("doc_id").agg(F.max(F.struct("votes", (-F.col("hub")).alias("nearest"))).alias("best"))
-    first = best.select((-F.col("best.nearest")).alias("a"), F.col("doc_id").alias("b"))
-    edges = confirmed(first, sets, similarity)
+    apart = stage(differences(pairs, sets, similarity), "differences")
+    edges = apart.filter("linked").select(F.col("hub").alias("a"), F.col("doc_id").alias("b"))
     # Rows that share an id but not a text link the classes they are in.
     lowest = members.groupBy("doc_id").agg(F.min("rep").alias("a"), F.max("rep").alias("b"))
     split = lowest.filter("a < b").select("doc_id", "a")
@@ -189,11 +210,7 @@ def near_duplicate_groups(documents: DataFrame, similarity: int = SIMILARITY) ->
     ends = edges.select(F.col("a").alias("id")).unionByName(edges.select(F.col("b").alias("id")))
     known = candidates.select(F.col("doc_id").alias("id")).unionByName(ends).distinct()
     labels = components(edges, known.withColumn("label", F.col("id")))
-
-    # Then the other hubs, and last whatever still shares a bucket across components.
-    hub_pairs = votes.select(F.col("hub").alias("a"), F.col("doc_id").alias("b"))
-    labels = linked(hub_pairs, labels, sets, similarity)
-    labels = linked(crossing(shared, labels), labels, sets, similarity)
+    labels = linked(crossing(apart, labels, similarity), labels, sets, similarity)
 
     grouped = members.join(labels.withColumnRenamed("id", "rep"), "rep", "left").select(
         "doc_id", "n_shingles", F.coalesce("label", "rep").alias("component_id")
@@ -205,24 +222,64 @@ def near_duplicate_groups(documents: DataFrame, similarity: int = SIMILARITY) ->
     return grouped.unionByName(alone).withColumn("kept", kept)
 
 
-def crossing(shared: DataFrame, labels: DataFrame) -> DataFrame:
-    """Pairs that share a bucket but not a component; a bucket within one component gives none."""
-    placed = shared.select("bucket", "doc_id").join(labels.withColumnRenamed("id", "doc_id"), "doc_id")
-    mixed_buckets = (
-        placed.groupBy("bucket")
-        .agg(F.min("label").alias("low"), F.max("label").alias("high"))
-        .filter("low < high")
-        .select("bucket")
+def crossing(apart: DataFrame, labels: DataFrame, similarity: int) -> DataFrame:
+    """Pairs with a common hub but in different components that may still be similar enough.
+
+    Let ``n`` be the hub's shingles and b the burdens of two documents. With s differences in common they
+    are similar enough if (100 + similarity) s >= b1 + b2 - (100 - similarity) n. Of such a pair at least
+    one, here called open, is not linked with the hub, so its burden exceeds (100 - similarity) n, and
+    the other one shares more than b / (100 + similarity) of its differences. So any choice of all but
+    that many of its differences holds a shared one; those that the fewest open documents have are
+    chosen. A difference that no other document of the hub has is never shared, which bounds s.
+    """
+    mine = labels.select(F.col("id").alias("doc_id"), "label")
+    hubs = labels.select(F.col("id").alias("hub"), F.col("label").alias("hub_label"))
+    placed = apart.join(mine, "doc_id").join(hubs, "hub").withColumn("open", F.expr("label <> hub_label"))
+    uneven = placed.filter("open").select("hub").distinct()
+    placed = placed.join(broadcast_if_small(stage(uneven, "uneven-hubs")), "hub", "left_semi")
+    total = F.size("lacks") + F.size("adds")
+    features = placed.select(
+        "hub",
+        "doc_id",
+        "label",
+        "open",
+        "n",
+        "burden",
+        total.alias("total"),
+        F.explode(F.concat("lacks", "adds")).alias("difference"),
+    )
+    key = ["hub", "difference"]
+    holders = features.groupBy(*key).agg(F.count("*").alias("all"), F.count_if("open").alias("open_ones"))
+    known = features.join(holders.filter("all > 1 AND open_ones > 0"), key)
+    known = known.withColumn("others", F.expr("open_ones - int(open)"))
+    mine = Window.partitionBy("hub", "doc_id")
+    order = mine.orderBy(F.expr("others = 0"), "others", "difference")
+    ranked = known.withColumns(
+        {
+            "rank": F.row_number().over(order),
+            "useful": F.count_if(F.col("others") > 0).over(mine),
+            "held": F.count("*").over(mine),
+        }
+    )
+    # Differences that no open one has come first in the choice and lead nowhere.
+    chosen = f"total - floor(burden / {100 + similarity}) - (total - useful)"
+    left = ranked.filter(f"others > 0 AND rank <= {chosen}").select(*key, "doc_id", "label", "burden", "useful")
+    right = ranked.filter("open").select(
+        *key,
+        F.col("doc_id").alias("other"),
+        F.col("label").alias("other_label"),
+        F.col("burden").alias("other_burden"),
+        F.col("held").alias("other_held"),
+        "n",
     )
-    open_ = stage(placed.join(mixed_buckets, "bucket", "left_semi"), "open")
-    left = open_.select("bucket", F.col("doc_id").alias("a"), F.col("label").alias("label_a"))
-    right = open_.select("bucket", F.col("doc_id").alias("b"), F.col("label").alias("label_b"))
-    pairs = left.join(right, "bucket").filter("label_a < label_b")
-    return pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+    least = F.col("burden") + F.col("other_burden") - (100 - similarity) * F.col("n")
+    enough = (100 + similarity) * F.least("useful", "other_held") >= least
+    pairs = left.join(right, key).filter((F.col("label") != F.col("other_label")) & enough)
+    return pairs.select(F.least("doc_id", "other").alias("a"), F.greatest("doc_id", "other").alias("b")).distinct()
 
 
 def linked(pairs: DataFrame, labels: DataFrame, sets: DataFrame, similarity: int) -> DataFrame:
-    """The labels after confirming those pairs that lie in different components."""
+    """The labels after confirming those of the pairs that lie in different components."""
     here = labels.select(F.col("id").alias("a"), F.col("label").alias("label_a"))
     there = labels.select(F.col("id").alias("b"), F.col("label").alias("label_b"))
     open_ = pairs.join(here, "a").join(there, "b").filter("label_a <> label_b").select("a", "b")
