@@ -27,7 +27,9 @@ BLOCK = 512
 HEADER = struct.Struct("<4sIQI")
 MAGIC = b"DAC1"
 
-SEGMENT = "part int, segment int, n_ids long, doc_ids array<long>, ends array<long>, codes binary"
+SEGMENT = (
+    "part int, segment int, n_ids long, ids_before long, doc_ids array<long>, ends array<long>, codes binary"
+)
 DOCUMENT = "doc_id long, start long, n_tokens long, ids_crc32 long"
 
 
@@ -110,14 +112,14 @@ def _segments(path: str, mark: str, spaced: bool, end_id: int):
 
         part, number = TaskContext.get().partitionId(), 0
         memo = encoder(path, mark, spaced)
-        docs, held, size = [], [], 0
+        docs, held, size, before = [], [], 0, 0
 
         def segment() -> pa.RecordBatch:
             ids = np.frombuffer(b"".join(held), "<u4")
             ends = np.cumsum([len(ids_of) // 4 for ids_of in held])
-            row = [[part], [number], [len(ids)], [docs], [ends.tolist()], [pack(ids)]]
-            types = [pa.int32(), pa.int32(), pa.int64(), *[pa.list_(pa.int64())] * 2, pa.binary()]
-            names = ["part", "segment", "n_ids", "doc_ids", "ends", "codes"]
+            row = [[part], [number], [len(ids)], [before], [docs], [ends.tolist()], [pack(ids)]]
+            types = [*[pa.int32()] * 2, *[pa.int64()] * 2, *[pa.list_(pa.int64())] * 2, pa.binary()]
+            names = ["part", "segment", "n_ids", "ids_before", "doc_ids", "ends", "codes"]
             return pa.RecordBatch.from_arrays(
                 [pa.array(v, t) for v, t in zip(row, types, strict=True)], names=names
             )
@@ -131,6 +133,7 @@ def _segments(path: str, mark: str, spaced: bool, end_id: int):
                 size += len(found) // 4 + 1
                 if size >= SEGMENT_IDS:
                     yield segment()
+                    before += size
                     docs, held, size, number = [], [], 0, number + 1
         if docs:
             yield segment()
@@ -159,21 +162,15 @@ def write_ids(
 def read_segments(spark: SparkSession, path: str) -> DataFrame:
     """The segments with ``base``, the number of ids in all segments before each.
 
-    Parts are numbered in the order of ids, so the base is a sum over the totals of the parts before,
-    of which there are as many as the write had tasks, plus one within the part.
+    Parts are numbered in the order of ids, so the base is a sum over the totals of the parts before plus
+    the count that each segment keeps of its own part. There are as many parts as the write had tasks,
+    which bounds the broadcast.
     """
     segments = spark.read.schema(SEGMENT).parquet(path)
     sizes = segments.groupBy("part").agg(F.sum("n_ids").alias("size"))
     before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     parts = sizes.select("part", F.coalesce(F.sum("size").over(before), F.lit(0)).alias("part_base"))
-    within = Window.partitionBy("part").orderBy("segment").rowsBetween(Window.unboundedPreceding, -1)
-    sums = segments.select(
-        "part", "segment", F.coalesce(F.sum("n_ids").over(within), F.lit(0)).alias("offset")
-    )
-    bases = sums.join(parts, "part").select(
-        "part", "segment", (F.col("part_base") + F.col("offset")).alias("base")
-    )
-    return segments.join(bases, ["part", "segment"])
+    return segments.join(F.broadcast(parts), "part").withColumn("base", F.expr("part_base + ids_before"))
 
 
 def _documents(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
