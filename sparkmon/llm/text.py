@@ -13,7 +13,7 @@ import pyarrow.compute as pc
 import xxhash
 
 SLICE_BYTES = 2 << 20
-MEMO_ENTRIES = 400_000
+MEMO_ENTRIES = 100_000
 
 UPPER, LOWER = b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"abcdefghijklmnopqrstuvwxyz"
 LOWERED = bytes.maketrans(UPPER, LOWER)
@@ -25,7 +25,10 @@ ALNUM = bytes(
 
 
 def sliced(batches: Iterator[pa.RecordBatch], column: str = "text") -> Iterator[pa.RecordBatch]:
-    """The same rows in batches of about ``SLICE_BYTES`` of text; a longer text stands alone."""
+    """The same rows in batches of about ``SLICE_BYTES`` of text; a longer text stands alone.
+
+    Python workers outlive their tasks, so what Arrow has freed goes back to the system at the end.
+    """
     for batch in batches:
         sizes = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False)
         group = np.cumsum(sizes, dtype=np.int64) // SLICE_BYTES
@@ -33,6 +36,7 @@ def sliced(batches: Iterator[pa.RecordBatch], column: str = "text") -> Iterator[
         for start, end in itertools.pairwise([0, *cuts.tolist(), batch.num_rows]):
             if end > start:
                 yield batch.slice(start, end - start)
+    pa.default_memory_pool().release_unused()
 
 
 def utf8(column: pa.Array) -> list[bytes]:

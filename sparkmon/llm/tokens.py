@@ -11,7 +11,7 @@ import re
 
 import numpy as np
 
-MEMO_ENTRIES = 400_000
+MEMO_ENTRIES = 150_000
 GROUP = 200
 
 # Ends of a word that both patterns split from the letters before them.
@@ -60,7 +60,10 @@ class PieceMemo:
         word = piece.rstrip(ENDINGS)
         letters = word[1:] if self.spaced and word[:1] == " " else word
         plain = letters.isalpha() and ord(max(letters)) < 0x250  # letters in every Unicode version
-        return (word, piece[len(word) :]) if plain else (piece, "")
+        if not plain:
+            return piece, ""
+        # The vocabulary without white space is one of lower-case words.
+        return word if self.spaced or not word.isascii() else word.lower(), piece[len(word) :]
 
     def _learn(self, new: set[str]) -> None:
         memo, old = self.memo, self.old
@@ -88,8 +91,8 @@ class PieceMemo:
             for piece, before, after in zip(group, at, at[1:], strict=False):
                 memo[piece] = held[4 * before + 4 : 4 * after]
         for piece, (word, ending) in parts.items():
-            if ending and word:
-                memo[piece] = memo[word] + memo[ending]
+            if word != piece:
+                memo[piece] = memo[word] + (memo[ending] if ending else b"")
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Ids of each text, for a group of texts of bounded size."""
