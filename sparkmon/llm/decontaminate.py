@@ -138,18 +138,18 @@ def covered(spans: np.ndarray, size: int) -> int:
     return int((np.cumsum(edges) > 0).sum())
 
 
+def _found(block: Benchmark, batch: pa.RecordBatch, texts: list[list[bytes]]) -> Iterator[tuple]:
+    """Per document the spans and items found so far and in this block."""
+    earlier = zip(batch.column("hit_spans").to_pylist(), batch.column("hit_items").to_pylist(), strict=True)
+    for (found, held), (old_spans, old_items) in zip(block.search(texts), earlier, strict=True):
+        yield old_spans + found.tobytes(), sorted(held | set(old_items))
+
+
 def _search_block(shared):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        block = shared.value
         for batch in sliced(batches):
             texts = [words_of(text) for text in utf8(batch.column("text"))]
-            spans, items = [], []
-            earlier = zip(
-                batch.column("hit_spans").to_pylist(), batch.column("hit_items").to_pylist(), strict=True
-            )
-            for (found, held), (old_spans, old_items) in zip(block.search(texts), earlier, strict=True):
-                spans.append(old_spans + found.tobytes())
-                items.append(sorted(held | set(old_items)))
+            spans, items = zip(*_found(shared.value, batch, texts), strict=True)
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column("doc_id"),
@@ -163,32 +163,39 @@ def _search_block(shared):
     return run
 
 
-def _report(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in sliced(batches):
-        rows = []
-        columns = [utf8(batch.column("text"))]
-        columns += [batch.column(c).to_pylist() for c in ("hit_spans", "hit_items")]
-        for text, spans, items in zip(*columns, strict=True):
-            size = len(words_of(text))
-            hit = covered(np.frombuffer(spans, np.int32).reshape(-1, 2), size) if spans else 0
-            digest = hashlib.sha256(",".join(items).encode()).hexdigest()
-            rows.append((size, hit, len(items), digest, hit > 0 and 20 * hit >= size))
-        values = list(zip(*rows, strict=True))
-        types = [pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.bool_()]
-        yield pa.RecordBatch.from_arrays(
-            [batch.column("doc_id"), *(pa.array(v, t) for v, t in zip(values, types, strict=True))],
-            names=["doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated"],
-        )
+def _report(shared):
+    """The last block's search and, behind it, the judgement, in one pass over the words."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in sliced(batches):
+            rows = []
+            texts = [words_of(text) for text in utf8(batch.column("text"))]
+            for words, (spans, items) in zip(texts, _found(shared.value, batch, texts), strict=True):
+                size = len(words)
+                hit = covered(np.frombuffer(spans, np.int32).reshape(-1, 2), size) if spans else 0
+                digest = hashlib.sha256(",".join(items).encode()).hexdigest()
+                rows.append((size, hit, len(items), digest, hit > 0 and 20 * hit >= size))
+            values = list(zip(*rows, strict=True))
+            types = [pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.bool_()]
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("doc_id"), *(pa.array(v, t) for v, t in zip(values, types, strict=True))],
+                names=["doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated"],
+            )
+
+    return run
+
 
+def contamination(documents: DataFrame, benchmark: DataFrame) -> DataFrame:
+    """Per document its words, the words hit, the items found and whether it is contaminated.
 
-def search_windows(documents: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """``doc_id, text, hit_spans, hit_items``: where windows of the benchmark occur.
+    A document is contaminated if at least one word in twenty is hit. Null texts have no words, an item
+    without words matches nothing, and items that repeat a text all count. Repeated rows each get their
+    own result, a null ``doc_id`` stays null, an empty table gives no rows, and further columns are
+    ignored.
 
     A search table holds at most about ``BLOCK_BYTES`` of benchmark text and is broadcast. A larger
     benchmark runs as several passes one after another in the same stage, so neither its size nor
-    that of the documents moves any text. ``hit_spans`` are pairs of 32-bit word positions, and
-    ``hit_items`` are sorted item ids. Null texts have no words; an item without words matches
-    nothing; items that repeat a text all count.
+    that of the documents moves any text.
     """
     spark = documents.sparkSession
     items = benchmark.select(
@@ -206,15 +213,6 @@ def search_windows(documents: DataFrame, benchmark: DataFrame) -> DataFrame:
         part = items.filter(F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)) == number)
         rows = [(row.item_id, bytes(row.text)) for row in part.toLocalIterator()]
         shared = spark.sparkContext.broadcast(Benchmark(rows))
-        found = found.mapInArrow(_search_block(shared), FOUND)
-    return found
-
-
-def contamination(documents: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """Per document its words, the words hit, the items found and whether it is contaminated.
-
-    A document is contaminated if at least one word in twenty is hit. Repeated rows each get their own
-    result, a null ``doc_id`` stays null, an empty table gives no rows, and further columns are
-    ignored.
-    """
-    return search_windows(documents, benchmark).mapInArrow(_report, REPORT)
+        if number < blocks - 1:
+            found = found.mapInArrow(_search_block(shared), FOUND)
+    return found.mapInArrow(_report(shared), REPORT)
