@@ -27,9 +27,8 @@ TOKEN = re.compile(
     r"|(?P<text>[^<]++|<)",
     re.DOTALL,
 )
-ATTRIBUTE = re.compile(
-    r"(class|id|role|style|hidden|aria-hidden)(?![\w-])(?:\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s>]*))?", re.IGNORECASE
-)
+# Takes every attribute with its value, so nothing inside a name or a value counts as an attribute.
+ATTRIBUTE = re.compile(r"([^\s\"'/>=][^\s/>=]*+)(?:\s*+=\s*+(\"[^\"]*+\"|'[^']*+'|[^\s>]*+))?")
 NAMES = re.compile(r"[a-z]+")
 COMMAS = re.compile("[,،、，]")
 
@@ -61,16 +60,35 @@ AGAINST = frozenset(
     "toolbar skip skiplink contentinfo complementary search searchbox dialog hidden tooltip copyright "
     "disclaimer byline".split()
 )
+# Those of them that are never an article, however long their text is.
+FOREIGN = frozenset(
+    "ads advert adverts advertisement advertising adsense comment comments commentlist discussion disqus reply "
+    "replies respond cookie cookies consent gdpr related recommended recommendations recommendation outbrain "
+    "taboola sidebar sidebars".split()
+)
+# A class with one of these words tells how a part looks or what is around it, not what it is for.
+STATES = frozenset(
+    "no not non has with without overflow backface open opened closed collapse collapsed enabled disabled".split()
+)
 FOR = frozenset("article body content entry hentry main page post text blog story prose".split())
 
+#: Characters from which a block counts as a paragraph to read, and those that make a part readable.
+PARAGRAPH, READABLE = 25, 80
+#: What counts of the score of a part whose names speak against it but that holds most of the page.
+DOUBTED = 0.75
+
 
 class Element:
-    __slots__ = ("chars", "index", "last", "linked", "names", "parent", "points", "skipped", "tag", "weight")
+    __slots__ = (
+        "chars", "doubts", "index", "last", "linked", "names", "parent", "points", "share", "skipped", "tag", "weight"
+    )
 
     def __init__(self, tag: str, parent: "Element | None", index: int):
         self.tag, self.parent, self.index, self.last = tag, parent, index, index
         self.names: frozenset[str] = frozenset()
         self.skipped = parent.skipped if parent else False
+        self.doubts: frozenset[str] = frozenset()
+        self.share = 1.0
         self.points = 0.0
         self.weight = 0.0
         self.chars = self.linked = 0
@@ -204,30 +222,69 @@ class Page:
             element.weight += 25
         if not rest.strip():
             return
-        found = {key.lower(): (value or "").strip("\"'").lower() for key, value in ATTRIBUTE.findall(rest)}
+        found: dict[str, str] = {}
+        for key, value in ATTRIBUTE.findall(rest):
+            found.setdefault(key.lower(), value.strip("\"'").lower())
         if "hidden" in found or found.get("aria-hidden") == "true" or "display:none" in found.get(
             "style", ""
         ).replace(" ", ""):
             element.skipped = True
-        names = frozenset(NAMES.findall(" ".join(found.get(k, "") for k in ("class", "id", "role"))))
-        element.names = names
+        given = [NAMES.findall(n) for k in ("class", "id", "role") for n in found.get(k, "").split()]
+        element.names = frozenset(itertools.chain.from_iterable(given))
+        names = frozenset(itertools.chain.from_iterable(n for n in given if STATES.isdisjoint(n)))
         if names & AGAINST and element.tag not in (*CONTAINERS, "body", "html", *HEADINGS):
             if names & FOR:
                 element.weight -= 25
             else:
-                element.skipped = True
+                element.doubts = names & AGAINST
         elif names & FOR:
             element.weight += 25
 
+    def _drop_doubtful(self) -> None:
+        """Skip elements whose names speak against them, unless one holds most of what the page has to read.
+
+        Such an element only scores less. Comments and the like are an article only if there is nothing
+        to read besides them.
+        """
+        if not any(e.doubts for e in self.elements):
+            return
+        known = [e.skipped for e in self.elements]
+        for firm in (FOREIGN, frozenset()):
+            out = list(known)
+            for e in self.elements[1:]:
+                out[e.index] = out[e.index] or out[e.parent.index] or bool(e.doubts & firm)
+            points, chars = [0.0] * len(out), [0] * len(out)
+            for element, text, linked in self.blocks:
+                if len(text) >= PARAGRAPH and not out[element.index]:
+                    points[element.index] += self.points(text, linked)
+                    chars[element.index] += len(text) - linked
+            for e in reversed(self.elements[1:]):
+                points[e.parent.index] += points[e.index]
+                chars[e.parent.index] += chars[e.index]
+            if chars[0] >= READABLE or not firm:
+                break
+        for e in self.elements[1:]:
+            e.skipped = known[e.index] or e.parent.skipped
+            e.share = e.parent.share
+            if e.doubts and not e.skipped:
+                if not out[e.index] and 2 * points[e.index] > points[0] and chars[e.index] >= READABLE:
+                    e.share = DOUBTED
+                else:
+                    e.skipped = True
+
+    @staticmethod
+    def points(text: str, linked: int) -> float:
+        return (1 + len(COMMAS.findall(text)) + min(len(text) / 100, 3)) * (1 - linked / len(text))
+
     def main_text(self) -> str:
+        self._drop_doubtful()
         blocks = [block for block in self.blocks if not block[0].skipped]
         if not blocks:
             return ""
         for element, text, linked in blocks:
             element.chars += len(text)
             element.linked += linked
-            points = 1 + len(COMMAS.findall(text)) + min(len(text) / 100, 3)
-            points *= 1 - linked / len(text)
+            points = self.points(text, linked)
             above = element.parent if element.tag in PARAGRAPHS and element.parent else element
             share = 1.0
             for level in range(1, 6):
@@ -264,7 +321,7 @@ class Page:
     def score(element: Element) -> float:
         if not element.points:
             return 0.0
-        return (element.points + element.weight) * (1 - element.linked / max(1, element.chars))
+        return (element.points + element.weight) * element.share * (1 - element.linked / max(1, element.chars))
 
     def _with_siblings(self, best: Element) -> list[tuple[int, int]]:
         """Ranges of the elements that make up the article, in page order."""

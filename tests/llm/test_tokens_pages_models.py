@@ -236,6 +236,36 @@ def test_page_texts_of_a_table(spark):
     assert html_text.page_texts(pages.filter("false")).count() == 0
 
 
+LONG = "The harbour was quiet that morning, and nobody on the pier, as far as we know, saw the boat leave."
+
+
+@pytest.mark.parametrize(
+    "start, end",
+    [
+        ('<div class="overflow-hidden">', "</div>"),
+        ('<div class="site no-sidebar">', "</div>"),
+        ('<div id="layout-no-sidebars">', "</div>"),
+        ('<section class="has-sidebar">', "</section>"),
+        ('<article title="hidden treasures">', "</article>"),
+        ('<div data-hidden="false" data-role="menu">', "</div>"),
+        ("<div title='x class=\"menu\" style=\"display:none\"'>", "</div>"),
+        ('<div class="promo banner">', "</div>"),
+        ('<div id="widget"><div class="comments">', "</div></div>"),
+    ],
+)
+def test_names_around_the_article_do_not_lose_it(start, end):
+    page = f'<body><div class="menu"><a>Home</a></div>{start}<p>{LONG}</p><p>{LONG}</p>{end}<div>end</div></body>'
+    assert html_text.main_text(page) == f"{LONG}\n{LONG}"
+
+
+def test_comments_hidden_parts_and_menus_are_no_article():
+    talk = "".join(f"<li>{LONG} {LONG}</li>" for _ in range(20))
+    for attributes in ('class="comments"', "hidden", 'style="display: none"', 'class="cookie-consent"'):
+        page = f"<body><div><p>{LONG}</p><p>{LONG}</p></div><div {attributes}><ul>{talk}</ul></div></body>"
+        assert html_text.main_text(page) == f"{LONG}\n{LONG}"
+    assert html_text.main_text('<div class="menu"><ul><li>Home<li>News<li>About</ul></div>') == ""
+
+
 def test_toxicity_on_the_held_out_fold(spark, folder):
     folder = folder.replace("sf0.001", "sf0.01")
     scores = queries.op7_toxicity(spark, folder)
