@@ -1,8 +1,10 @@
 """Hashed text features and two small models fitted on a bounded sample of labelled documents.
 
-Only fitting is bounded: at most about ``SAMPLE_ROWS`` labelled rows, chosen by a hash of their id, and the
-``FEATURES`` features whose presence says most about the label among them, if they say enough for
-their mean label to lie ``LEAST_DISTANCE`` standard errors off. Scoring reads every document whole.
+Only fitting is bounded: at most about ``SAMPLE_ROWS`` labelled rows, chosen by a hash of their id, and
+``FEATURES`` features. Those whose mean label lies ``LEAST_DISTANCE`` standard errors off come first, then those
+that most documents have, whatever their labels. How much each counts is left to a penalty of ``PENALTY``
+standard errors of its gradient, which takes weights that say nothing to zero. Scoring reads every
+document whole.
 """
 
 import operator
@@ -23,6 +25,9 @@ SAMPLE_ROWS = 24_000
 FEATURES = 20_000
 LEAST_DOCUMENTS = 3
 LEAST_DISTANCE = 6.0
+PENALTY = 1.0
+#: Steps of a fit at least, so that few labels are learned as far as many.
+STEPS = 1_000
 PREFIX = 5
 FACTORS = 8
 
@@ -103,7 +108,10 @@ def examples(documents: DataFrame, labels: DataFrame, shapes: bool, rows: int =
 
 
 def telling_features(found: DataFrame) -> DataFrame:
-    """The features whose documents' mean label is furthest from the mean, in standard errors."""
+    """Features whose documents' mean label is far from the mean, in standard errors, then the most frequent.
+
+    A term can matter only together with another one, so frequent terms take part whatever their mean.
+    """
     whole = found.agg(F.avg("label"), F.stddev_pop("label")).first()
     mean, spread = (float(v or 0.0) for v in whole)
     by_feature = (
@@ -113,8 +121,8 @@ def telling_features(found: DataFrame) -> DataFrame:
         .filter(F.col("n") >= LEAST_DOCUMENTS)
     )
     distance = F.abs(F.col("mean") - mean) * F.sqrt("n") / (spread or 1.0)
-    telling = by_feature.filter(distance >= LEAST_DISTANCE)
-    return telling.orderBy(distance.desc(), "feature").limit(FEATURES).select("feature")
+    alone = F.when(distance >= LEAST_DISTANCE, distance)
+    return by_feature.orderBy(alone.desc_nulls_last(), F.desc("n"), "feature").limit(FEATURES).select("feature")
 
 
 def fitted(
@@ -143,7 +151,19 @@ def fitted(
 
     rows = found.coalesce(1).mapInPandas(run, "name string, value binary").collect()
     model = {row.name: np.frombuffer(row.value, np.float32) for row in rows}
-    return {"features": chosen, **model}
+    return used({"features": chosen, **model})
+
+
+def used(model: dict[str, np.ndarray]) -> dict[str, np.ndarray]:
+    """The same model without the features that add nothing to any score."""
+    if "weights" not in model:
+        return model
+    alive = model["weights"] != 0
+    if "vectors" in model:
+        vectors = model["vectors"].reshape(-1, FACTORS)
+        alive = alive | vectors.any(axis=1)
+        model = model | {"vectors": vectors[alive].ravel()}
+    return model | {"features": model["features"][alive], "weights": model["weights"][alive]}
 
 
 def known_places(chosen: np.ndarray, features: np.ndarray) -> np.ndarray:
@@ -172,6 +192,12 @@ class Adam:
         second = self.second / (1 - 0.999**self.step)
         return self.rate * first / (np.sqrt(second) + 1e-8)
 
+    def shrunk(self, values: np.ndarray, gradient: np.ndarray, penalty: np.ndarray) -> np.ndarray:
+        """The values after a step, and by the penalty on their sizes nearer to zero."""
+        moved = values - self.move(gradient)
+        second = self.second / (1 - 0.999**self.step)
+        return np.sign(moved) * np.maximum(np.abs(moved) - self.rate * penalty / (np.sqrt(second) + 1e-8), 0)
+
 
 def batches_of(places: np.ndarray, starts: np.ndarray, rounds: int, size: int = 512):
     """Shuffled minibatches as ``(documents, places, starts)``."""
@@ -199,31 +225,92 @@ def machine_scores(model: dict[str, np.ndarray], places: np.ndarray, starts: np.
     return float(model["bias"][0]) + linear + 0.5 * ((sums**2).sum(axis=1) - squares)
 
 
+def rounds_of(rounds: int, rows: int, size: int = 512) -> int:
+    return max(rounds, -(-STEPS // -(-rows // size)))
+
+
+def penalties(places: np.ndarray, width: int, errors: np.ndarray) -> np.ndarray:
+    """``PENALTY`` standard errors of each weight's gradient while nothing is learned."""
+    return PENALTY * errors.std() * np.sqrt(np.bincount(places, minlength=width)) / len(errors)
+
+
+def telling_pairs(places: np.ndarray, starts: np.ndarray, width: int, rest: np.ndarray, chance: np.ndarray):
+    """Whether a feature is in any pair whose documents the weights alone leave far from their labels.
+
+    ``rest`` is label less probability and ``chance`` its variance. The distance of a pair is the sum of
+    ``rest`` over its documents in standard errors, one document's worth added, so a pair
+    in fewer than ``LEAST_DISTANCE`` squared documents of even chance needs clear labels.
+    """
+    paired = np.zeros(width, bool)
+    counts = np.bincount(places, minlength=width)
+    order = np.argsort(places, kind="stable")
+    bounds = offsets(counts.tolist())
+    rows = np.searchsorted(starts, order, "right") - 1
+    ends = starts[rows + 1]
+    for feature in np.flatnonzero(counts >= LEAST_DISTANCE):  # the sum is at most the count
+        total, spread = np.zeros(width), np.ones(width)
+        for at in range(bounds[feature], bounds[feature + 1], 4096):
+            here = slice(at, min(at + 4096, bounds[feature + 1]))
+            first = order[here] + 1  # places of a row ascend, so every pair comes once
+            lengths = ends[here] - first
+            inner = offsets(lengths)
+            others = places[np.repeat(first - inner[:-1], lengths) + np.arange(inner[-1])]
+            total += np.bincount(others, np.repeat(rest[rows[here]], lengths), width)
+            spread += np.bincount(others, np.repeat(chance[rows[here]], lengths), width)
+        far = np.abs(total) >= LEAST_DISTANCE * np.sqrt(spread)
+        paired |= far
+        paired[feature] |= far.any()
+    return paired
+
+
 def fit_machine(
     places: np.ndarray, starts: np.ndarray, labels: np.ndarray, width: int, rounds: int = 20
 ) -> dict[str, np.ndarray]:
-    """Factorization machine for 0/1 labels: logistic loss, minibatches, decaying weights."""
-    rng = np.random.default_rng(11)
+    """Factorization machine for 0/1 labels: logistic loss, minibatches, penalised weights.
+
+    Weights are fitted first. Vectors are learned for the features of pairs that still tell something
+    then, and stay zero for others, whose products would only fit noise.
+    """
     share = min(max(labels.mean(), 1e-3), 1 - 1e-3)
     model = {
         "bias": np.array([np.log(share / (1 - share))]),
         "weights": np.zeros(width),
-        "vectors": rng.normal(0, 0.01, width * FACTORS),
+        "vectors": np.zeros(width * FACTORS),
     }
-    moves = {"bias": Adam(1, 0.01), "weights": Adam(width, 0.02), "vectors": Adam(width * FACTORS, 0.005)}
+    rounds = rounds_of(rounds, len(labels))
+    penalty = penalties(places, width, labels - share)
+    moves = {"bias": Adam(1, 0.01), "weights": Adam(width, 0.02)}
     for docs, here, inner in batches_of(places, starts, rounds):
-        error = (sigmoid(machine_scores(model, here, inner)) - labels[docs]) / len(docs)
-        each = np.repeat(error, np.diff(inner))
-        vectors = model["vectors"].reshape(-1, FACTORS)
-        mine = vectors[here]
-        others = np.repeat(segment_sums(mine, inner), np.diff(inner), axis=0) - mine
-        pull = each[:, None] * others
-        slope = np.stack([np.bincount(here, pull[:, f], width) for f in range(FACTORS)], axis=1)
+        linear = segment_sums(model["weights"][here], inner)
+        error = (sigmoid(model["bias"] + linear) - labels[docs]) / len(docs)
         model["bias"] -= moves["bias"].move(np.array([error.sum()]))
-        weights = np.bincount(here, each, width) + 1e-6 * model["weights"]
-        model["weights"] -= moves["weights"].move(weights)
-        model["vectors"] -= moves["vectors"].move((slope + 1e-5 * vectors).ravel())
-    return model
+        slope = np.bincount(here, np.repeat(error, np.diff(inner)), width)
+        model["weights"] = moves["weights"].shrunk(model["weights"], slope, penalty)
+    chance = sigmoid(model["bias"] + segment_sums(model["weights"][places], starts))
+    paired = telling_pairs(places, starts, width, labels - chance, chance * (1 - chance))
+    if not paired.any():
+        return model
+    slots = np.cumsum(paired) - 1
+    vectors = np.random.default_rng(11).normal(0, 0.01, (int(paired.sum()), FACTORS))
+    moves["vectors"] = Adam(vectors.shape, 0.005)
+    for docs, here, inner in batches_of(places, starts, rounds):
+        inside = paired[here]
+        edges = np.concatenate([[0], np.cumsum(inside)])[inner]
+        slot = slots[here[inside]]
+        mine = vectors[slot]
+        sums = segment_sums(mine, edges)
+        products = 0.5 * ((sums**2).sum(axis=1) - segment_sums((mine**2).sum(axis=1), edges))
+        linear = segment_sums(model["weights"][here], inner)
+        error = (sigmoid(model["bias"] + linear + products) - labels[docs]) / len(docs)
+        pull = np.repeat(error, np.diff(edges))[:, None] * (np.repeat(sums, np.diff(edges), axis=0) - mine)
+        slope = np.stack([np.bincount(slot, pull[:, f], len(vectors)) for f in range(FACTORS)], axis=1)
+        vectors = vectors - moves["vectors"].move(slope + 1e-5 * vectors)
+        model["bias"] -= moves["bias"].move(np.array([error.sum()]))
+        slope = np.bincount(here, np.repeat(error, np.diff(inner)), width)
+        model["weights"] = moves["weights"].shrunk(model["weights"], slope, penalty)
+    everywhere = np.zeros((width, FACTORS))
+    everywhere[paired] = vectors
+    return model | {"vectors": everywhere.ravel()}
 
 
 def ordinal_tails(model: dict[str, np.ndarray], places: np.ndarray, starts: np.ndarray) -> np.ndarray:
@@ -240,7 +327,10 @@ def fit_ordinal(
     above = np.clip([(grades > k).mean() for k in range(top)], 1e-3, 1 - 1e-3)
     model = {"weights": np.zeros(width), "thresholds": np.sort(-np.log(above / (1 - above)))}
     moves = {"weights": Adam(width, 0.02), "thresholds": Adam(top, 0.01)}
-    for docs, here, inner in batches_of(places, starts, rounds):
+    # Without weights the error of a grade is the sum of its two tails less one.
+    bounds = np.concatenate([[1.0], sigmoid(-model["thresholds"]), [0.0]])
+    penalty = penalties(places, width, bounds[grades] + bounds[grades + 1] - 1)
+    for docs, here, inner in batches_of(places, starts, rounds_of(rounds, len(grades))):
         tails = ordinal_tails(model, here, inner)
         grade = grades[docs]
         # Likelihood of a grade: difference of neighbouring tails, whose slopes are p (1 - p).
@@ -252,8 +342,8 @@ def fit_ordinal(
         shift = np.zeros((len(docs), top + 2))
         shift[row, grade] += slopes[row, grade] / likely / len(docs)
         shift[row, grade + 1] -= slopes[row, grade + 1] / likely / len(docs)
-        weights = np.bincount(here, np.repeat(error, np.diff(inner)), width) + 1e-6 * model["weights"]
-        model["weights"] -= moves["weights"].move(weights)
+        slope = np.bincount(here, np.repeat(error, np.diff(inner)), width)
+        model["weights"] = moves["weights"].shrunk(model["weights"], slope, penalty)
         moved = model["thresholds"] - moves["thresholds"].move(shift[:, 1:-1].sum(axis=0))
         model["thresholds"] = np.maximum.accumulate(moved)
     return model

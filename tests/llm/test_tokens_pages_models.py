@@ -315,6 +315,20 @@ def test_machine_learns_a_pair_that_weights_cannot():
     assert right.mean() > 0.95
 
 
+def test_toxicity_learns_a_pair_of_words_that_say_nothing_alone(spark):
+    rng = np.random.default_rng(3)
+    rows, truth = [], {}
+    for doc in range(4000):
+        one, two = (rng.random(2) < 0.5).tolist()
+        filler = [f"w{n}" for n in rng.integers(0, 400, 12)]
+        rows.append((doc, " ".join(filler + ["mention"] * one + ["insult"] * two), int(one == two)))
+        truth[doc] = int(one == two)
+    table = spark.createDataFrame(rows, "doc_id long, text string, toxic int")
+    scored = toxicity.toxicity(table.select("doc_id", "text"), table.select("doc_id", "toxic"))
+    got = scored.filter("held_out").collect()
+    assert len(got) > 600 and np.mean([r["predicted"] == truth[r["doc_id"]] for r in got]) > 0.95
+
+
 def test_ordinal_thresholds_stay_in_order():
     rng = np.random.default_rng(2)
     grades = rng.integers(0, 4, 2000)
