@@ -5,7 +5,8 @@ subsequence of their places keeps the anchors that stand in the same order on bo
 between them are aligned the same way. Coverage is the share of the template's words that are aligned.
 
 A text can hold a notice anywhere, and more than once, so the alignment runs on the stretches around
-every place of the template's word that is rarest in the text.
+every place of the template's words, rarest in the text first, until no notice without the
+words tried can cover more than the best one found, or enough.
 """
 
 import bisect
@@ -134,29 +135,43 @@ class Templates:
             # No alignment has more words than both sides share, so this rules nothing out wrongly.
             if np.minimum(known, counts).sum() < least * len(words):
                 continue
-            best = self._best(coded, known, words)
+            best = self._best(coded, known, words, counts, least)
             if best[0] >= least * len(words):
                 found.append((number, *best))
         return found
 
     @staticmethod
-    def _best(coded: np.ndarray, known: np.ndarray, words: list[int]) -> tuple[int, int, int]:
-        once = [w for w, n in Counter(words).items() if n == 1 and known[w]] or [
-            w for w in dict.fromkeys(words) if known[w]
-        ]
+    def _best(
+        coded: np.ndarray, known: np.ndarray, words: list[int], counts: np.ndarray, least: float
+    ) -> tuple[int, int, int]:
+        shared = np.minimum(known, counts)
+        left = int(shared.sum())
+        places = {}
+        for place, word in enumerate(words):
+            places.setdefault(word, []).append(place)
+        slack = int(SLACK * len(words)) + 1
         best = (0, 0, 0)
-        # If the notice lacks a word, the next rarest one still leads to it.
-        for rare in sorted(once, key=lambda w: (known[w], w))[:3]:
-            place = words.index(rare)
-            slack = int(SLACK * len(words)) + 1
-            for at in np.flatnonzero(coded == rare).tolist():
-                start = max(0, at - place - slack)
-                stretch = coded[start : at + len(words) - place + slack].tolist()
-                pairs = align(stretch, words)
-                if len(pairs) > best[0]:
-                    best = (len(pairs), start + pairs[0][0], start + pairs[-1][0] + 1)
-            if best[0] == len(words):
+        tried = set()
+        for rare in sorted((w for w in places if known[w]), key=lambda w: (known[w] / shared[w], w)):
+            # What is not found yet aligns none of the words tried.
+            if left <= best[0] or left < least * len(words):
                 break
+            left -= int(shared[rare])
+            for at in np.flatnonzero(coded == rare).tolist():
+                for place in places[rare]:
+                    start, end = max(0, at - place - slack), min(len(coded), at + len(words) - place + slack)
+                    if (start, end) in tried:
+                        continue
+                    tried.add((start, end))
+                    stretch = coded[start:end]
+                    here = np.bincount(stretch, minlength=len(counts))
+                    here[0] = 0
+                    bound = np.minimum(here, counts).sum()
+                    if bound <= best[0] or bound < least * len(words):
+                        continue
+                    pairs = align(stretch.tolist(), words)
+                    if len(pairs) > best[0]:
+                        best = (len(pairs), start + pairs[0][0], start + pairs[-1][0] + 1)
         return best
 
 

@@ -277,6 +277,16 @@ def test_longest_increasing_matches_brute_force():
         assert chain == sorted(chain) and len(chain) == best
 
 
+def test_license_is_found_if_the_words_it_lacks_stand_elsewhere():
+    """Fifty notices without four words, each of which occurs once in another place."""
+    lacking = ["portions", "substantial", "furnished", "sublicense"]
+    known = licenses.Templates({"MIT": licenses.TEMPLATES["MIT"]})
+    notice = [w for w in licenses.TEMPLATES["MIT"].encode().translate(licenses.ALNUM).split() if w.decode() not in lacking]
+    words = [w for word in lacking for w in (*[b"x"] * 300, word.encode())] + ([b"x"] * 300 + notice) * 50
+    coded = np.array([known.numbers.get(w, 0) for w in words])
+    assert [(n, aligned) for n, aligned, _, _ in known.scan(coded, 0.8)] == [(0, len(notice))]
+
+
 def test_license_scan(spark):
     mit = licenses.TEMPLATES["MIT"]
     noise = " ".join(passage(3, 500))
