@@ -49,6 +49,7 @@ ALONE |= {"td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}}
 LISTS = {"li": {"ul", "ol", "menu"}, "dt": {"dl"}, "dd": {"dl"}, "tr": {"table"}, "td": {"tr", "table"}}
 LISTS |= {"th": {"tr", "table"}, "option": {"select"}}
 CONTAINERS = frozenset("article main".split())
+PAGES = frozenset("#root html body".split())
 # Words in class, id or role that tell what a part of a page is for.
 AGAINST = frozenset(
     "ad ads adv advert adverts advertisement advertising adsense sponsor sponsored sponsors promo promos "
@@ -298,17 +299,42 @@ class Page:
             element.parent.linked += element.linked
         best = max(self.elements, key=lambda e: (self.score(e), e.index))
         kept = self._inside(self._with_siblings(best))
-        dropped = self._inside(
-            [
-                (e.index, e.last)
-                for e in self.elements
-                if e.tag in ("ul", "ol", "dl", "table", "div", "section") and 2 * e.linked > e.chars
-            ]
-        )
+        dropped = self._inside(self._menus(best, blocks))
         return "\n".join(
             text for element, text, _ in blocks if kept[element.index] and not dropped[element.index]
         )
 
+    def _menus(self, best: Element, blocks: list[tuple[Element, str, int]]) -> list[tuple[int, int]]:
+        """Ranges of link lists that are not the article's.
+
+        A container chosen as the article keeps all it holds. If that is the whole page, what stands
+        between its paragraphs, or behind them under a heading, belongs to them, and other link lists do not.
+        """
+        linked = [
+            (e.index, e.last)
+            for e in self.elements
+            if e.tag in ("ul", "ol", "dl", "table", "div", "section") and 2 * e.linked > e.chars
+        ]
+        if self.score(best) <= 0:
+            return linked
+        if best.tag not in PAGES:
+            return [(first, last) for first, last in linked if last <= best.index or first >= best.last]
+        read = [e.index for e, text, links in blocks if e.tag == "p" and len(text) >= PARAGRAPH and links < len(text)]
+        if not read:
+            return linked
+        headed: set[int] = set()
+        latest: dict[int, Element] = {}
+        for e in self.elements[read[0] + 1 :]:
+            before = latest.get(e.parent.index)
+            if e.parent.index in headed or (before is not None and before.tag in HEADINGS):
+                headed.add(e.index)
+            latest[e.parent.index] = e
+        return [
+            (first, last)
+            for first, last in linked
+            if last <= read[0] or (first > read[-1] and first not in headed)
+        ]
+
     def _inside(self, ranges: list[tuple[int, int]]) -> list[bool]:
         """For every element, whether it lies in any of the ranges."""
         edges = [0] * (len(self.elements) + 1)
@@ -328,7 +354,14 @@ class Page:
         if best.parent is None:
             return [(0, len(self.elements))]
         top = self.score(best)
-        least = max(10.0, 0.2 * top)
+        least = 0.2 * top
+        unnamed = not best.weight and best.tag in ("div", "section")
+        prose = [0] * len(self.elements)
+        if unnamed:
+            for element, text, _ in self.blocks:
+                prose[element.index] += len(text) if element.tag in PARAGRAPHS else 0
+            for element in reversed(self.elements[1:]):
+                prose[element.parent.index] += prose[element.index]
         ranges = []
         for element in self.elements[best.parent.index + 1 : best.parent.last]:
             if element.parent is not best.parent or element.skipped:
@@ -338,7 +371,10 @@ class Page:
             reads = element.tag in PARAGRAPHS and (
                 (element.chars > 80 and density < 0.25) or (element.chars and not element.linked)
             )
-            if element is best or self.score(element) + bonus >= least or reads:
+            # Without names, parts of paragraphs beside the best one read on.
+            more = unnamed and element.tag == best.tag and not element.names and density < 0.25
+            reads = reads or (more and 2 * prose[element.index] > element.chars > 0)
+            if element is best or (self.score(element) > 0 and self.score(element) + bonus >= least) or reads:
                 ranges.append((element.index, element.last))
         return ranges
 

@@ -258,6 +258,29 @@ def test_names_around_the_article_do_not_lose_it(start, end):
     assert html_text.main_text(page) == f"{LONG}\n{LONG}"
 
 
+LINKS = "<ul><li><a href=/1>One source</a></li><li><a href=/2>Another source</a></li></ul>"
+LISTED = "One source\nAnother source"
+
+
+@pytest.mark.parametrize(
+    "html, text",
+    [
+        (f"<nav>{LINKS}</nav><article><p>{LONG}</p>{LINKS}</article>", f"{LONG}\n{LISTED}"),
+        (f"<body>{LINKS}<div><p>{LONG}</p><p>{LONG}</p>{LINKS}</div>{LINKS}</body>", f"{LONG}\n{LONG}\n{LISTED}"),
+        (f"<body><div><p>Ja, <a>{LONG}</a></p><p>So, <a>{LONG}</a></p></div></body>", f"Ja, {LONG}\nSo, {LONG}"),
+        (f"<body>{LINKS}<p>{LONG}</p>{LINKS}<p>{LONG}</p>{LINKS}</body>", f"{LONG}\n{LISTED}\n{LONG}"),
+        (f"<body>{LINKS}<p>{LONG}</p><h2>Sources</h2>{LINKS}</body>", f"{LONG}\nSources\n{LISTED}"),
+        (f"<body>{LINKS}</body>", ""),
+        (
+            f"<body><div>{f'<p>{LONG}</p>' * 9}</div><div><p>It ended there.</p></div>{LINKS}</body>",
+            "\n".join([LONG] * 9 + ["It ended there."]),
+        ),
+    ],
+)
+def test_link_lists_and_short_parts_of_the_article_stay(html, text):
+    assert html_text.main_text(html) == text
+
+
 def test_comments_hidden_parts_and_menus_are_no_article():
     talk = "".join(f"<li>{LONG} {LONG}</li>" for _ in range(20))
     for attributes in ('class="comments"', "hidden", 'style="display: none"', 'class="cookie-consent"'):
