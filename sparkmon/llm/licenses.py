@@ -10,6 +10,7 @@ words tried can cover more than the best one found, or enough.
 """
 
 import bisect
+import itertools
 from collections import Counter
 from collections.abc import Iterator
 
@@ -28,6 +29,9 @@ SCAN = (
     "doc_id long, n_words long, license string, coverage double, n_aligned long, start long, end long, "
     "n_licenses long"
 )
+FOUND = "license string, coverage double, n_aligned long, start long, end long"
+#: Templates up to so many words differ from others in a word or two, which may be no other ones.
+SHORT = 20
 
 # Wordings of public licenses and of the notices that grant them.
 TEMPLATES = {
@@ -36,6 +40,34 @@ TEMPLATES = {
     "CC-BY-NC-4.0 notice": "Licensed under CC BY-NC 4.0.",
     "CC-BY-4.0 notice": "This work is licensed under a Creative Commons Attribution 4.0 International License.",
     "GPL-3.0 notice": "This work is licensed under the GNU General Public License, version 3.",
+    "GPL-2.0 notice": "This work is licensed under the GNU General Public License, version 2.",
+    "LGPL-3.0 notice": "This work is licensed under the GNU Lesser General Public License, version 3.",
+    "LGPL-2.1 notice": "This work is licensed under the GNU Lesser General Public License, version 2.1.",
+    "AGPL-3.0 notice": "This work is licensed under the GNU Affero General Public License, version 3.",
+    "BSD notice": "Released under the BSD License.",
+    "ISC notice": "Released under the ISC License.",
+    "MPL-2.0 notice": "Licensed under the Mozilla Public License, Version 2.0.",
+    "CC-BY-4.0 short notice": "Licensed under CC BY 4.0.",
+    "CC-BY-SA-4.0 notice": "Licensed under CC BY-SA 4.0.",
+    "CC-BY-ND-4.0 notice": "Licensed under CC BY-ND 4.0.",
+    "CC-BY-NC-SA-4.0 notice": "Licensed under CC BY-NC-SA 4.0.",
+    "CC-BY-NC-ND-4.0 notice": "Licensed under CC BY-NC-ND 4.0.",
+    "MPL-2.0": (
+        "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy of the "
+        "MPL was not distributed with this file, You can obtain one at https://mozilla.org/MPL/2.0/."
+    ),
+    "ISC": (
+        "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee "
+        "is hereby granted, provided that the above copyright notice and this permission notice appear in all "
+        "copies."
+    ),
+    "BSD-2-Clause": (
+        "Redistribution and use in source and binary forms, with or without modification, are permitted "
+        "provided that the following conditions are met: 1. Redistributions of source code must retain the "
+        "above copyright notice, this list of conditions and the following disclaimer. 2. Redistributions in "
+        "binary form must reproduce the above copyright notice, this list of conditions and the following "
+        "disclaimer in the documentation and/or other materials provided with the distribution."
+    ),
     "Apache-2.0": (
         'Licensed under the Apache License, Version 2.0 (the "License"); you may not use this file except in '
         "compliance with the License. You may obtain a copy of the License at "
@@ -123,6 +155,7 @@ class Templates:
             if coded:
                 self.names.append(name)
                 self.words.append(coded)
+        self.digits = {number for word, number in self.numbers.items() if word.isdigit()}
         for coded in self.words:
             self.counts.append(np.bincount(coded, minlength=len(self.numbers) + 1))
 
@@ -140,9 +173,14 @@ class Templates:
                 found.append((number, *best))
         return found
 
-    @staticmethod
+    def _tells(self, pairs: list[tuple[int, int]], words: list[int]) -> bool:
+        """Whether no word of a short notice stands replaced by another and none of its numbers lacks."""
+        replaced = any(i2 > i + 1 and j2 > j + 1 for (i, j), (i2, j2) in itertools.pairwise(pairs))
+        aligned = {j for _, j in pairs}
+        return not replaced and all(j in aligned for j, word in enumerate(words) if word in self.digits)
+
     def _best(
-        coded: np.ndarray, known: np.ndarray, words: list[int], counts: np.ndarray, least: float
+        self, coded: np.ndarray, known: np.ndarray, words: list[int], counts: np.ndarray, least: float
     ) -> tuple[int, int, int]:
         shared = np.minimum(known, counts)
         left = int(shared.sum())
@@ -150,6 +188,7 @@ class Templates:
         for place, word in enumerate(words):
             places.setdefault(word, []).append(place)
         slack = int(SLACK * len(words)) + 1
+        short = len(words) <= SHORT
         best = (0, 0, 0)
         tried = set()
         for rare in sorted((w for w in places if known[w]), key=lambda w: (known[w] / shared[w], w)):
@@ -167,17 +206,31 @@ class Templates:
                     here = np.bincount(stretch, minlength=len(counts))
                     here[0] = 0
                     bound = np.minimum(here, counts).sum()
-                    if bound <= best[0] or bound < least * len(words):
+                    if bound + short <= best[0] or bound < least * len(words):
                         continue
                     pairs = align(stretch.tolist(), words)
-                    if len(pairs) > best[0]:
-                        best = (len(pairs), start + pairs[0][0], start + pairs[-1][0] + 1)
+                    if not pairs or (short and not self._tells(pairs, words)):
+                        continue
+                    found = (len(pairs), start + pairs[0][0], start + pairs[-1][0] + 1)
+                    # Of equal ones the tightest counts, so that words in between are none of the notice's.
+                    if (found[0], found[1] - found[2]) > (best[0], best[1] - best[2]):
+                        best = found
         return best
 
 
+def apart(found: list[tuple[int, int, int, int]]) -> list[tuple[int, int, int, int]]:
+    """The templates found without those that stand in the place of one that says more, best first."""
+    kept = []
+    for one in sorted(found, key=lambda f: (-f[1], f[0])):
+        if all(one[3] <= first or last <= one[2] for _, _, first, last in kept):
+            kept.append(one)
+    return kept
+
+
 def _scan(templates: Templates, least: float):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         number = templates.numbers.get
+        keys = [field.split()[0] for field in FOUND.split(", ")]
         for batch in sliced(batches):
             rows = []
             texts = [text.translate(ALNUM).split() for text in utf8(batch.column("text"))]
@@ -187,15 +240,17 @@ def _scan(templates: Templates, least: float):
                 batch.column("doc_id").to_pylist(), starts[:-1].tolist(), starts[1:].tolist(), strict=True
             ):
                 found = templates.scan(flat[start:end], least) if end > start else []
-                row = (None, 0.0, 0, None, None)
-                if found:
-                    # The template with most words aligned says most; a notice is part of its license.
-                    n, aligned, first, last = max(found, key=lambda f: (f[1], -f[0]))
-                    share = aligned / len(templates.words[n])
-                    row = (templates.names[n], share, aligned, first, last)
-                rows.append((doc, end - start, *row, len(found)))
-            names = [field.split()[0] for field in SCAN.split(", ")]
-            types = [pa.int64(), pa.int64(), pa.string(), pa.float64(), *[pa.int64()] * 4]
+                # The template with most words aligned says most; a notice is part of its license.
+                each = [
+                    (templates.names[n], aligned / len(templates.words[n]), aligned, first, last)
+                    for n, aligned, first, last in apart(found)
+                ]
+                row = each[0] if each else (None, 0.0, 0, None, None)
+                listed = [dict(zip(keys, one, strict=True)) for one in each]
+                rows.append((doc, end - start, *row, len(each), listed))
+            one = [pa.string(), pa.float64(), *[pa.int64()] * 3]
+            names = [field.split()[0] for field in SCAN.split(", ")] + ["licenses"]
+            types = [pa.int64(), pa.int64(), *one, pa.int64(), pa.list_(pa.struct(list(zip(keys, one, strict=True))))]
             columns = list(zip(*rows, strict=True))
             yield pa.RecordBatch.from_arrays(
                 [pa.array(c, t) for c, t in zip(columns, types, strict=True)], names=names
@@ -209,7 +264,8 @@ def license_scan(
 ) -> DataFrame:
     """Per document the license it covers best, how much of it, and where it stands.
 
-    ``start`` and ``end`` are word places. A document that covers no template by ``least`` has a null
+    ``licenses`` has every license found, best first, with the place it covers best; what stands in the
+    place of one that says more is left out. ``start`` and ``end`` are word places. A document that covers no template by ``least`` has a null
     license and coverage 0; so have null and empty texts. Of templates that align equally many words
     the first one counts. Repeated rows each get a result, null ids stay null, an empty table gives
     no rows, and further columns are ignored. Nothing is shuffled.
@@ -218,4 +274,5 @@ def license_scan(
         F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")
     )
     known = Templates(TEMPLATES if templates is None else templates)
-    return texts.mapInArrow(_scan(known, least), SCAN)
+    each = ", ".join(field.replace(" ", ": ") for field in FOUND.split(", "))
+    return texts.mapInArrow(_scan(known, least), f"{SCAN}, licenses array<struct<{each}>>")

@@ -287,6 +287,27 @@ def test_license_is_found_if_the_words_it_lacks_stand_elsewhere():
     assert [(n, aligned) for n, aligned, _, _ in known.scan(coded, 0.8)] == [(0, len(notice))]
 
 
+def test_licenses_that_differ_in_a_word_are_told_apart(spark):
+    gnu = "This work is licensed under the GNU {}General Public License, version {}."
+    cases = {
+        "Released under the BSD License.": ["BSD notice"],
+        "Released under the Foo License.": [],
+        "Licensed under CC BY-SA 4.0.": ["CC-BY-SA-4.0 notice"],
+        gnu.format("Lesser ", 3): ["LGPL-3.0 notice"],
+        gnu.format("Affero ", 3): ["AGPL-3.0 notice"],
+        gnu.format("", 2): ["GPL-2.0 notice"],
+        gnu.format("", 3): ["GPL-3.0 notice"],
+        "Licensed under the Apache License, Version 1.1.": [],
+        "Licensed under CC BY-NC 4.0. Text between. Licensed under CC BY 4.0. Released under the MIT License.":
+            ["CC-BY-NC-4.0 notice", "MIT notice", "CC-BY-4.0 short notice"],
+    }
+    got = {r["doc_id"]: r for r in licenses.license_scan(frame(spark, list(enumerate(cases)))).collect()}
+    for doc, names in enumerate(cases.values()):
+        assert sorted(one["license"] for one in got[doc]["licenses"]) == sorted(names)
+        assert got[doc]["n_licenses"] == len(names)
+    assert {(one["start"], one["end"]) for one in got[8]["licenses"]} == {(0, 7), (9, 15), (15, 20)}
+
+
 def test_license_scan(spark):
     mit = licenses.TEMPLATES["MIT"]
     noise = " ".join(passage(3, 500))
