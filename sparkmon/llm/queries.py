@@ -4,10 +4,13 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from sparkmon.llm.alignment import alignment_digests
+from sparkmon.llm.conversations import damage, repair_report
 from sparkmon.llm.decontaminate import contamination
 from sparkmon.llm.fingerprints import fingerprints
 from sparkmon.llm.html_text import page_texts
 from sparkmon.llm.licenses import license_scan
+from sparkmon.llm.mixing import mix, quality_weights
 from sparkmon.llm.near_duplicates import near_duplicate_groups
 from sparkmon.llm.packing import pack_documents
 from sparkmon.llm.quality import graded, quality
@@ -23,6 +26,8 @@ Query = Callable[[SparkSession, str], DataFrame]
 #: File, separating special token, whether white space belongs to the next piece, end id.
 FILE_VOCABULARY = ("word_bpe_49k.json", "<|startoftext|>", False, 2)
 PACK_VOCABULARY = ("byte_bpe_50k.json", "<|endoftext|>", True, 0)
+#: Byte-level file, special token of it, sentence piece file.
+ALIGNED_VOCABULARIES = ("byte_bpe_50k.json", "<|endoftext|>", "piece_bpe_32k.model")
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -77,6 +82,22 @@ def op10_fingerprints(spark: SparkSession, folder: str) -> DataFrame:
     return fingerprints(table(spark, folder, "documents"))
 
 
+def op11_conversation_repair(spark: SparkSession, folder: str) -> DataFrame:
+    return repair_report(damage(table(spark, folder, "conversations")))
+
+
+def op12_mixing(spark: SparkSession, folder: str) -> DataFrame:
+    documents = table(spark, folder, "documents")
+    return mix(quality_weights(documents, table(spark, folder, "labels")))
+
+
+def op13_alignment(spark: SparkSession, folder: str) -> DataFrame:
+    name_a, mark, name_b = ALIGNED_VOCABULARIES
+    return alignment_digests(
+        table(spark, folder, "documents"), tokenizer_path(name_a), mark, tokenizer_path(name_b)
+    )
+
+
 QUERIES: dict[str, Query] = {
     "op1_license_scan": op1_license_scan,
     "op2_substring_dedup": op2_substring_dedup,
@@ -88,6 +109,9 @@ QUERIES: dict[str, Query] = {
     "op8_html_text": op8_html_text,
     "op9_near_duplicates": op9_near_duplicates,
     "op10_fingerprints": op10_fingerprints,
+    "op11_conversation_repair": op11_conversation_repair,
+    "op12_mixing": op12_mixing,
+    "op13_alignment": op13_alignment,
 }
 
 DECONTAMINATE_SQL = r"""
