@@ -9,7 +9,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from sparkmon.functions.text import is_content, tokens
-from sparkmon.session import broadcast_if_small, stage
+from sparkmon.operators.text_index import best_documents, build_index
+from sparkmon.session import broadcast_if_small, fresh_dir, stage
 
 SCORE_DECIMALS = 9
 HOT_TOKENS = 20_000
@@ -140,16 +141,6 @@ def _pair_sums(
     )
 
 
-def best_document(scores: DataFrame, query_id: str, doc_id: str) -> DataFrame:
-    """Highest score per query, the lowest ``doc_id`` on ties; combined before the shuffle."""
-    best = F.min(F.struct((-F.col("score")).alias("negated"), F.col(doc_id)))
-    return (
-        scores.groupBy(query_id)
-        .agg(best.alias("best"))
-        .select(query_id, f"best.{doc_id}", (-F.col("best.negated")).alias("score"))
-    )
-
-
 def retrieve_best(
     corpus: DataFrame,
     doc_id: str,
@@ -159,16 +150,19 @@ def retrieve_best(
     query_text: str,
     stop_words: list[str] | None = None,
 ) -> DataFrame:
-    """Best document of every query; a query without a shared token gets the first document."""
-    scores = cosine_scores(corpus, doc_id, text, queries, query_id, query_text, stop_words)
-    best = best_document(scores, query_id, doc_id)
+    """Best document of every query; a query without a shared token gets the first document.
+
+    The corpus is indexed in a scratch folder; pairs that cannot win are not scored.
+    """
+    index = build_index(corpus, doc_id, text, fresh_dir(corpus.sparkSession, "text-index"), stop_words)
+    best = best_documents(index, queries, query_id, query_text, stop_words)
     first = corpus.select(F.min(doc_id)).scalar()
     return (
         queries.select(query_id)
         .join(best, query_id, "left")
         .select(
             query_id,
-            F.coalesce(doc_id, first).alias(doc_id),
+            F.coalesce("doc", first).alias(doc_id),
             F.coalesce("score", F.lit(0.0)).alias("score"),
         )
     )

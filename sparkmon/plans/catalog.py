@@ -15,6 +15,7 @@ from sparkmon.functions.text import guide_action
 from sparkmon.operators import drift as drift_ops
 from sparkmon.operators import evaluate, incidents, monitor, scoring
 from sparkmon.operators.retrieval import retrieve_best, term_weights
+from sparkmon.operators.text_index import build_index, merge_indexes
 from sparkmon.operators.windows import window_metrics
 from sparkmon.plans.run import run_files
 from sparkmon.plans.telemetry import as_events, surrogate_probability, telemetry
@@ -154,6 +155,17 @@ def tfidf_top1(spark: SparkSession, folder: str) -> DataFrame:
     return best.withColumn("score", F.round("score", 6))
 
 
+def tfidf_index_merge(spark: SparkSession, folder: str) -> DataFrame:
+    """Terms of an index that was merged from the indexes of documents with even and with odd ids."""
+    corpus = table(spark, folder, "documents")
+    halves = [
+        build_index(corpus.filter(F.pmod("doc_id", F.lit(2)) == half), "doc_id", "text", fresh_dir(spark, "index"))
+        for half in range(2)
+    ]
+    merged = merge_indexes(halves, fresh_dir(spark, "index"))
+    return merged.terms.select("token", "df", F.round("idf", 6).alias("idf"), F.round("bound", 6).alias("bound"))
+
+
 def sectioned_documents(spark: SparkSession, folder: str) -> DataFrame:
     """Documents laid out as guides; every third one is left without sections."""
     heading = F.concat(F.lit("# "), F.col("source"), F.lit("\n\n## Symptoms\n"), F.col("text"))
@@ -533,6 +545,7 @@ PLANS: dict[str, Plan] = {
     "alerts": alert_rows,
     "tfidf_terms": tfidf_terms,
     "tfidf_top1": tfidf_top1,
+    "tfidf_index_merge": tfidf_index_merge,
     "section_action": section_action,
     "incidents": rounded_incidents,
     "incidents_topn": incidents_topn,

@@ -257,6 +257,10 @@ ORACLES: dict[str, str] = {
     "asked AS (SELECT item_id AS qid, text FROM benchmark),"
     f"{retrieval_ctes('docs', 'asked')} SELECT item_id, coalesce(did, (SELECT min(did) FROM docs)) AS doc_id, "
     "round(coalesce(score, 0), 6) AS score FROM benchmark LEFT JOIN best ON qid = item_id",
+    "tfidf_index_merge": "WITH docs AS (SELECT doc_id AS did, text FROM documents), "
+    "asked AS (SELECT item_id AS qid, text FROM benchmark),"
+    f"{retrieval_ctes('docs', 'asked')} SELECT tok AS token, any_value(df) AS df, round(any_value(idf), 6) AS idf, "
+    "round(max(w / norm), 6) AS bound FROM dw JOIN dn USING (did) JOIN idf USING (tok) GROUP BY tok",
     "section_action": "WITH guides AS (SELECT doc_id, CASE WHEN doc_id % 3 = 0 THEN text ELSE "
     "'# ' || source || chr(10) || chr(10) || '## Symptoms' || chr(10) || text || chr(10) || chr(10) || "
     "'## Recommended Action' || chr(10) || '  ' || text || chr(10) END AS text FROM documents) "
