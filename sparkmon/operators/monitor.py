@@ -6,6 +6,7 @@ from pyspark.sql.window import Window
 
 from sparkmon import constants as K
 from sparkmon.functions.text import preview
+from sparkmon.operators.ranking import nth_smallest
 from sparkmon.session import stage
 
 
@@ -25,11 +26,15 @@ def throughput_by_site(windows: DataFrame) -> DataFrame:
 def cursor_position(windows: DataFrame, cursor: int | None = None) -> DataFrame:
     """One row: the n-th distinct window start, the number of windows and the events up to it.
 
-    ``windows`` is first combined to one staged row per window start, whatever the number of readings;
-    the first ones are taken as a top-k, so no task has to number them all.
+    ``windows`` is first combined to one staged row per window start, whatever the number of readings. The
+    n-th of them is found by histograms over their range, so no task has to sort or number them.
     """
     starts = stage(windows.groupBy("window_start").agg(F.sum("events").alias("events")), "starts")
-    visible = starts if cursor is None else starts.orderBy("window_start").limit(cursor)
+    visible = starts
+    if cursor is not None:
+        start = F.unix_micros(F.col("window_start").cast("timestamp"))
+        now = nth_smallest(starts, start, cursor)
+        visible = starts.filter(start <= F.lit(now).cast("long"))
     seen = visible.agg(
         F.max("window_start").alias("now"),
         F.count(F.lit(1)).alias("cursor"),
@@ -46,11 +51,12 @@ def at_cursor(df: DataFrame, time_column: str, position: DataFrame) -> DataFrame
 
 
 def drift_prefix(drift_log: DataFrame, position: DataFrame) -> DataFrame:
-    """The first ``max(1, round(n * cursor / windows))`` batches of the drift log, as a top-k."""
+    """The first ``max(1, round(n * cursor / windows))`` batches of the drift log, found like the n-th window."""
     share = F.coalesce(F.try_divide("cursor", "n_windows"), F.lit(1.0))
     rows = drift_log.select(F.count(F.lit(1))).scalar()
     wanted = position.select(F.greatest(F.lit(1), F.bround(rows * share)).cast("int").alias("n"))
-    return drift_log.orderBy("batch_id").limit(wanted.first().n)
+    last = nth_smallest(drift_log, F.col("batch_id"), wanted.first().n)
+    return drift_log.filter(F.col("batch_id") <= F.lit(last).cast("long"))
 
 
 def alerts_seen(alerts: DataFrame, position: DataFrame) -> Column:
