@@ -4,6 +4,7 @@ from collections.abc import Callable
 from datetime import date
 
 from pyspark import StorageLevel
+from pyspark.errors import StreamingQueryException
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -14,6 +15,7 @@ from sparkmon.functions import sensors
 from sparkmon.functions.text import guide_action
 from sparkmon.operators import drift as drift_ops
 from sparkmon.operators import evaluate, incidents, monitor, scoring
+from sparkmon.operators.ranking import running_maximum
 from sparkmon.operators.retrieval import retrieve_best, term_weights
 from sparkmon.operators.text_index import build_index, merge_indexes
 from sparkmon.operators.windows import window_metrics
@@ -310,8 +312,7 @@ def auc_exact(spark: SparkSession, folder: str) -> DataFrame:
         F.col("label").cast("double").alias("label"),
         F.round("anomaly_prob", 9).alias("anomaly_prob"),
     )
-    value = evaluate.roc_auc(ranked, "anomaly_prob", exact=True)
-    return spark.createDataFrame([(value,)], "auc double").select(F.round("auc", 6).alias("auc"))
+    return evaluate.exact_auc(ranked, "anomaly_prob").select(F.round("auc", 6).alias("auc"))
 
 
 def json_roundtrip(spark: SparkSession, folder: str) -> DataFrame:
@@ -349,9 +350,10 @@ def event_files(spark: SparkSession, folder: str) -> DataFrame:
         "file-ranges",
     )
     bounded = per_file.select(F.max("rows") <= K.EVENTS_PER_FILE).scalar()
-    left, right = per_file.alias("l"), per_file.alias("r")
-    crossing = left.join(right, F.expr("l.file < r.file AND l.last > r.first"))
-    ordered = crossing.select(F.count(F.lit(1)) == 0).scalar()
+    # A file may begin at the time at which an earlier one ends, and no sooner.
+    by_name = running_maximum(per_file.withColumn("last", F.unix_micros(F.col("last").cast("timestamp"))), F.col("file"), "last")
+    late = F.col("before_last") > F.unix_micros(F.col("first").cast("timestamp"))
+    ordered = by_name.select(F.coalesce(F.max(late), F.lit(False)) == F.lit(False)).scalar()
     return monitor.count_by(rows, "machine_type").withColumns(
         {"within_limit": bounded, "in_order": ordered}
     )
@@ -406,24 +408,73 @@ def stream_late(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-def run_scoring_stream(spark: SparkSession, folder: str) -> str:
+def run_scoring_stream(spark: SparkSession, folder: str, with_late_row: bool = False) -> str:
     root = fresh_dir(spark, "stream-scoring")
     reference = stage(feature_reference(spark, folder), "reference")
+    parts = stream_parts(spark, folder)
+    if with_late_row:
+        parts[-1] = parts[-1].unionByName(late_event(parts[0]))
     deliver(
-        stream_parts(spark, folder),
+        parts,
         root,
         lambda e: start_scoring(e, surrogate_probability, reference, root, f"{root}/checkpoint"),
     )
     return root
 
 
+def logged_alerts(alert_log: DataFrame) -> DataFrame:
+    return alert_log.withColumn("anomaly_prob", F.round("anomaly_prob", 6)).withColumn(
+        "event_time", F.col("event_time").cast("timestamp_ntz")
+    )
+
+
 def stream_alerts(spark: SparkSession, folder: str) -> DataFrame:
     root = run_scoring_stream(spark, folder)
-    return (
-        files.read_alerts(spark, f"{root}/alerts")
-        .withColumn("anomaly_prob", F.round("anomaly_prob", 6))
-        .withColumn("event_time", F.col("event_time").cast("timestamp_ntz"))
-    )
+    return logged_alerts(files.read_alerts(spark, f"{root}/alerts"))
+
+
+def stream_alerts_replayed(spark: SparkSession, folder: str) -> DataFrame:
+    """The alerts of a stream whose every micro-batch dies once between writing and publishing."""
+    root = fresh_dir(spark, "stream-replayed")
+    reference = stage(feature_reference(spark, folder), "reference")
+    died: set[int] = set()
+
+    def die_once(batch_id: int) -> None:
+        if batch_id not in died:
+            died.add(batch_id)
+            raise InterruptedError(f"micro-batch {batch_id} is cut off")
+
+    def start(events: DataFrame) -> StreamingQuery:
+        for _ in range(2):
+            query = start_scoring(
+                events, surrogate_probability, reference, root, f"{root}/checkpoint", before_publish=die_once
+            )
+            try:
+                query.awaitTermination()
+                break
+            except StreamingQueryException:
+                continue  # the checkpoint still has the batch open, so the next start replays it
+        return query
+
+    deliver(stream_parts(spark, folder), root, start)
+    return logged_alerts(files.read_alerts(spark, f"{root}/alerts"))
+
+
+def stream_late_rows(spark: SparkSession, folder: str) -> DataFrame:
+    """The readings that came after their window had been closed."""
+    root = run_scoring_stream(spark, folder, with_late_row=True)
+    late = files.read_late_rows(spark, f"{root}/late")
+    return late.withColumn("event_time", F.col("event_time").cast("timestamp_ntz"))
+
+
+def logged_alerts_at_cursor(spark: SparkSession, folder: str) -> DataFrame:
+    """Alerts by machine type up to the cursor, from the stream's log; batches that begin later are not read."""
+    root = run_scoring_stream(spark, folder)
+    where = stage(position(spark, folder), "cursor")
+    now = where.first().now
+    seen = files.read_alerts(spark, f"{root}/alerts", until=now)
+    seen = seen.withColumn("event_time", F.col("event_time").cast("timestamp_ntz"))
+    return monitor.count_by(monitor.at_cursor(seen, "event_time", where), "machine_type")
 
 
 def stream_drift(spark: SparkSession, folder: str) -> DataFrame:
@@ -567,6 +618,9 @@ PLANS: dict[str, Plan] = {
     "stream_window_metrics": stream_window_metrics,
     "stream_late": stream_late,
     "stream_alerts": stream_alerts,
+    "stream_alerts_replayed": stream_alerts_replayed,
+    "stream_late_rows": stream_late_rows,
+    "logged_alerts_at_cursor": logged_alerts_at_cursor,
     "stream_drift": stream_drift,
     "end_to_end_summary": end_to_end_summary,
     "feature_vectors": feature_vectors,

@@ -329,6 +329,12 @@ ORACLES: dict[str, str] = {
     "FROM split WHERE training",
     "model_reload": "SELECT count(*) AS n, CAST(0 AS BIGINT) AS differing FROM events",
 }
+ORACLES["stream_alerts_replayed"] = ORACLES["stream_alerts"]
+ORACLES["logged_alerts_at_cursor"] = ORACLES["alerts_by_type_at_cursor"]
+ORACLES["stream_late_rows"] = (
+    f"{VIEW} SELECT 'late' AS event_id, * EXCLUDE (event_id) FROM (SELECT {EVENT_COLUMNS}, {SENSOR_LIST}, "
+    f"(SELECT max({PART}) FROM tel) AS batch_id FROM tel ORDER BY event_time, tel.event_id LIMIT 1)"
+)
 ORACLES["end_to_end_summary"] = (
     f"SELECT * EXCLUDE (drift_batches, max_drift_z_end, drifted_at_end) FROM ({ORACLES['run_summary']})"
 )

@@ -12,8 +12,9 @@ from sparkmon.operators.incidents import incidents
 from sparkmon.operators.monitor import incident_totals, machine_totals, run_summary
 from sparkmon.operators.scoring import score
 from sparkmon.sources import files
+from sparkmon.sources.files import stream_events
 from sparkmon.sources.sinks import write_json
-from sparkmon.streaming.queries import Scorer, start_scoring, start_window_metrics
+from sparkmon.streaming.queries import Scorer, start_ingest, start_scoring, start_window_metrics
 
 
 @dataclass(frozen=True)
@@ -26,6 +27,10 @@ class Layout:
     def windows(self) -> str:
         return f"{self.root}/window_metrics"
 
+    @property
+    def events(self) -> str:
+        return f"{self.root}/events"
+
     @property
     def scoring(self) -> str:
         return f"{self.root}/scoring"
@@ -46,6 +51,10 @@ class Layout:
     def quarantine(self) -> str:
         return f"{self.scoring}/quarantine"
 
+    @property
+    def late(self) -> str:
+        return f"{self.scoring}/late"
+
     @property
     def incidents(self) -> str:
         return f"{self.root}/incidents"
@@ -94,6 +103,31 @@ def start_streams(
     return handles
 
 
+def start_logged_streams(
+    events: DataFrame,
+    scorer: Scorer,
+    reference: DataFrame,
+    layout: Layout,
+    max_files: int = K.MAX_FILES_PER_TRIGGER,
+    trigger: dict | None = None,
+    **options,
+) -> tuple[StreamingQuery, StreamingQuery, StreamingQuery]:
+    """Both queries over a typed log that a third one writes from ``events``, so the source is read and parsed once.
+
+    Returns the handles of log, windows and scoring. Without a ``trigger`` what is there is drained: first into the
+    log, then from it. With one, all three run on side by side; ``options`` go to :func:`start_streams`.
+    """
+    spark = events.sparkSession
+    ingest = start_ingest(events, layout.events, layout.checkpoint("events"), trigger)
+    if trigger is None:
+        ingest.awaitTermination()
+    else:
+        folder = spark._jvm.org.apache.hadoop.fs.Path(layout.events)
+        folder.getFileSystem(spark._jsc.hadoopConfiguration()).mkdirs(folder)
+    logged = stream_events(spark, layout.events, max_files)
+    return ingest, *start_streams(logged, scorer, reference, layout, trigger=trigger, **options)
+
+
 def report(
     spark: SparkSession,
     events: DataFrame,
@@ -125,7 +159,8 @@ def run_files(
     max_files: int = K.MAX_FILES_PER_TRIGGER,
     top_n: int | None = None,
 ) -> DataFrame:
-    """Drain a folder of JSON event files through both queries and report on it."""
+    """Drain a folder of JSON event files through both queries, by way of one typed log, and report on it."""
     layout = Layout(root)
-    start_streams(files.stream_json(spark, events_path, max_files), scorer, reference, layout)
-    return report(spark, files.read_json(spark, events_path), guides, layout, top_n)
+    stream = files.stream_json(spark, events_path, max_files)
+    start_logged_streams(stream, scorer, reference, layout, max_files)
+    return report(spark, files.read_events(spark, layout.events), guides, layout, top_n)

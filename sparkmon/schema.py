@@ -47,6 +47,9 @@ ALERT_SCHEMA = T.StructType(
     ]
 )
 
+#: Alerts without a score, as the late rows are kept.
+LATE_SCHEMA = T.StructType([field for field in ALERT_SCHEMA if field.name != "anomaly_prob"])
+
 DRIFT_SUMMARY_SCHEMA = T.StructType(
     [
         T.StructField("batch_id", T.LongType()),

@@ -1,5 +1,6 @@
 """File sources with fixed schemas."""
 
+from datetime import datetime
 from importlib import resources
 
 from pyspark.sql import DataFrame, SparkSession
@@ -8,6 +9,7 @@ from pyspark.sql import types as T
 
 from sparkmon import constants as K
 from sparkmon import schema
+from sparkmon.sources.commits import exists, read_committed
 from sparkmon.sources.wire import parse_time
 
 CORPUS_SCHEMA = "name string, text string"
@@ -23,6 +25,26 @@ def stream_json(
     return parse_time(reader.json(path))
 
 
+def stream_events(
+    spark: SparkSession, path: str, max_files: int | None = K.MAX_FILES_PER_TRIGGER
+) -> DataFrame:
+    """Stream of a typed event log that another query writes; only its committed files are read."""
+    reader = spark.readStream.schema(read_json_schema(spark))
+    if max_files is not None:
+        reader = reader.option("maxFilesPerTrigger", max_files)
+    return reader.parquet(path)
+
+
+def read_events(spark: SparkSession, path: str) -> DataFrame:
+    """The typed event log as a table."""
+    return _if_present(spark, path, "parquet", read_json_schema(spark))
+
+
+def read_json_schema(spark: SparkSession) -> T.StructType:
+    """Schema of parsed events."""
+    return parse_time(spark.createDataFrame([], schema.WIRE_SCHEMA)).schema
+
+
 def read_json(spark: SparkSession, path: str) -> DataFrame:
     return parse_time(spark.read.schema(schema.WIRE_SCHEMA).json(path))
 
@@ -31,24 +53,27 @@ def _if_present(
     spark: SparkSession, path: str, fmt: str, declared: T.StructType
 ) -> DataFrame:
     """Scan of a sink, empty while nothing has been written."""
-    hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
-    fs = hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration())
-    if not fs.exists(hadoop_path):
+    if not exists(spark, path):
         return spark.createDataFrame([], declared)
     return spark.read.schema(declared).format(fmt).load(path)
 
 
-def read_alerts(spark: SparkSession, path: str) -> DataFrame:
-    """Alert log with the event time parsed."""
-    return parse_time(_if_present(spark, path, "json", schema.ALERT_SCHEMA))
+def read_alerts(spark: SparkSession, path: str, until: datetime | None = None) -> DataFrame:
+    """Alert log with the event time parsed; with ``until`` without the batches that begin later."""
+    return parse_time(read_committed(spark, path, "json", schema.ALERT_SCHEMA, until))
 
 
 def read_drift_log(spark: SparkSession, path: str) -> DataFrame:
-    return _if_present(spark, path, "json", schema.DRIFT_SUMMARY_SCHEMA)
+    return read_committed(spark, path, "json", schema.DRIFT_SUMMARY_SCHEMA)
 
 
 def read_drift_detail(spark: SparkSession, path: str) -> DataFrame:
-    return _if_present(spark, path, "json", schema.DRIFT_DETAIL_SCHEMA)
+    return read_committed(spark, path, "json", schema.DRIFT_DETAIL_SCHEMA)
+
+
+def read_late_rows(spark: SparkSession, path: str) -> DataFrame:
+    """Readings that came after their window had been closed."""
+    return parse_time(read_committed(spark, path, "json", schema.LATE_SCHEMA))
 
 
 def read_window_metrics(spark: SparkSession, path: str) -> DataFrame:

@@ -1,18 +1,26 @@
-"""File sinks. A micro-batch owns one folder and overwrites it, so a replay changes nothing."""
+"""File sinks. A micro-batch is published by a commit log, so a replay changes nothing."""
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sparkmon import constants as K
+from sparkmon.sources.commits import Commit, fresh_folder, publish
 from sparkmon.sources.wire import wire_columns
 
 
-def write_batch(df: DataFrame, path: str, batch_id: int, fmt: str = "json") -> None:
-    """Replace the output of one micro-batch, also when a replay yields no rows."""
-    writer = df.write.mode("overwrite").format(fmt)
+def write_attempt(df: DataFrame, path: str, batch_id: int, fmt: str = "json") -> str:
+    """Write the output of one micro-batch to a fresh folder, which no reader takes before it is published."""
+    folder = fresh_folder(path, batch_id)
+    writer = df.write.format(fmt)
     if fmt == "json":
         writer = writer.option("ignoreNullFields", "false")
-    writer.save(f"{path}/batch_id={batch_id}")
+    writer.save(folder)
+    return folder
+
+
+def write_batch(df: DataFrame, path: str, batch_id: int, fmt: str = "json") -> None:
+    """Replace the output of one micro-batch in one step, also when a replay yields no rows."""
+    publish(df.sparkSession, path, Commit(batch_id, write_attempt(df, path, batch_id, fmt)))
 
 
 def alert_log_rows(alerts: DataFrame) -> DataFrame:

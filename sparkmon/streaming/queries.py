@@ -3,7 +3,7 @@
 from collections.abc import Callable
 
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -13,7 +13,8 @@ from sparkmon.operators.drift import batch_statistics, drift_detail, drift_summa
 from sparkmon.operators.incidents import alerts
 from sparkmon.operators.windows import window_metrics
 from sparkmon.schema import IDENTITY
-from sparkmon.sources.sinks import alert_log_rows, write_batch
+from sparkmon.sources.commits import Commit, commits, publish
+from sparkmon.sources.sinks import alert_log_rows, write_attempt
 from sparkmon.sources.wire import is_valid, quarantined_rows
 
 Scorer = Callable[[DataFrame], DataFrame]
@@ -58,6 +59,14 @@ def score_rows(batch: DataFrame, score: Scorer) -> DataFrame:
     )
 
 
+def closed_before(spark: SparkSession, out: str, batch_id: int, watermark: str) -> Column:
+    """Time up to which windows were closed when a micro-batch began, from the commits of those before it."""
+    last = [c.last for c in commits(spark, f"{out}/late") if c.batch_id < batch_id and c.last is not None]
+    if not last:
+        return F.lit(None).cast("timestamp")
+    return F.timestamp_micros(F.lit(max(last)).cast("long")) - F.expr(f"INTERVAL {watermark}")
+
+
 def process_batch(
     batch: DataFrame,
     batch_id: int,
@@ -65,33 +74,54 @@ def process_batch(
     reference: DataFrame,
     out: str,
     threshold: float = K.ALERT_PROB_THRESHOLD,
+    window: str = K.WINDOW,
+    watermark: str = K.WATERMARK,
+    before_publish: Callable[[int], None] | None = None,
 ) -> None:
-    """Score one micro-batch and replace its alert, drift and quarantine folders.
+    """Score one micro-batch and publish its alerts, drift, late and quarantined readings.
 
-    The batch is read and scored once and kept, spilling to disk, for the passes that follow.
-    Readings that cannot be scored still count as events and in their valid sensors.
+    The batch is read and scored once and kept, spilling to disk, for the passes that follow. All outputs are
+    written before the first is published; ``before_publish`` is called in between. Readings that cannot be
+    scored still count as events and in their valid sensors. A reading is late if its window was closed
+    when the batch began; it is scored like the others and kept in a log of its own as well.
     """
+    spark = batch.sparkSession
     scored = score_rows(batch, score).persist(StorageLevel.MEMORY_AND_DISK)
     detail = None
+    hit = F.col("anomaly_prob") >= threshold
+    time = F.unix_micros(F.col("event_time").cast("timestamp"))
     try:
-        if scored.isEmpty():
+        seen = scored.agg(
+            F.count(F.lit(1)).alias("n"),
+            F.min(time).alias("first"),
+            F.max(time).alias("last"),
+            F.min(F.when(hit, time)).alias("first_alert"),
+            F.max(F.when(hit, time)).alias("last_alert"),
+        ).first()
+        if seen.n == 0:
             return
-        write_batch(alert_log_rows(alerts(scored, threshold)), f"{out}/alerts", batch_id)
+        written = []
+
+        def write(name: str, rows: DataFrame, *times: int | None) -> None:
+            path = f"{out}/{name}"
+            written.append((path, Commit(batch_id, write_attempt(rows, path, batch_id), *times)))
+
+        write("alerts", alert_log_rows(alerts(scored, threshold)), seen.first_alert, seen.last_alert)
         key = ["batch_id"]
         statistics = batch_statistics(
-            scored.withColumn("batch_id", F.lit(batch_id).cast("long")),
-            key,
-            F.col("anomaly_prob") >= threshold,
+            scored.withColumn("batch_id", F.lit(batch_id).cast("long")), key, hit
         )
         detail = drift_detail(statistics, reference, key).persist(StorageLevel.MEMORY_AND_DISK)
-        counters = ["batch_id", "n_events", "n_alerts"]
-        write_batch(detail.drop(*counters), f"{out}/drift_detail", batch_id)
-        write_batch(drift_summary(detail, key).drop("batch_id"), f"{out}/drift", batch_id)
-        write_batch(
-            alert_log_rows(quarantined_rows(scored)).drop("anomaly_prob"),
-            f"{out}/quarantine",
-            batch_id,
-        )
+        write("drift_detail", detail.drop("batch_id", "n_events", "n_alerts"), seen.first, seen.last)
+        write("drift", drift_summary(detail, key).drop("batch_id"), seen.first, seen.last)
+        write("quarantine", alert_log_rows(quarantined_rows(scored)).drop("anomaly_prob"), seen.first, seen.last)
+        closed = closed_before(spark, out, batch_id, watermark)
+        late = scored.filter(F.window(F.col("event_time").cast("timestamp"), window)["end"] <= closed).drop("anomaly_prob")
+        write("late", alert_log_rows(late), seen.first, seen.last)
+        if before_publish is not None:
+            before_publish(batch_id)
+        for path, commit in written:
+            publish(spark, path, commit)
     finally:
         scored.unpersist()
         if detail is not None:
@@ -106,11 +136,12 @@ def start_scoring(
     checkpoint: str,
     threshold: float = K.ALERT_PROB_THRESHOLD,
     trigger: dict | None = None,
+    before_publish: Callable[[int], None] | None = None,
 ) -> StreamingQuery:
-    """Alerts, drift and quarantine per micro-batch."""
+    """Alerts, drift, late and quarantined readings per micro-batch."""
 
     def handle(batch: DataFrame, batch_id: int) -> None:
-        process_batch(batch, batch_id, score, reference, out, threshold)
+        process_batch(batch, batch_id, score, reference, out, threshold, before_publish=before_publish)
 
     return (
         events.writeStream.queryName("scoring")
@@ -121,8 +152,26 @@ def start_scoring(
     )
 
 
+def start_ingest(
+    events: DataFrame, path: str, checkpoint: str, trigger: dict | None = None
+) -> StreamingQuery:
+    """Append parsed events to a typed log that other queries read, so that the source is parsed once."""
+    return (
+        events.writeStream.queryName("ingest")
+        .format("parquet")
+        .option("path", path)
+        .option("checkpointLocation", checkpoint)
+        .outputMode("append")
+        .trigger(**(trigger or {"availableNow": True}))
+        .start()
+    )
+
+
 def late_rows_dropped(query: StreamingQuery) -> int:
-    """Rows that came after the watermark, over the progress the query still holds."""
+    """Rows that came after the watermark, over the progress the query still holds.
+
+    Spark keeps the last hundred entries; the log of late rows that :func:`process_batch` writes has them all.
+    """
     return sum(
         operator["numRowsDroppedByWatermark"]
         for progress in query.recentProgress
