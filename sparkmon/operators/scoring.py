@@ -7,13 +7,14 @@ from pyspark.ml.classification import GBTClassifier
 from pyspark.ml.feature import OneHotEncoder, StandardScaler, StringIndexer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.tuning import CrossValidator, CrossValidatorModel, ParamGridBuilder
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sparkmon import constants as K
 from sparkmon.functions.sensors import valid_sql
 from sparkmon.operators.evaluate import evaluator
 from sparkmon.session import shared_dir
+from sparkmon.sources.commits import Commit, commits, fresh_folder, publish
 
 INPUT_COLUMNS = ["event_id", *K.CATEGORICAL, *K.SENSORS, "label"]
 
@@ -126,3 +127,35 @@ def save_model(model: PipelineModel, path: str) -> None:
 
 def load_model(path: str) -> PipelineModel:
     return PipelineModel.load(path)
+
+
+_LOADED: dict[tuple[str, int], PipelineModel] = {}
+
+
+def publish_model(model: PipelineModel, registry: str, version: int) -> None:
+    """Save a model below a registry folder and make it its version; readers never see a part of it."""
+    spark = SparkSession.active()
+    folder = fresh_folder(registry, version)
+    model.write().save(folder)
+    publish(spark, registry, Commit(version, folder))
+
+
+def latest_model(spark: SparkSession, registry: str) -> tuple[int, PipelineModel]:
+    """The highest published version and its model, loaded once per process."""
+    found = commits(spark, registry)
+    if not found:
+        raise FileNotFoundError(f"no model is published in {registry}")
+    latest = found[-1]
+    key = (f"{registry}/{latest.folder}", latest.batch_id)
+    if key not in _LOADED:
+        # Versions that have been replaced are not asked for again.
+        for old in [k for k in _LOADED if k[0].startswith(f"{registry}/")]:
+            del _LOADED[old]
+        _LOADED[key] = load_model(key[0])
+    return latest.batch_id, _LOADED[key]
+
+
+def versioned_scores(events: DataFrame, registry: str) -> DataFrame:
+    """Scores by the version that is the latest when this is called, with ``model_version``."""
+    version, model = latest_model(events.sparkSession, registry)
+    return score(model, events).withColumn("model_version", F.lit(version))

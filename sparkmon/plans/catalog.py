@@ -17,6 +17,7 @@ from sparkmon.operators import drift as drift_ops
 from sparkmon.operators import evaluate, incidents, monitor, scoring
 from sparkmon.operators.ranking import running_maximum
 from sparkmon.operators.retrieval import retrieve_best, term_weights
+from sparkmon.operators.signatures import match_signatures
 from sparkmon.operators.text_index import build_index, merge_indexes
 from sparkmon.operators.windows import window_metrics
 from sparkmon.plans.run import run_files
@@ -24,7 +25,12 @@ from sparkmon.plans.telemetry import as_events, surrogate_probability, telemetry
 from sparkmon.plans.train import train
 from sparkmon.session import fresh_dir, stage
 from sparkmon.sources import files, sinks, wire
-from sparkmon.streaming.queries import late_rows_dropped, start_scoring, start_window_metrics
+from sparkmon.streaming.queries import (
+    late_rows_dropped,
+    start_model_scores,
+    start_scoring,
+    start_window_metrics,
+)
 
 Plan = Callable[[SparkSession, str], DataFrame]
 
@@ -135,6 +141,32 @@ def fault_match_cosine(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def learned_signatures(spark: SparkSession, folder: str) -> DataFrame:
+    """A signature per site, machine type and day with known faults: their mean elevated z, for a week from that day."""
+    rows = sensors.with_elevation(view(spark, folder).filter("label = 1"))
+    keys = ["site", "machine_type", "day"]
+    means = rows.withColumn("day", F.to_date("event_time")).groupBy(*keys).agg(
+        *[F.round(F.avg(f"z_{s}"), 4).alias(s) for s in K.SENSORS]
+    )
+    fault = F.concat_ws(" ", "machine_type", "site", F.col("day").cast("string"))
+    named = means.withColumns(
+        {
+            "fault": fault,
+            # Sites and types differ in their initials, which order signatures of a day.
+            "ordinal": F.unix_date("day") * 100000 + F.ascii("machine_type") * 200 + F.ascii("site"),
+            "valid_from": F.col("day").cast("timestamp_ntz"),
+            "valid_until": F.expr("CAST(day AS TIMESTAMP_NTZ) + INTERVAL 7 DAYS"),
+        }
+    )
+    return named.unpivot(["fault", "ordinal", "valid_from", "valid_until"], K.SENSORS, "sensor", "weight")
+
+
+def fault_match_table(spark: SparkSession, folder: str) -> DataFrame:
+    """Faults of all readings by signatures that the data themselves have taught."""
+    readings = sensors.with_elevation(view(spark, folder))
+    return match_signatures(readings, learned_signatures(spark, folder)).select("event_id", "fault")
+
+
 def symptom_severity(spark: SparkSession, folder: str) -> DataFrame:
     return incidents.classify(scored(spark, folder)).select(
         "event_id", "symptom", "severity", "query_text"
@@ -571,7 +603,11 @@ def model_reload(spark: SparkSession, folder: str) -> DataFrame:
     """Scores that differ after a model was saved and loaded again, over all events."""
     path = fresh_dir(spark, "model")
     events = view(spark, folder)
-    model = scoring.fit(training_split(spark, folder).train, scoring.classifier(maxIter=2))
+    training = training_split(spark, folder).train.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        model = scoring.fit(training, scoring.classifier(maxIter=2))
+    finally:
+        training.unpersist()
     scoring.save_model(model, path)
     kept = scoring.score(model, events).select("event_id", "anomaly_prob")
     loaded = scoring.score(scoring.load_model(path), events).select(
@@ -582,6 +618,39 @@ def model_reload(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def stream_model_scores(spark: SparkSession, folder: str) -> DataFrame:
+    """Readings per micro-batch and model version, and how many scores are not those of that version.
+
+    A second version is published after the first part of the events has been scored.
+    """
+    root = fresh_dir(spark, "stream-model")
+    registry = f"{root}/models"
+    training = training_split(spark, folder).train.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        models = {v: scoring.fit(training, scoring.classifier(maxIter=v)) for v in (1, 2)}
+    finally:
+        training.unpersist()
+    started = []
+
+    def start(events: DataFrame) -> StreamingQuery:
+        if len(started) < len(models):
+            version = len(started) + 1
+            scoring.publish_model(models[version], registry, version)
+        started.append(events)
+        return start_model_scores(events, registry, f"{root}/scores", f"{root}/checkpoint")
+
+    deliver(stream_parts(spark, folder), root, start)
+    logged = files.read_scores(spark, f"{root}/scores")
+    events = view(spark, folder)
+    for version, model in models.items():
+        again = scoring.score(model, events).select("event_id", F.col("anomaly_prob").alias(f"by_{version}"))
+        logged = logged.join(again, "event_id")
+    own = F.when(F.col("model_version") == 1, F.col("by_1")).otherwise(F.col("by_2"))
+    return logged.groupBy("batch_id", "model_version").agg(
+        F.count(F.lit(1)).alias("n"), F.count_if(F.col("anomaly_prob") != own).alias("differing")
+    )
+
+
 PLANS: dict[str, Plan] = {
     "window_metrics_1m": window_metrics_1m,
     "window_metrics_1h": window_metrics_1h,
@@ -592,6 +661,7 @@ PLANS: dict[str, Plan] = {
     "elevated_sensors": elevated_sensors,
     "fault_match": fault_match,
     "fault_match_cosine": fault_match_cosine,
+    "fault_match_table": fault_match_table,
     "symptom_severity": symptom_severity,
     "alerts": alert_rows,
     "tfidf_terms": tfidf_terms,
@@ -626,6 +696,7 @@ PLANS: dict[str, Plan] = {
     "feature_vectors": feature_vectors,
     "gbt_quality": gbt_quality,
     "model_reload": model_reload,
+    "stream_model_scores": stream_model_scores,
     "gbt_scores": gbt_scores,
     "gbt_cv_metrics": gbt_cv_metrics,
 }

@@ -329,6 +329,21 @@ ORACLES: dict[str, str] = {
     "FROM split WHERE training",
     "model_reload": "SELECT count(*) AS n, CAST(0 AS BIGINT) AS differing FROM events",
 }
+ORACLES["fault_match_table"] = f"""{SCORED}, {ELEVATED},
+ taught AS (SELECT site, machine_type, CAST(event_time AS DATE) AS day, e.sensor, e.ord,
+  round(avg(e.z), 4) AS weight FROM tel JOIN elevated e USING (event_id) WHERE label = 1 GROUP BY ALL),
+ signatures AS (SELECT *, machine_type || ' ' || site || ' ' || CAST(day AS VARCHAR) AS fault,
+  date_diff('day', DATE '1970-01-01', day) * 100000 + ascii(machine_type) * 200 + ascii(site) AS ordinal FROM taught),
+ sums AS (SELECT t.event_id, s.fault, s.ordinal, round(list_sum(list(e.z * s.weight ORDER BY e.ord)), 6) AS score
+  FROM tel t JOIN elevated e USING (event_id) JOIN signatures s ON s.sensor = e.sensor
+  AND t.event_time >= s.day AND t.event_time < s.day + INTERVAL 7 DAYS GROUP BY ALL),
+ best AS (SELECT event_id, fault FROM sums WHERE score > 0
+  QUALIFY row_number() OVER (PARTITION BY event_id ORDER BY score DESC, ordinal) = 1)
+ SELECT event_id, coalesce(fault, '{K.NO_FAULT}') AS fault FROM tel LEFT JOIN best USING (event_id)"""
+ORACLES["stream_model_scores"] = (
+    f"{VIEW} SELECT {PART} AS batch_id, CASE WHEN {PART} = 0 THEN 1 ELSE 2 END AS model_version, count(*) AS n, "
+    "CAST(0 AS BIGINT) AS differing FROM tel GROUP BY ALL"
+)
 ORACLES["stream_alerts_replayed"] = ORACLES["stream_alerts"]
 ORACLES["logged_alerts_at_cursor"] = ORACLES["alerts_by_type_at_cursor"]
 ORACLES["stream_late_rows"] = (

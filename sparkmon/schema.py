@@ -50,6 +50,15 @@ ALERT_SCHEMA = T.StructType(
 #: Alerts without a score, as the late rows are kept.
 LATE_SCHEMA = T.StructType([field for field in ALERT_SCHEMA if field.name != "anomaly_prob"])
 
+SCORE_SCHEMA = T.StructType(
+    [
+        T.StructField("event_id", T.StringType()),
+        T.StructField("anomaly_prob", T.DoubleType()),
+        T.StructField("model_version", T.IntegerType()),
+        T.StructField("batch_id", T.LongType()),
+    ]
+)
+
 DRIFT_SUMMARY_SCHEMA = T.StructType(
     [
         T.StructField("batch_id", T.LongType()),

@@ -71,6 +71,11 @@ def read_drift_detail(spark: SparkSession, path: str) -> DataFrame:
     return read_committed(spark, path, "json", schema.DRIFT_DETAIL_SCHEMA)
 
 
+def read_scores(spark: SparkSession, path: str) -> DataFrame:
+    """Scores of a stream with the model version that made them."""
+    return read_committed(spark, path, "parquet", schema.SCORE_SCHEMA)
+
+
 def read_late_rows(spark: SparkSession, path: str) -> DataFrame:
     """Readings that came after their window had been closed."""
     return parse_time(read_committed(spark, path, "json", schema.LATE_SCHEMA))

@@ -11,10 +11,11 @@ from sparkmon import constants as K
 from sparkmon.functions.sensors import valid_sql
 from sparkmon.operators.drift import batch_statistics, drift_detail, drift_summary
 from sparkmon.operators.incidents import alerts
+from sparkmon.operators.scoring import versioned_scores
 from sparkmon.operators.windows import window_metrics
-from sparkmon.schema import IDENTITY
+from sparkmon.schema import IDENTITY, SCORE_SCHEMA
 from sparkmon.sources.commits import Commit, commits, publish
-from sparkmon.sources.sinks import alert_log_rows, write_attempt
+from sparkmon.sources.sinks import alert_log_rows, write_attempt, write_batch
 from sparkmon.sources.wire import is_valid, quarantined_rows
 
 Scorer = Callable[[DataFrame], DataFrame]
@@ -152,6 +153,28 @@ def start_scoring(
     )
 
 
+def start_model_scores(
+    events: DataFrame, registry: str, path: str, checkpoint: str, trigger: dict | None = None
+) -> StreamingQuery:
+    """Score each micro-batch with the model version that is published when it begins.
+
+    A new version takes over at the next batch, without a restart. ``path`` gets ``event_id``, ``anomaly_prob`` and
+    ``model_version`` as a committed log; readings that cannot be scored are left out.
+    """
+
+    def handle(batch: DataFrame, batch_id: int) -> None:
+        scores = versioned_scores(batch, registry).select(*SCORE_SCHEMA.names[:-1])
+        write_batch(scores, path, batch_id, "parquet")
+
+    return (
+        events.writeStream.queryName("model_scores")
+        .foreachBatch(handle)
+        .option("checkpointLocation", checkpoint)
+        .trigger(**(trigger or {"availableNow": True}))
+        .start()
+    )
+
+
 def start_ingest(
     events: DataFrame, path: str, checkpoint: str, trigger: dict | None = None
 ) -> StreamingQuery:
