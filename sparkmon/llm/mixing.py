@@ -25,17 +25,15 @@ def exponential_key(identity: str, weight: str, seed: str = SEED) -> Column:
     return -F.ln((bits + 0.5) / float(1 << 52)) / F.col(weight)
 
 
-def quality_weights(documents: DataFrame, labels: DataFrame) -> DataFrame:
-    """Documents with ``quality_weight``: doubled where rated good, halved where rated poor.
+def rating_weights(labels: DataFrame) -> DataFrame:
+    """``doc_id, quality_weight`` of rated documents: doubled where rated good, halved where rated poor.
 
-    Several ratings of a document are averaged; documents without one, with a null rating or as many good as
-    poor ones keep the weight 1.
+    Several ratings of a document are averaged; one with a null rating, or with as many good as poor ones,
+    weighs 1, like documents without a rating.
     """
     rated = labels.filter("doc_id IS NOT NULL").groupBy("doc_id").agg(F.avg("quality").alias("rating"))
     weight = F.when(F.col("rating") > 0.5, HIGH).when(F.col("rating") < 0.5, LOW).otherwise(1.0)
-    rated = stage(rated.select("doc_id", weight.alias("quality_weight")), "ratings")
-    joined = documents.join(broadcast_if_small(rated), "doc_id", "left")
-    return joined.withColumn("quality_weight", F.coalesce("quality_weight", F.lit(1.0)))
+    return rated.select("doc_id", weight.alias("quality_weight"))
 
 
 def source_targets(sources: DataFrame, weights: tuple[int, ...] = WEIGHTS, repeats: int = REPEATS) -> DataFrame:
@@ -69,6 +67,7 @@ def source_targets(sources: DataFrame, weights: tuple[int, ...] = WEIGHTS, repea
 
 def mix(
     documents: DataFrame,
+    quality: DataFrame | None = None,
     weights: tuple[int, ...] = WEIGHTS,
     repeats: int = REPEATS,
     seed: str = SEED,
@@ -78,22 +77,27 @@ def mix(
     A document is taken whole, ``taken / size`` times. The last document of a source is the one with which the
     source comes nearest to its target, so it misses it by at most half of that document.
 
-    ``quality_weight``, if there is such a column, makes a document likelier to be in the part of an
-    epoch; a null, NaN or non-positive weight counts as 1. Null texts have size 0 and are taken 0 times, a null
-    source is a source of its own, and every row counts, also repeated ones and those with a null
-    ``doc_id``; equal rows may change places. An empty table gives no rows; further columns are ignored.
+    ``quality`` has one row ``doc_id, quality_weight`` per document it knows; a higher weight makes a document
+    likelier to be in the part of an epoch. Without a row, or with a null, NaN or non-positive weight, a
+    document weighs 1. Null texts have size 0 and are taken 0 times, a null source is a source of its own, and
+    every row counts, also repeated ones and those with a null ``doc_id``; equal rows may change places.
+    An empty table gives no rows; further columns are ignored. Texts are read once and never move.
     """
-    quality = F.lit(1.0)
-    if "quality_weight" in documents.columns:
-        given = F.col("quality_weight").cast("double")
-        quality = F.when((given > 0) & ~F.isnan(given), given).otherwise(1.0)
     sized = documents.select(
         F.col("doc_id").cast("long").alias("doc_id"),
         F.col("source").cast("string").alias("source"),
         F.coalesce(F.regexp_count(F.col("text").cast("string"), F.lit(WORD)), F.lit(0)).cast("long").alias("size"),
-        quality.alias("quality_weight"),
     )
-    sized = stage(sized.withColumn("sample_key", exponential_key("doc_id", "quality_weight", seed)), "sizes")
+    sized = stage(sized, "sizes")
+    if quality is None:
+        sized = sized.withColumn("quality_weight", F.lit(1.0))
+    else:
+        given = stage(quality.select("doc_id", F.col("quality_weight").cast("double")), "quality")
+        weight = F.when((F.col("quality_weight") > 0) & ~F.isnan("quality_weight"), F.col("quality_weight"))
+        sized = sized.join(broadcast_if_small(given), "doc_id", "left").select(
+            "doc_id", "source", "size", F.coalesce(weight, F.lit(1.0)).alias("quality_weight")
+        )
+    sized = sized.withColumn("sample_key", exponential_key("doc_id", "quality_weight", seed))
     sources = stage(sized.groupBy("source").agg(F.sum("size").alias("source_size")), "sources")
     targets = stage(source_targets(sources, weights, repeats), "targets")
     ordered = running_totals(sized, [F.col("sample_key"), F.col("doc_id"), F.col("size")], ["size"], ["source"])

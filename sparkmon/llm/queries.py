@@ -10,7 +10,7 @@ from sparkmon.llm.decontaminate import contamination
 from sparkmon.llm.fingerprints import fingerprints
 from sparkmon.llm.html_text import page_texts
 from sparkmon.llm.licenses import license_scan
-from sparkmon.llm.mixing import mix, quality_weights
+from sparkmon.llm.mixing import mix, rating_weights
 from sparkmon.llm.near_duplicates import near_duplicate_groups
 from sparkmon.llm.packing import pack_documents
 from sparkmon.llm.quality import graded, quality
@@ -87,8 +87,8 @@ def op11_conversation_repair(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def op12_mixing(spark: SparkSession, folder: str) -> DataFrame:
-    documents = table(spark, folder, "documents")
-    return mix(quality_weights(documents, table(spark, folder, "labels")))
+    quality = rating_weights(table(spark, folder, "labels"))
+    return mix(table(spark, folder, "documents"), quality)
 
 
 def op13_alignment(spark: SparkSession, folder: str) -> DataFrame:
