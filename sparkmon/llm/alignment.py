@@ -25,14 +25,6 @@ BYTE_PIECE = re.compile("<0x([0-9A-F]{2})>")
 COMMA, BAR, SEMICOLON = 0, 1, 2
 
 
-def _byte_level_codes() -> dict[str, int]:
-    """The byte behind each character of a byte-level vocabulary."""
-    # Printable bytes stand for themselves, the others for characters from 256 on in ascending order.
-    shown = {*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)}
-    hidden = [b for b in range(256) if b not in shown]
-    return {chr(b): b for b in shown} | {chr(256 + place): b for place, b in enumerate(hidden)}
-
-
 def piece_bytes(piece: str) -> bytes:
     """Bytes of a sentence piece: a byte piece is its byte, U+2581 a space."""
     found = BYTE_PIECE.fullmatch(piece)
@@ -44,44 +36,32 @@ class Pair:
 
     def __init__(self, path_a: str, mark_a: str, path_b: str):
         from sentencepiece import SentencePieceProcessor
-        from tokenizers import Tokenizer
 
-        self.memo = encoder(path_a, mark_a, True)
-        self.plain = Tokenizer.from_file(path_a)
-        self.plain.encode_special_tokens = True
+        self.ranks = encoder(path_a, mark_a, True)
         self.pieces = SentencePieceProcessor(model_file=path_b)
-        codes = _byte_level_codes()
-        size_a, size_b = self.plain.get_vocab_size(), self.pieces.get_piece_size()
-        self.bytes_a = [bytes(map(codes.__getitem__, self.plain.id_to_token(i))) for i in range(size_a)]
+        size_a, size_b = self.ranks.tokenizer.get_vocab_size(), self.pieces.get_piece_size()
+        self.bytes_a = [self.ranks.bytes_of.get(i, b"") for i in range(size_a)]
         self.bytes_b = [piece_bytes(self.pieces.id_to_piece(i)) for i in range(size_b)]
         self.lengths_a = np.array(list(map(len, self.bytes_a)), np.int64)
         self.lengths_b = np.array(list(map(len, self.bytes_b)), np.int64)
         self.size = max(size_a, size_b)
         self.shown = [f"{i}{mark}" for mark in ",|;" for i in range(self.size)]
 
-    def ids_a(self, texts: list[str]) -> list[np.ndarray]:
-        """Ids of a space and the text; what looks like a special token is plain text."""
-        risky = [place for place, text in enumerate(texts) if "<|" in text]
-        found = self.memo.encode([" " + text for text in texts if "<|" not in text])
-        ids = [np.frombuffer(held, "<u4").astype(np.int64) for held in found]
-        for place in risky:
-            whole = self.plain.encode(" " + texts[place], add_special_tokens=False).ids
-            ids.insert(place, np.array(whole, np.int64))
-        return ids
-
     def encode(self, texts: list[str | None]) -> tuple[list[np.ndarray], list[np.ndarray]]:
         """Ids of both tokenizers; none for texts that one of them does not reproduce."""
         held = [text or "" for text in texts]
         none = np.empty(0, np.int64)
         ids_a, ids_b = [], []
-        for text, a, b in zip(held, self.ids_a(held), self.pieces.encode(held, num_threads=1), strict=True):
+        for text, b in zip(held, self.pieces.encode(held, num_threads=1), strict=True):
+            # What looks like a special token is plain text on both sides.
+            a = self.ranks.plain_ids(" " + text)
             data = b" " + text.encode()
             whole = (
                 text != ""
-                and b"".join(map(self.bytes_a.__getitem__, a.tolist())) == data
+                and b"".join(map(self.bytes_a.__getitem__, a)) == data
                 and b"".join(map(self.bytes_b.__getitem__, b)) == data
             )
-            ids_a.append(a if whole else none)
+            ids_a.append(np.array(a, np.int64) if whole else none)
             ids_b.append(np.array(b, np.int64) if whole else none)
         return ids_a, ids_b
 

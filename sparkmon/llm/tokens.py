@@ -110,12 +110,70 @@ class PieceMemo:
         ]
 
 
-_ENCODERS: dict[tuple[str, str, bool], PieceMemo] = {}
+# Fixed value: the pattern by which byte-level vocabularies of this kind split a text.
+BYTE_LEVEL_PATTERN = (
+    r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
+)
 
 
-def encoder(path: str, mark: str, spaced: bool) -> PieceMemo:
-    """One encoder per Python worker, so that its memory serves later tasks too."""
+def byte_level_codes() -> dict[str, int]:
+    """The byte behind each character of a byte-level vocabulary."""
+    # Printable bytes stand for themselves, the others for characters from 256 on in ascending order.
+    shown = {*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)}
+    hidden = [b for b in range(256) if b not in shown]
+    return {chr(b): b for b in shown} | {chr(256 + place): b for place, b in enumerate(hidden)}
+
+
+class ByteLevel:
+    """Encodes texts by a byte-level vocabulary, whose ids are in the order of its merges.
+
+    Merging by rank needs no memory of pieces and gives the ids of the tokenizer file. Texts that may hold a
+    special token go to the tokenizer itself, unless such tokens are to be plain text.
+    """
+
+    def __init__(self, path: str):
+        from tiktoken import Encoding
+        from tokenizers import Tokenizer
+
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
+        self.tokenizer = Tokenizer.from_file(path)
+        codes = byte_level_codes()
+        special = {added.content for added in self.tokenizer.get_added_tokens_decoder().values()}
+        self.bytes_of = {
+            i: bytes(map(codes.__getitem__, token))
+            for token, i in self.tokenizer.get_vocab().items()
+            if token not in special
+        }
+        self.ranks = Encoding(
+            path,
+            pat_str=BYTE_LEVEL_PATTERN,
+            mergeable_ranks={held: i for i, held in self.bytes_of.items()},
+            special_tokens={},
+        )
+
+    def plain_ids(self, text: str) -> list[int]:
+        """Ids of a text in which special tokens are plain text."""
+        return self.ranks.encode_ordinary(text)
+
+    def encode(self, texts: list[str]) -> list[bytes]:
+        """Little-endian 32-bit ids of each text."""
+        return [
+            np.array(
+                self.tokenizer.encode(text, add_special_tokens=False).ids
+                if "<|" in text
+                else self.plain_ids(text),
+                "<u4",
+            ).tobytes()
+            for text in texts
+        ]
+
+
+_ENCODERS: dict[tuple[str, str, bool], PieceMemo | ByteLevel] = {}
+
+
+def encoder(path: str, mark: str, spaced: bool) -> PieceMemo | ByteLevel:
+    """One encoder per Python worker; a byte-level vocabulary (``spaced``) needs no memory of pieces."""
     key = (path, mark, spaced)
     if key not in _ENCODERS:
-        _ENCODERS[key] = PieceMemo(*key)
+        _ENCODERS[key] = ByteLevel(path) if spaced else PieceMemo(*key)
     return _ENCODERS[key]
