@@ -13,7 +13,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sparkmon.llm.text import offsets, sliced
+from sparkmon.llm.text import SLICE_BYTES, offsets, sliced
 from sparkmon.llm.tokens import encoder
 from sparkmon.session import stage
 
@@ -157,7 +157,7 @@ def _written(a: np.ndarray, b: np.ndarray, cut_a: np.ndarray, cut_b: np.ndarray,
 def _aligned(path_a: str, mark_a: str, path_b: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pair = tokenizer_pair(path_a, mark_a, path_b)
-        for batch in sliced(batches):
+        for batch in sliced(batches, size=SLICE_BYTES // 4):
             ids_a, ids_b = pair.encode(batch.column("text").to_pylist())
             n_a, n_b = np.array(list(map(len, ids_a))), np.array(list(map(len, ids_b)))
             a, b = np.concatenate(ids_a), np.concatenate(ids_b)

@@ -24,14 +24,16 @@ ALNUM = bytes(
 )
 
 
-def sliced(batches: Iterator[pa.RecordBatch], column: str = "text") -> Iterator[pa.RecordBatch]:
-    """The same rows in batches of about ``SLICE_BYTES`` of text; a longer text stands alone.
+def sliced(
+    batches: Iterator[pa.RecordBatch], column: str = "text", size: int = SLICE_BYTES
+) -> Iterator[pa.RecordBatch]:
+    """The same rows in batches of about ``size`` bytes of text; a longer text stands alone.
 
     Python workers outlive their tasks, so what Arrow has freed goes back to the system at the end.
     """
     for batch in batches:
         sizes = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False)
-        group = np.cumsum(sizes, dtype=np.int64) // SLICE_BYTES
+        group = np.cumsum(sizes, dtype=np.int64) // size
         cuts = np.flatnonzero(np.diff(group)) + 1
         for start, end in itertools.pairwise([0, *cuts.tolist(), batch.num_rows]):
             if end > start:
