@@ -1,26 +1,16 @@
-"""Token ids of whole texts by a public tokenizer, with a memory for pieces seen before.
+"""Token ids of whole texts by a public tokenizer's vocabulary, merged by rank.
 
-Both vocabularies split a text before white space and treat what lies between on its own, so the ids of
-a text are the ids of its pieces one after another. Pieces are remembered; new ones are encoded by the
-tokenizer in groups. Texts for which that isn't sure (characters that only some libraries call white
-space, or special tokens) are encoded as a whole.
+The ids of both vocabularies are in the order of their merges, so merging the pair with the lowest id gives the
+ids of the tokenizer file, without its cost per piece. Texts for which that isn't sure (special tokens, or
+characters that the splitting here does not know) are encoded by the tokenizer itself.
 """
 
 import os
 import re
 
 import numpy as np
-
-MEMO_ENTRIES = 150_000
-GROUP = 200
-
-# Ends of a word that both patterns split from the letters before them.
-ENDINGS = ".,;:!?|"
-# White space for some libraries only, and what may start a special token.
-UNSURE_CODES = [*range(0x1C, 0x20), 0x85, 0xA0, 0x1680, 0x180E, *range(0x2000, 0x2010)]
-UNSURE_CODES += [0x2028, 0x2029, 0x202F, 0x205F, 0x2060, 0x3000, 0xFEFF]
-UNSURE = re.compile("[" + "".join(map(chr, UNSURE_CODES)) + r"]|<\|")
-PIECES = re.compile(r"\s*\S+|\s+", re.ASCII)
+import pyarrow as pa
+import pyarrow.compute as pc
 
 
 def tokenizer_path(name: str) -> str:
@@ -30,86 +20,6 @@ def tokenizer_path(name: str) -> str:
     return public_tokenizers.path(name)
 
 
-class PieceMemo:
-    """Encodes texts as little-endian 32-bit ids.
-
-    ``mark`` is a special token of the vocabulary that separates the new pieces of a group;
-    ``spaced`` says whether white space belongs to the piece behind it.
-    """
-
-    def __init__(self, path: str, mark: str, spaced: bool):
-        from tokenizers import Tokenizer
-
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        self.tokenizer = Tokenizer.from_file(path)
-        self.mark, self.mark_id = mark, self.tokenizer.token_to_id(mark)
-        self.spaced = spaced
-        # Two generations: pieces in use move to the young one, the others go with the old one.
-        self.memo: dict[str, bytes] = {}
-        self.old: dict[str, bytes] = {}
-
-    def whole(self, text: str) -> bytes:
-        ids = self.tokenizer.encode(text, add_special_tokens=False).ids
-        return np.array(ids, "<u4").tobytes()
-
-    def pieces(self, text: str) -> list[str]:
-        return PIECES.findall(text) if self.spaced else text.split()
-
-    def _split(self, piece: str) -> tuple[str, str]:
-        """Letters and the punctuation behind them, which are encoded apart anyway."""
-        word = piece.rstrip(ENDINGS)
-        letters = word[1:] if self.spaced and word[:1] == " " else word
-        plain = letters.isalpha() and ord(max(letters)) < 0x250  # letters in every Unicode version
-        if not plain:
-            return piece, ""
-        # The vocabulary without white space is one of lower-case words.
-        return word if self.spaced or not word.isascii() else word.lower(), piece[len(word) :]
-
-    def _learn(self, new: set[str]) -> None:
-        memo, old = self.memo, self.old
-        parts = {}
-        for piece in new:
-            ids = old.get(piece)
-            if ids is None:
-                parts[piece] = self._split(piece)
-            else:
-                memo[piece] = ids
-        unknown = []
-        for part in {p for pair in parts.values() for p in pair if p}:
-            ids = memo.get(part) or old.get(part)
-            if ids is None:
-                unknown.append(part)
-            else:
-                memo[part] = ids
-        groups = [unknown[start : start + GROUP] for start in range(0, len(unknown), GROUP)]
-        joined = [self.mark.join(group) for group in groups]
-        found = self.tokenizer.encode_batch_fast(joined, add_special_tokens=False)
-        for group, encoding in zip(groups, found, strict=True):
-            ids = np.array(encoding.ids, "<u4")
-            at = [-1, *np.flatnonzero(ids == self.mark_id).tolist(), len(ids)]
-            held = ids.tobytes()
-            for piece, before, after in zip(group, at, at[1:], strict=False):
-                memo[piece] = held[4 * before + 4 : 4 * after]
-        for piece, (word, ending) in parts.items():
-            if word != piece:
-                memo[piece] = memo[word] + (memo[ending] if ending else b"")
-
-    def encode(self, texts: list[str]) -> list[bytes]:
-        """Ids of each text, for a group of texts of bounded size."""
-        if len(self.memo) > MEMO_ENTRIES:
-            self.old, self.memo = self.memo, {}
-        memo = self.memo
-        sure = [None if UNSURE.search(text) else self.pieces(text) for text in texts]
-        new = set().union(*(pieces for pieces in sure if pieces)).difference(memo)
-        if new:
-            self._learn(new)
-        known = memo.__getitem__
-        return [
-            self.whole(text) if pieces is None else b"".join(map(known, pieces))
-            for text, pieces in zip(texts, sure, strict=True)
-        ]
-
-
 # Fixed value: the pattern by which byte-level vocabularies of this kind split a text.
 BYTE_LEVEL_PATTERN = (
     r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
@@ -168,12 +78,67 @@ class ByteLevel:
         ]
 
 
-_ENCODERS: dict[tuple[str, str, bool], PieceMemo | ByteLevel] = {}
+# Fixed value: what the word vocabulary splits off beside runs of letters, within the characters of SURE.
+WORD_SPLIT = r"('(?:s|t|re|ve|m|ll|d)|[!-/:-@\[-`{-~\x{D7}\x{F7}]+|[0-9])|[\t-\r]"
+# ASCII but control characters, and composed Latin letters whose lower case is one letter too.
+UNSURE = re.compile("[^\x09-\x0d\x20-\x7e\xc0-\u012f\u0131-\u024f]")
+WORD_END = "</w>"
+
+
+class WordEnds:
+    """Encodes texts by a lower-case vocabulary that marks ends of words and drops white space.
+
+    A space stands for the mark: no word holds one, and a byte with the mark behind it has a lower id than any
+    merge. So texts need only be split in words with one space behind each, which Arrow does for a group of
+    texts at once.
+    """
+
+    def __init__(self, path: str, mark: str):
+        from tiktoken import Encoding
+        from tokenizers import Tokenizer
+
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
+        self.tokenizer = Tokenizer.from_file(path)
+        codes = byte_level_codes()
+        special = {added.content for added in self.tokenizer.get_added_tokens_decoder().values()}
+        ranks = {}
+        for token, i in self.tokenizer.get_vocab().items():
+            if token not in special:
+                word = token.removesuffix(WORD_END)
+                ranks[bytes(map(codes.__getitem__, word)) + b" " * (word != token)] = i
+        self.opening = mark[:2]
+        self.ranks = Encoding(path, pat_str="[^ ]+ ", mergeable_ranks=ranks, special_tokens={})
+
+    def encode(self, texts: list[str]) -> list[bytes]:
+        """Little-endian 32-bit ids of each text, for a group of texts of bounded size."""
+        sure = [self.opening not in text and UNSURE.search(text) is None for text in texts]
+        lowered = pa.array(
+            [text.lower() + " " if plain else None for text, plain in zip(texts, sure, strict=True)],
+            pa.large_string(),
+        )
+        # Words end at white space, at what is split off, or with the text.
+        words = pc.replace_substring_regex(lowered, WORD_SPLIT, r" \1 ").to_pylist()
+        return [
+            np.array(
+                self.tokenizer.encode(text, add_special_tokens=False).ids
+                if split is None
+                else self.ranks.encode_ordinary(split),
+                "<u4",
+            ).tobytes()
+            for text, split in zip(texts, words, strict=True)
+        ]
+
+
+_ENCODERS: dict[tuple[str, str, bool], WordEnds | ByteLevel] = {}
 
 
-def encoder(path: str, mark: str, spaced: bool) -> PieceMemo | ByteLevel:
-    """One encoder per Python worker; a byte-level vocabulary (``spaced``) needs no memory of pieces."""
+def encoder(path: str, mark: str, spaced: bool) -> WordEnds | ByteLevel:
+    """One encoder per Python worker.
+
+    ``mark`` is a special token, all of which begin alike; ``spaced`` says whether white space belongs to the
+    piece behind it.
+    """
     key = (path, mark, spaced)
     if key not in _ENCODERS:
-        _ENCODERS[key] = ByteLevel(path) if spaced else PieceMemo(*key)
+        _ENCODERS[key] = ByteLevel(path) if spaced else WordEnds(path, mark)
     return _ENCODERS[key]

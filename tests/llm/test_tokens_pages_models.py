@@ -11,7 +11,7 @@ from tokenizers import Tokenizer
 import corpus_pipeline
 from sparkmon.llm import html_text, learning, packing, quality, queries, token_files, toxicity
 from sparkmon.llm.fm_index import FmIndex
-from sparkmon.llm.tokens import PieceMemo, tokenizer_path
+from sparkmon.llm.tokens import encoder, tokenizer_path
 
 ODD = [
     "",
@@ -25,21 +25,29 @@ ODD = [
     "a\x1fb \x1c c\x85d e  f",
     "ΣΣ İstanbul. STRASSE",
     "word, word. Word WORD word",
+    "a'sb'Rec'ed\"'s '' __x_1_ 2×3÷4 ªº ²¼ ǅŒı",
+    "\t\r\x0b\x0cend\x7f \x00",
 ]
 
 
 @pytest.mark.parametrize(
     "vocabulary", [queries.FILE_VOCABULARY, queries.PACK_VOCABULARY], ids=["word", "byte"]
 )
-def test_pieces_give_the_ids_of_whole_texts(spark, folder, vocabulary):
+def test_ids_by_rank_are_those_of_the_tokenizer(spark, folder, vocabulary):
     name, mark, spaced, _ = vocabulary
     texts = [r.text for r in spark.read.parquet(f"{folder}/documents.parquet").limit(60).collect()] + ODD
     whole = Tokenizer.from_file(tokenizer_path(name)).encode_batch(texts, add_special_tokens=False)
-    memo = PieceMemo(tokenizer_path(name), mark, spaced)
-    for _ in range(2):
-        found = [np.frombuffer(ids, "<u4").tolist() for ids in memo.encode(texts)]
-        assert found == [encoding.ids for encoding in whole]
-        memo.old, memo.memo = memo.memo, {}
+    found = encoder(tokenizer_path(name), mark, spaced).encode(texts)
+    assert [np.frombuffer(ids, "<u4").tolist() for ids in found] == [encoding.ids for encoding in whole]
+
+
+def test_every_entry_of_the_word_vocabulary_is_its_own_text():
+    name, mark, spaced, _ = queries.FILE_VOCABULARY
+    tokenizer = Tokenizer.from_file(tokenizer_path(name))
+    texts = [token.removesuffix("</w>") for token in tokenizer.get_vocab()]
+    whole = tokenizer.encode_batch(texts, add_special_tokens=False)
+    found = encoder(tokenizer_path(name), mark, spaced).encode(texts)
+    assert [np.frombuffer(ids, "<u4").tolist() for ids in found] == [encoding.ids for encoding in whole]
 
 
 @pytest.mark.parametrize("size", [0, 1, 511, 512, 513, 5000])
