@@ -4,11 +4,16 @@ import atexit
 import os
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 _STAGED: list[str] = []
+#: Folders of the open ``scratch`` blocks of this thread, the innermost one last.
+_BLOCKS: ContextVar[tuple[list[str], ...]] = ContextVar("blocks", default=())
 
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
@@ -68,21 +73,42 @@ def shared_dir(spark: SparkSession) -> str:
     return configured.rstrip("/")
 
 
-def fresh_dir(spark: SparkSession, label: str) -> str:
-    """A path below the shared folder that no earlier run has used; it goes when Python ends."""
+def fresh_dir(spark: SparkSession, label: str, outlives: bool = False) -> str:
+    """A path below the shared folder that no earlier run has used.
+
+    It goes at the end of the :func:`scratch` block it is made in, or of the one around that if it
+    ``outlives`` the block, else when Python ends.
+    """
     path = f"{shared_dir(spark)}/sparkmon/{label}-{uuid.uuid4().hex}"
-    _STAGED.append(path)
+    owners = (_STAGED, *_BLOCKS.get())
+    owners[max(0, len(owners) - 1 - outlives)].append(path)
     return path
 
 
-def remove_staged(spark: SparkSession) -> None:
-    """Remove all folders of :func:`fresh_dir`; what was read from them must have been used."""
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[None]:
+    """Owns the folders made in the block, which go at its end; results are staged to outlive it."""
+    held: list[str] = []
+    mark = _BLOCKS.set((*_BLOCKS.get(), held))
+    try:
+        yield
+    finally:
+        _BLOCKS.reset(mark)
+        _remove(spark, held)
+
+
+def _remove(spark: SparkSession, paths: list[str]) -> None:
     jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
-    while _STAGED:
-        path = jvm.org.apache.hadoop.fs.Path(_STAGED.pop())
+    while paths:
+        path = jvm.org.apache.hadoop.fs.Path(paths.pop())
         path.getFileSystem(conf).delete(path, True)
 
 
+def remove_staged(spark: SparkSession) -> None:
+    """Remove all folders of :func:`fresh_dir`; what was read from them must have been used."""
+    _remove(spark, _STAGED)
+
+
 @atexit.register
 def _remove_at_exit() -> None:
     spark = SparkSession.getActiveSession()
@@ -90,17 +116,17 @@ def _remove_at_exit() -> None:
         remove_staged(spark)
 
 
-def stage(df: DataFrame, label: str) -> DataFrame:
+def stage(df: DataFrame, label: str, outlives: bool = False) -> DataFrame:
     """Write ``df`` as Parquet in the shared folder and read it back.
 
-    The folder is the session's: it goes when Python ends, or with :func:`remove_staged`.
+    The folder goes as :func:`fresh_dir` says, or with :func:`remove_staged`.
 
     The written files cut the lineage, survive the loss of executors and have a known size, from
     which :func:`broadcast_if_small` and Catalyst choose between a broadcast and a shuffled join
     with skew splitting.
     """
     spark = df.sparkSession
-    path = fresh_dir(spark, label)
+    path = fresh_dir(spark, label, outlives)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 

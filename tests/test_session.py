@@ -55,3 +55,25 @@ def test_staged_folders_can_be_removed(spark):
     path = staged.inputFiles()[0].removeprefix("file://").rsplit("/", 1)[0]
     session.remove_staged(spark)
     assert not os.path.exists(path)
+
+
+def test_scratch_folders_go_with_their_block(spark):
+    with session.scratch(spark):
+        kept = session.stage(spark.range(3), "kept", outlives=True)
+        with session.scratch(spark):
+            inner = session.fresh_dir(spark, "inner", outlives=True)
+            os.makedirs(inner)
+        gone = session.stage(spark.range(4), "gone")
+        path = gone.inputFiles()[0].removeprefix("file://").rsplit("/", 1)[0]
+        assert os.path.exists(path) and os.path.exists(inner)
+    assert not os.path.exists(path) and not os.path.exists(inner)
+    assert kept.count() == 3
+
+
+def test_scratch_folders_go_after_a_failure(spark):
+    with pytest.raises(ValueError):
+        with session.scratch(spark):
+            path = session.fresh_dir(spark, "failed")
+            os.makedirs(path)
+            raise ValueError
+    assert not os.path.exists(path)
