@@ -7,7 +7,8 @@ confirmed on the full shingle sets, and groups are connected components.
 No step lists the pairs of a group. Documents with equal sets are one class from the start. In a band
 bucket every class is compared with one hub, which leaves what it lacks of the hub's shingles and what
 it has besides. Two classes that share no such difference are less alike than either is to the hub, so
-what is left to compare are classes in different components that share enough differences.
+what is left to compare are classes in different components. A few of them lead: each is compared with the
+others of its hub, on the differences. The rest are compared where they share enough differences.
 """
 
 from collections.abc import Iterator
@@ -19,12 +20,14 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from sparkmon.llm.text import LOWERED, WordCodes, gram_codes, mixed, offsets, sliced, utf8
-from sparkmon.session import broadcast_if_small, stage
+from sparkmon.session import broadcast_if_small, scratch, stage
 
 SHINGLE = 5
 PERMUTATIONS = 64
 BAND_ROWS = 4
 SIMILARITY = 85  # per cent
+#: Open documents of a hub that are compared with all others of it before pairs are sought.
+LEADS = 3
 
 _rng = np.random.default_rng(20240131)
 FACTORS = _rng.integers(0, 2**64, PERMUTATIONS, np.uint64) | np.uint64(1)
@@ -174,43 +177,52 @@ def near_duplicate_groups(documents: DataFrame, similarity: int = SIMILARITY) ->
     linked with nothing, has a null component and is kept. An empty table gives no rows; further
     columns are ignored.
     """
-    texts = documents.select(
-        F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")
-    )
-    sketches = stage(texts.mapInArrow(_sketch, SKETCH), "sketches")
-    usable = sketches.filter("doc_id is not null and set_key is not null")
-    classes = usable.groupBy("set_key").agg(F.min("doc_id").alias("rep"))
-    members = stage(usable.select("doc_id", "n_shingles", "set_key").join(classes, "set_key"), "members")
-    reps = members.filter("doc_id = rep").select("doc_id").distinct()
-    buckets = stage(
-        usable.join(reps, "doc_id", "left_semi").select("doc_id", F.explode("bands").alias("bucket")),
-        "buckets",
-    )
-    hubs = stage(
-        buckets.groupBy("bucket")
-        .agg(F.min("doc_id").alias("hub"), F.max("doc_id").alias("last"))
-        .filter("hub < last")
-        .select("bucket", "hub"),
-        "hubs",
-    )
-    pairs = buckets.join(hubs, "bucket").filter("hub <> doc_id").select("hub", "doc_id").distinct()
-    pairs = stage(pairs, "hub-pairs")
-    candidates = pairs.select("doc_id").unionByName(pairs.select(F.col("hub").alias("doc_id"))).distinct()
-    candidates = stage(candidates, "candidates")
-    wanted = texts.join(broadcast_if_small(candidates), "doc_id", "left_semi")
-    sets = stage(wanted.mapInArrow(_full_sets, SET), "sets")
-
-    apart = stage(differences(pairs, sets, similarity), "differences")
-    edges = apart.filter("linked").select(F.col("hub").alias("a"), F.col("doc_id").alias("b"))
-    # Rows that share an id but not a text link the classes they are in.
-    lowest = members.groupBy("doc_id").agg(F.min("rep").alias("a"), F.max("rep").alias("b"))
-    split = lowest.filter("a < b").select("doc_id", "a")
-    same = split.join(members, "doc_id").filter("rep > a").select("a", F.col("rep").alias("b")).distinct()
-    edges = stage(edges.unionByName(same), "links")
-    ends = edges.select(F.col("a").alias("id")).unionByName(edges.select(F.col("b").alias("id")))
-    known = candidates.select(F.col("doc_id").alias("id")).unionByName(ends).distinct()
-    labels = components(edges, known.withColumn("label", F.col("id")))
-    labels = linked(crossing(apart, labels, similarity), labels, sets, similarity)
+    with scratch(documents.sparkSession):
+        texts = documents.select(
+            F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")
+        )
+        sketches = stage(texts.mapInArrow(_sketch, SKETCH), "sketches", outlives=True)
+        usable = sketches.filter("doc_id is not null and set_key is not null")
+        classes = usable.groupBy("set_key").agg(F.min("doc_id").alias("rep"))
+        members = usable.select("doc_id", "n_shingles", "set_key").join(classes, "set_key")
+        members = stage(members, "members", outlives=True)
+        reps = members.filter("doc_id = rep").select("doc_id").distinct()
+        buckets = stage(
+            usable.join(reps, "doc_id", "left_semi").select("doc_id", F.explode("bands").alias("bucket")),
+            "buckets",
+        )
+        hubs = stage(
+            buckets.groupBy("bucket")
+            .agg(F.min("doc_id").alias("hub"), F.max("doc_id").alias("last"))
+            .filter("hub < last")
+            .select("bucket", "hub"),
+            "hubs",
+        )
+        pairs = buckets.join(hubs, "bucket").filter("hub <> doc_id").select("hub", "doc_id").distinct()
+        pairs = stage(pairs, "hub-pairs")
+        candidates = pairs.select("doc_id").unionByName(pairs.select(F.col("hub").alias("doc_id"))).distinct()
+        candidates = stage(candidates, "candidates")
+        wanted = texts.join(broadcast_if_small(candidates), "doc_id", "left_semi")
+        sets = stage(wanted.mapInArrow(_full_sets, SET), "sets")
+
+        apart = stage(differences(pairs, sets, similarity), "differences")
+        edges = apart.filter("linked").select(F.col("hub").alias("a"), F.col("doc_id").alias("b"))
+        # Rows that share an id but not a text link the classes they are in.
+        lowest = members.groupBy("doc_id").agg(F.min("rep").alias("a"), F.max("rep").alias("b"))
+        split = lowest.filter("a < b").select("doc_id", "a")
+        same = split.join(members, "doc_id").filter("rep > a").select("a", F.col("rep").alias("b")).distinct()
+        edges = stage(edges.unionByName(same), "links")
+        ends = edges.select(F.col("a").alias("id")).unionByName(edges.select(F.col("b").alias("id")))
+        known = candidates.select(F.col("doc_id").alias("id")).unionByName(ends).distinct()
+        labels = components(edges, known.withColumn("label", F.col("id")))
+        uneven = stage(uneven_hubs(apart, labels), "uneven")
+        for turn in range(LEADS):
+            edges = stage(lead_links(uneven, labels, similarity, turn), "lead-links")
+            if edges.isEmpty():
+                break
+            labels = merged(edges, labels)
+        labels = linked(crossing(uneven, labels, similarity), labels, sets, similarity)
+        labels = stage(labels, "labels", outlives=True)
 
     grouped = members.join(labels.withColumnRenamed("id", "rep"), "rep", "left").select(
         "doc_id", "n_shingles", F.coalesce("label", "rep").alias("component_id")
@@ -222,49 +234,89 @@ def near_duplicate_groups(documents: DataFrame, similarity: int = SIMILARITY) ->
     return grouped.unionByName(alone).withColumn("kept", kept)
 
 
+def placed(apart: DataFrame, labels: DataFrame) -> DataFrame:
+    """Differences with the components of both sides; ``open`` documents are not in the hub's component."""
+    mine = labels.select(F.col("id").alias("doc_id"), "label")
+    hubs = labels.select(F.col("id").alias("hub"), F.col("label").alias("hub_label"))
+    return apart.join(mine, "doc_id").join(hubs, "hub").withColumn("open", F.expr("label <> hub_label"))
+
+
+def uneven_hubs(apart: DataFrame, labels: DataFrame) -> DataFrame:
+    """All differences from hubs that have an open document."""
+    hubs = stage(placed(apart.drop("lacks", "adds"), labels).filter("open").select("hub").distinct(), "hubs")
+    return apart.join(broadcast_if_small(hubs), "hub", "left_semi").drop("linked")
+
+
+def lead_links(apart: DataFrame, labels: DataFrame, similarity: int, turn: int) -> DataFrame:
+    """Links between one open document of each hub, its lead, and the hub's other documents.
+
+    A hub that is far from documents which are alike leaves them all open. Their lead joins them with one
+    comparison each, on the differences from the hub: with ``s`` in common two documents are linked if
+    (100 + similarity) s >= b1 + b2 - (100 - similarity) n. The first lead is the open document nearest to
+    the hub, later ones are drawn by a hash.
+    """
+    here = placed(apart, labels)
+    order = F.col("burden") if turn == 0 else F.xxhash64(F.col("doc_id"), F.lit(turn))
+    first = here.filter("open").groupBy("hub").agg(F.min(F.struct(order, "doc_id")).alias("first"))
+    chosen = stage(first.select("hub", F.col("first.doc_id").alias("lead")), "leads")
+    leads = here.join(broadcast_if_small(chosen), "hub").filter("doc_id = lead").select(
+        "hub",
+        "lead",
+        F.col("label").alias("lead_label"),
+        F.col("burden").alias("lead_burden"),
+        F.col("lacks").alias("lead_lacks"),
+        F.col("adds").alias("lead_adds"),
+    )
+    near = here.join(broadcast_if_small(stage(leads, "leads")), "hub").filter("label <> lead_label")
+    common = F.size(F.array_intersect("lacks", "lead_lacks")) + F.size(F.array_intersect("adds", "lead_adds"))
+    least = F.col("burden") + F.col("lead_burden") - (100 - similarity) * F.col("n")
+    alike = near.filter((100 + similarity) * common >= least)
+    return alike.select(F.col("lead").alias("a"), F.col("doc_id").alias("b")).distinct()
+
+
 def crossing(apart: DataFrame, labels: DataFrame, similarity: int) -> DataFrame:
     """Pairs with a common hub but in different components that may still be similar enough.
 
     Let ``n`` be the hub's shingles and b the burdens of two documents. With s differences in common they
     are similar enough if (100 + similarity) s >= b1 + b2 - (100 - similarity) n. Of such a pair at least
-    one, here called open, is not linked with the hub, so its burden exceeds (100 - similarity) n, and
-    the other one shares more than b / (100 + similarity) of its differences. So any choice of all but
-    that many of its differences holds a shared one; those that the fewest open documents have are
-    chosen. A difference that no other document of the hub has is never shared, which bounds s.
+    one is open, so its burden exceeds (100 - similarity) n. The other one shares more than
+    b / (100 + similarity) of its differences, and the open one at least
+    (b - (100 - similarity) n) / (100 + similarity) of its own.
+
+    The differences of a hub have one order: first those that lead to no open document or are held once, then
+    by the number of open documents that hold them. If two documents share m differences, then each one's
+    first ``total - m + 1`` hold a shared one. So both sides are cut, and only documents that meet there are
+    pairs. The number of shared differences is bounded by those not held once.
     """
-    mine = labels.select(F.col("id").alias("doc_id"), "label")
-    hubs = labels.select(F.col("id").alias("hub"), F.col("label").alias("hub_label"))
-    placed = apart.join(mine, "doc_id").join(hubs, "hub").withColumn("open", F.expr("label <> hub_label"))
-    uneven = placed.filter("open").select("hub").distinct()
-    placed = placed.join(broadcast_if_small(stage(uneven, "uneven-hubs")), "hub", "left_semi")
-    total = F.size("lacks") + F.size("adds")
-    features = placed.select(
+    here = placed(apart, labels)
+    features = here.select(
         "hub",
         "doc_id",
-        "label",
         "open",
-        "n",
-        "burden",
-        total.alias("total"),
         F.explode(F.concat("lacks", "adds")).alias("difference"),
     )
     key = ["hub", "difference"]
     holders = features.groupBy(*key).agg(F.count("*").alias("all"), F.count_if("open").alias("open_ones"))
-    known = features.join(holders.filter("all > 1 AND open_ones > 0"), key)
-    known = known.withColumn("others", F.expr("open_ones - int(open)"))
+    known = features.join(holders.filter("all > 1 AND open_ones > 0").drop("all"), key)
     mine = Window.partitionBy("hub", "doc_id")
-    order = mine.orderBy(F.expr("others = 0"), "others", "difference")
     ranked = known.withColumns(
         {
-            "rank": F.row_number().over(order),
-            "useful": F.count_if(F.col("others") > 0).over(mine),
+            "rank": F.row_number().over(mine.orderBy("open_ones", "difference")),
             "held": F.count("*").over(mine),
         }
     )
-    # Differences that no open one has come first in the choice and lead nowhere.
-    chosen = f"total - floor(burden / {100 + similarity}) - (total - useful)"
-    left = ranked.filter(f"others > 0 AND rank <= {chosen}").select(*key, "doc_id", "label", "burden", "useful")
-    right = ranked.filter("open").select(
+    facts = here.select("hub", "doc_id", "label", "open", "n", "burden")
+    limits = facts.withColumns(
+        {
+            "shared": F.expr(f"floor(burden / {100 + similarity}) + 1"),
+            "shared_open": F.expr(
+                f"greatest(1, ceil((burden - {100 - similarity} * n) / {100 + similarity}))"
+            ),
+        }
+    )
+    cut = ranked.drop("open").join(limits, ["hub", "doc_id"])
+    left = cut.filter("rank <= held - shared + 1").select(*key, "doc_id", "label", "burden", "held")
+    right = cut.filter("open AND rank <= held - shared_open + 1").select(
         *key,
         F.col("doc_id").alias("other"),
         F.col("label").alias("other_label"),
@@ -273,23 +325,19 @@ def crossing(apart: DataFrame, labels: DataFrame, similarity: int) -> DataFrame:
         "n",
     )
     least = F.col("burden") + F.col("other_burden") - (100 - similarity) * F.col("n")
-    enough = (100 + similarity) * F.least("useful", "other_held") >= least
+    enough = (100 + similarity) * F.least("held", "other_held") >= least
     pairs = left.join(right, key).filter((F.col("label") != F.col("other_label")) & enough)
     return pairs.select(F.least("doc_id", "other").alias("a"), F.greatest("doc_id", "other").alias("b")).distinct()
 
 
-def linked(pairs: DataFrame, labels: DataFrame, sets: DataFrame, similarity: int) -> DataFrame:
-    """The labels after confirming those of the pairs that lie in different components."""
+def merged(edges: DataFrame, labels: DataFrame) -> DataFrame:
+    """The labels after joining components through their labels, so that all their members follow."""
     here = labels.select(F.col("id").alias("a"), F.col("label").alias("label_a"))
     there = labels.select(F.col("id").alias("b"), F.col("label").alias("label_b"))
-    open_ = pairs.join(here, "a").join(there, "b").filter("label_a <> label_b").select("a", "b")
-    edges = stage(confirmed(stage(open_, "pairs"), sets, similarity), "links")
-    if edges.isEmpty():
-        return labels
-    # Components are joined through their labels, so that all their members follow.
     ends = edges.join(here, "a").join(there, "b").select(
         F.col("label_a").alias("a"), F.col("label_b").alias("b")
     )
+    ends = stage(ends.distinct(), "merges")
     names = ends.select(F.col("a").alias("id")).unionByName(ends.select(F.col("b").alias("id"))).distinct()
     moved = components(ends, names.withColumn("label", F.col("id")))
     moved = moved.select(F.col("id").alias("label"), F.col("label").alias("further"))
@@ -297,3 +345,9 @@ def linked(pairs: DataFrame, labels: DataFrame, sets: DataFrame, similarity: int
         labels.join(moved, "label", "left").select("id", F.coalesce("further", "label").alias("label")),
         "labels",
     )
+
+
+def linked(pairs: DataFrame, labels: DataFrame, sets: DataFrame, similarity: int) -> DataFrame:
+    """The labels after confirming those of the pairs that lie in different components."""
+    edges = stage(confirmed(stage(pairs, "pairs"), sets, similarity), "links")
+    return labels if edges.isEmpty() else merged(edges, labels)

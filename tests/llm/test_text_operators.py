@@ -185,8 +185,10 @@ def test_near_duplicates(spark, texts):
     assert got == sorted(expected_groups(texts), key=str)
 
 
-def test_near_duplicates_beyond_the_hub(spark):
+@pytest.mark.parametrize("leads", [0, near_duplicates.LEADS])
+def test_near_duplicates_beyond_the_hub(spark, monkeypatch, leads):
     """Chains of small edits: most links are between texts that are no longer like the first one."""
+    monkeypatch.setattr(near_duplicates, "LEADS", leads)
     rng = np.random.default_rng(5)
     rows, words = [], passage(9, 150)
     for doc in range(120):
