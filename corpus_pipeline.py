@@ -3,6 +3,7 @@
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from sparkmon.llm.decontaminate import contamination
 from sparkmon.llm.near_duplicates import near_duplicate_groups
@@ -12,46 +13,80 @@ from sparkmon.llm.shipping import ship
 from sparkmon.llm.substring_dedup import cleaned_documents
 from sparkmon.llm.tokens import tokenizer_path
 from sparkmon.llm.toxicity import toxicity
-from sparkmon.session import broadcast_if_small, stage
+from sparkmon.session import broadcast_if_small, scratch, stage
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drop documents that the classifier calls toxic."""
-    scores = toxicity(docs, table(spark, sf_dir, "labels"))
-    return without(docs, scores.filter("predicted = 1").select("doc_id"))
+    """Drop documents that the classifier calls toxic.
+
+    Every row is judged by its own text, also where ids are null or repeated. Null and empty texts get the
+    score of a text without terms.
+    """
+    with scratch(spark):
+        scores = toxicity(docs, table(spark, sf_dir, "labels"))
+        return without(docs, scores.filter("predicted = 1").select("doc_id", "text_hash"))
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keep one document of each group, the one with the smallest id."""
+    """Keep one document of each group, the one with the smallest id.
+
+    Rows that share an id are one document, of which the row with the smallest text stays. Rows with a null
+    id and documents without words are linked with nothing and stay.
+    """
     ship(spark)
-    return without(docs, near_duplicate_groups(docs).filter("not kept").select("doc_id"))
+    with scratch(spark):
+        gone = stage(near_duplicate_groups(docs).filter("not kept").select("doc_id"), "rejected")
+        left = docs.join(broadcast_if_small(stage(gone.distinct(), "rejected", outlives=True)), "doc_id", "left_anti")
+        ids = docs.filter("doc_id is not null").groupBy("doc_id").count().filter("count > 1").select("doc_id")
+        repeated = stage(ids, "repeated", outlives=True)
+        if repeated.isEmpty():
+            return left.select(docs.columns)
+        row = F.struct(*[F.col(c) for c in docs.columns])
+        first = F.min_by(row, F.struct("text", F.xxhash64(*docs.columns)))
+        single = left.join(broadcast_if_small(repeated), "doc_id", "left_anti").select(docs.columns)
+        several = left.join(broadcast_if_small(repeated), "doc_id", "left_semi")
+        one = several.groupBy(F.col("doc_id").alias("_id")).agg(first.alias("_row")).select("_row.*")
+        return single.unionByName(one)
 
 
 def drop_repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Take passages that an earlier document holds out of the texts."""
+    """Take passages that an earlier document holds out of the texts.
+
+    Rows with a null id or text stay as they are; rows that share an id don't take from one another.
+    """
     ship(spark)
     return cleaned_documents(docs)
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drop documents that hold benchmark passages."""
-    judged = contamination(docs, table(spark, sf_dir, "benchmark"))
-    return without(docs, judged.filter("contaminated").select("doc_id"))
+    """Drop documents that hold benchmark passages.
+
+    Every row is judged by its own text, also where ids are null or repeated; null texts hold nothing.
+    """
+    with scratch(spark):
+        # Decisions come back under the hash of a text; equal texts are judged alike.
+        texts = docs.select(F.xxhash64(F.col("text").cast("string")).alias("doc_id"), "text")
+        judged = contamination(texts, table(spark, sf_dir, "benchmark")).filter("contaminated")
+        gone = stage(judged.select(F.col("doc_id").alias("text_hash")).distinct(), "rejected", outlives=True)
+        same = F.xxhash64(docs["text"].cast("string")) == gone["text_hash"]
+        return docs.join(broadcast_if_small(gone), same, "left_anti")
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pack what is left into sequences."""
+    """Pack what is left into sequences; a null text is empty and a null id stays null."""
     ship(spark)
     name, mark, spaced, end_id = PACK_VOCABULARY
     return pack_documents(docs, tokenizer_path(name), mark, spaced, end_id)
 
 
 def without(docs: DataFrame, rejected: DataFrame) -> DataFrame:
-    """The documents whose id is not among the rejected ones, by a broadcast only if those are few."""
-    gone = stage(rejected.distinct(), "rejected")
-    return docs.join(broadcast_if_small(gone), "doc_id", "left_anti").select(docs.columns)
+    """The rows whose id and hash of the text are not rejected, null ids included."""
+    gone = stage(rejected.select("doc_id", "text_hash").distinct(), "rejected", outlives=True)
+    same = docs["doc_id"].cast("long").eqNullSafe(gone["doc_id"])
+    same &= F.xxhash64(docs["text"].cast("string")) == gone["text_hash"]
+    return docs.join(broadcast_if_small(gone), same, "left_anti")
 
 
 STAGES: list[tuple[str, Stage]] = [

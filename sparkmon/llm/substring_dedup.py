@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 
 from sparkmon.llm.fm_index import FmIndex
 from sparkmon.llm.text import WordCodes, gram_codes, offsets, sliced, utf8
-from sparkmon.session import broadcast_if_small, stage
+from sparkmon.session import broadcast_if_small, scratch, stage
 
 WINDOW = 50
 GRAM = 8
@@ -279,42 +279,43 @@ def keyed_texts(documents: DataFrame) -> DataFrame:
 
 def repeated_spans(documents: DataFrame) -> DataFrame:
     """``doc_id, text_hash, spans``: windows that a document with a smaller id holds too."""
-    texts = keyed_texts(documents).filter("doc_id is not null and text is not null")
-    anchors = stage(texts.mapInArrow(_anchors, ANCHOR), "anchors")
-    bounds = anchors.groupBy("bucket").agg(F.min("doc_id").alias("low"), F.max("doc_id").alias("high"))
-    common = stage(bounds.filter("low < high").select("bucket"), "common-anchors")
-    runs = (
-        anchors.join(broadcast_if_small(common), "bucket", "left_semi")
-        .groupBy(*KEY)
-        .agg(F.collect_list(F.struct("start", "n", "bucket")).alias("runs"))
-    )
-    runs = stage(runs, "runs")
-    packed = texts.mapInArrow(_pack, PACKED)
-    cut = packed.join(broadcast_if_small(runs), KEY).mapInArrow(_stretches, STRETCH)
-    stretches = stage(cut, "stretches")
-    distinct = stretches.groupBy("bucket", "key", "words").agg(
-        F.min("doc_id").alias("low"), F.max("doc_id").alias("high")
-    )
-    distinct = stage(distinct, "distinct-stretches")
-    crowded = stage(
-        distinct.groupBy("bucket").agg(F.count("*").alias("n")).filter(F.col("n") > CROWDED).select("bucket"),
-        "crowded",
-    )
-    found = answers(distinct.join(broadcast_if_small(crowded), "bucket", "left_anti"))
-    if not crowded.isEmpty():
-        apart = distinct.join(broadcast_if_small(crowded), "bucket", "left_semi")
-        found = found.unionByName(crowded_answers(apart))
-    found = stage(found, "answers")
-    # Only the rows of a stretch from documents behind its window's first one lose anything.
-    hits = (
-        stretches.select(*KEY, "bucket", "start", "key")
-        .join(found, ["bucket", "key"])
-        .select(*KEY, "start", F.explode("found").alias("f"))
-        .filter("f.doc < doc_id")
-        .select(*KEY, F.struct((F.col("start") + F.col("f.at")).alias("start"), F.col("f.n").alias("n")).alias("s"))
-    )
-    spans = hits.groupBy(*KEY).agg(F.collect_list("s").alias("spans"))
-    return stage(spans, "spans")
+    with scratch(documents.sparkSession):
+        texts = keyed_texts(documents).filter("doc_id is not null and text is not null")
+        anchors = stage(texts.mapInArrow(_anchors, ANCHOR), "anchors")
+        bounds = anchors.groupBy("bucket").agg(F.min("doc_id").alias("low"), F.max("doc_id").alias("high"))
+        common = stage(bounds.filter("low < high").select("bucket"), "common-anchors")
+        runs = (
+            anchors.join(broadcast_if_small(common), "bucket", "left_semi")
+            .groupBy(*KEY)
+            .agg(F.collect_list(F.struct("start", "n", "bucket")).alias("runs"))
+        )
+        runs = stage(runs, "runs")
+        packed = texts.mapInArrow(_pack, PACKED)
+        cut = packed.join(broadcast_if_small(runs), KEY).mapInArrow(_stretches, STRETCH)
+        stretches = stage(cut, "stretches")
+        distinct = stretches.groupBy("bucket", "key", "words").agg(
+            F.min("doc_id").alias("low"), F.max("doc_id").alias("high")
+        )
+        distinct = stage(distinct, "distinct-stretches")
+        crowded = stage(
+            distinct.groupBy("bucket").agg(F.count("*").alias("n")).filter(F.col("n") > CROWDED).select("bucket"),
+            "crowded",
+        )
+        found = answers(distinct.join(broadcast_if_small(crowded), "bucket", "left_anti"))
+        if not crowded.isEmpty():
+            apart = distinct.join(broadcast_if_small(crowded), "bucket", "left_semi")
+            found = found.unionByName(crowded_answers(apart))
+        found = stage(found, "answers")
+        # Only the rows of a stretch from documents behind its window's first one lose anything.
+        hits = (
+            stretches.select(*KEY, "bucket", "start", "key")
+            .join(found, ["bucket", "key"])
+            .select(*KEY, "start", F.explode("found").alias("f"))
+            .filter("f.doc < doc_id")
+            .select(*KEY, F.struct((F.col("start") + F.col("f.at")).alias("start"), F.col("f.n").alias("n")).alias("s"))
+        )
+        spans = hits.groupBy(*KEY).agg(F.collect_list("s").alias("spans"))
+        return stage(spans, "spans", outlives=True)
 
 
 def without_repeats(documents: DataFrame) -> DataFrame:
@@ -338,11 +339,10 @@ def cleaned_documents(documents: DataFrame) -> DataFrame:
     A text that loses words becomes its kept words joined by one space, and ``n_chars``, if there, is
     counted anew. A document of which nothing is left goes. All other rows stay as they are.
     """
-    spans = repeated_spans(documents).select(
-        F.col("doc_id").alias("_doc"), F.col("text_hash").alias("_hash"), F.col("spans").alias("_spans")
-    )
-    same = (F.col("doc_id").cast("long") == F.col("_doc")) & (
-        F.xxhash64(F.col("text").cast("string")) == F.col("_hash")
+    spans = repeated_spans(documents).withColumnRenamed("spans", "_spans")
+    same = (documents["doc_id"].cast("long") == spans["doc_id"]) & (
+        F.xxhash64(documents["text"].cast("string")) == spans["text_hash"]
     )
-    joined = documents.join(broadcast_if_small(spans), same, "left").select(*documents.columns, "_spans")
+    columns = [documents[c] for c in documents.columns]
+    joined = documents.join(broadcast_if_small(spans), same, "left").select(*columns, spans["_spans"])
     return joined.mapInArrow(_cleaned, documents.schema)

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from sparkmon.llm.learning import fit_machine, fitted, machine_scores, scorer, sigmoid
 
 FOLDS = 5
-SCORED = "doc_id long, held_out boolean, score double, predicted int"
+SCORED = "doc_id long, held_out boolean, text_hash long, score double, predicted int"
 
 
 def held_out(doc_id: str = "doc_id"):
@@ -41,7 +41,8 @@ def toxicity(documents: DataFrame, labels: DataFrame) -> DataFrame:
     texts = documents.select(
         F.col("doc_id").cast("long").alias("doc_id"),
         F.coalesce(held_out(), F.lit(False)).alias("held_out"),
+        F.xxhash64(F.col("text").cast("string")).alias("text_hash"),
         F.col("text").cast("string").alias("text"),
     )
-    run = scorer(shared, False, ["doc_id", "held_out"], _scores, _without_model, ["score", "predicted"])
+    run = scorer(shared, False, ["doc_id", "held_out", "text_hash"], _scores, _without_model, ["score", "predicted"])
     return texts.mapInArrow(run, SCORED)
