@@ -410,3 +410,18 @@ def test_sql_counterparts_on_the_small_tables(spark, folder):
 
     for name, sql in queries.ORACLES.items():
         assert differences(queries.QUERIES[name](spark, folder), folder, sql) == []
+
+
+def test_pipeline_stages_on_odd_rows(spark, folder):
+    """Null and repeated ids, null and empty texts, a column with a name used inside."""
+    rows = [
+        (1, "a b c", 0), (1, "a b c", 0), (None, "x y z w v u", 1), (None, "x y z w v u", 1),
+        (2, None, 0), (2, "other words of a longer text", 3), (3, "", 0), (1, "another text", 4),
+    ]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, _doc int")
+    one_each = [(1, "a b c", 0), (2, None, 0), (3, "", 0), (None, "x y z w v u", 1), (None, "x y z w v u", 1)]
+    for name, step in corpus_pipeline.STAGES[:-1]:
+        got = [tuple(r) for r in step(spark, docs, folder).collect()]
+        expected = one_each if name == "near_duplicates" else rows
+        assert sorted(got, key=str) == sorted(expected, key=str)
+        assert step(spark, docs.limit(0), folder).isEmpty()
