@@ -23,8 +23,8 @@ from sparkmon.session import stage
 CAPACITY = 2048
 CLASSES = 64
 PATTERN_SIZE = 4
-#: Share of the fitted repeats to realise: what is left over keeps lengths of every size to fill gaps with.
-PATTERN_SHARE = 0.6
+#: Shares of the fitted repeats to try: what is left over keeps lengths of every size to fill gaps with.
+PATTERN_SHARES = (0.8, 0.4, 0.2, 0.1, 0.05, 0.02, 0.0)
 
 PIECE = "doc_id long, piece int, start long, length int, ids_crc32 long, part int, number long"
 PACKED = (
@@ -167,7 +167,34 @@ class Sequences:
 
 
 def plan(histogram: np.ndarray, capacity: int = CAPACITY) -> list[tuple[int, tuple[int, ...]]]:
-    """``(repeats, lengths)`` rows that use up the histogram (index: length).
+    """``(repeats, lengths)`` rows that use up the histogram (index: length) in the fewest sequences found.
+
+    The fit is made once and realised by each share; of equally good ones the largest share is taken. No
+    plan can have fewer sequences than all tokens fill, so the search ends when one has as few.
+    """
+    width = -(-capacity // CLASSES)
+    classes = -(-np.arange(len(histogram)) // width)
+    matrix = patterns()
+    mixed = np.arange(1, capacity)  # full pieces have their own sequences
+    target = np.bincount(classes[mixed], weights=histogram[mixed], minlength=CLASSES + 1)[1:]
+    fit = nnls(matrix, target)
+    least = -(-int((histogram * np.arange(len(histogram))).sum()) // capacity)
+    best: list[tuple[int, tuple[int, ...]]] = []
+    fewest = None
+    for share in PATTERN_SHARES:
+        rows = realised(histogram, matrix, np.floor(share * fit).astype(np.int64), capacity)
+        count = sum(repeats for repeats, _ in rows)
+        if fewest is None or count < fewest:
+            best, fewest = rows, count
+        if fewest <= least:
+            break
+    return best
+
+
+def realised(
+    histogram: np.ndarray, matrix: np.ndarray, repeats: np.ndarray, capacity: int
+) -> list[tuple[int, tuple[int, ...]]]:
+    """Sequences by the repeats of each pattern as far as lengths are left, then the rest by best fit.
 
     Every row exhausts a pattern's repeats, a length or a group of sequences, so their number is bounded by
     the capacity and the number of patterns, whatever the size of the corpus.
@@ -176,10 +203,6 @@ def plan(histogram: np.ndarray, capacity: int = CAPACITY) -> list[tuple[int, tup
     sequences = Sequences(capacity)
     sequences.add(lengths.take({capacity: 1}, int(lengths.left[capacity])), (capacity,))
     width = -(-capacity // CLASSES)
-    classes = -(-np.arange(len(lengths.left)) // width)
-    matrix = patterns()
-    target = np.bincount(classes[1:], weights=lengths.left[1:], minlength=CLASSES + 1)[1:]
-    repeats = np.floor(PATTERN_SHARE * nnls(matrix, target)).astype(np.int64)
     for column in np.argsort(-repeats, kind="stable"):
         most = int(repeats[column])
         sizes = np.flatnonzero(matrix[:, column]) + 1
