@@ -96,14 +96,16 @@ class Windows:
 class Benchmark:
     """The windows of a block of items, by length, with the items that hold each of them."""
 
-    def __init__(self, items: list[tuple[str, bytes]]):
+    def __init__(self, items: list[tuple[str | None, bytes]]):
         self.codes: dict[bytes, int] = {}
         holders: dict[tuple[int, ...], set[str]] = defaultdict(set)
         for item, text in items:
             coded = [self.codes.setdefault(w, len(self.codes) + 1) for w in words_of(text)]
             size = min(WINDOW, len(coded))
             for start in range(len(coded) - size + 1 if size else 0):
-                holders[tuple(coded[start : start + size])].add(item)
+                held = holders[tuple(coded[start : start + size])]
+                if item is not None:
+                    held.add(item)
         by_length = defaultdict(list)
         for window in holders:
             by_length[len(window)].append(window)
@@ -189,7 +191,8 @@ def contamination(documents: DataFrame, benchmark: DataFrame) -> DataFrame:
     """Per document its words, the words hit, the items found and whether it is contaminated.
 
     A document is contaminated if at least one word in twenty is hit. Null texts have no words, an item
-    without words matches nothing, and items that repeat a text all count. Repeated rows each get their
+    without words matches nothing, and items that repeat a text all count. An item without an id hits
+    words like any other, but is neither counted nor listed. Repeated rows each get their
     own result, a null ``doc_id`` stays null, an empty table gives no rows, and further columns are
     ignored.
 
@@ -200,7 +203,7 @@ def contamination(documents: DataFrame, benchmark: DataFrame) -> DataFrame:
     spark = documents.sparkSession
     items = benchmark.select(
         F.col("item_id").cast("string").alias("item_id"), F.col("text").cast("binary").alias("text")
-    ).filter("item_id is not null and text is not null")
+    ).filter("text is not null")
     size = items.agg(F.sum(F.length("text"))).first()[0] or 0
     blocks = 1 + size // BLOCK_BYTES
     found = documents.select(

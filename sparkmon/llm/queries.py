@@ -122,7 +122,7 @@ WITH docs AS (
 items AS (
   SELECT CAST(item_id AS VARCHAR) AS item,
     regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
-      '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM benchmark WHERE item_id IS NOT NULL),
+      '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM benchmark),
 windows AS (
   SELECT DISTINCT item, least(13, len(w)) AS size, array_to_string(w[i:i + least(13, len(w)) - 1], ' ') AS words
   FROM (SELECT item, w, unnest(range(1, len(w) - least(13, len(w)) + 2)) AS i FROM items WHERE len(w) > 0)),
@@ -136,7 +136,7 @@ words_hit AS (
   FROM (SELECT row, unnest(range(i, i + size)) AS p FROM (SELECT DISTINCT row, i, size FROM hits)) GROUP BY row),
 held AS (
   SELECT row, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS items
-  FROM (SELECT DISTINCT row, item FROM hits) GROUP BY row)
+  FROM (SELECT DISTINCT row, item FROM hits WHERE item IS NOT NULL) GROUP BY row)
 SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
   sha256(coalesce(items, '')) AS items_sha256,
   coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(w) AS contaminated

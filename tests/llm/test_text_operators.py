@@ -2,10 +2,11 @@
 
 import hashlib
 
+import duckdb
 import numpy as np
 import pytest
 
-from sparkmon.llm import decontaminate, fingerprints, licenses, near_duplicates, substring_dedup
+from sparkmon.llm import decontaminate, fingerprints, licenses, near_duplicates, queries, substring_dedup
 
 WORDS = [f"w{i}" for i in range(400)]
 DOCUMENTS = "doc_id long, text string, n_words string, spans string, label string"
@@ -116,7 +117,7 @@ def expected_contamination(rows, items):
         w = words(text)
         size = min(13, len(w))
         for i in range(len(w) - size + 1 if size else 0):
-            windows.setdefault(tuple(w[i : i + size]), set()).add(str(item))
+            windows.setdefault(tuple(w[i : i + size]), set()).add(None if item is None else str(item))
     sizes = {len(w) for w in windows}
     for doc, text in rows:
         w = words(text)
@@ -127,6 +128,7 @@ def expected_contamination(rows, items):
                 if held:
                     hit.update(range(i, i + size))
                     found |= held
+        found.discard(None)
         digest = hashlib.sha256(",".join(sorted(found)).encode()).hexdigest()
         yield doc, len(w), len(hit), len(found), digest, bool(hit) and 20 * len(hit) >= len(w)
 
@@ -144,12 +146,26 @@ def test_decontamination(spark, texts, monkeypatch, block_bytes):
         (5, " ,;"),
         (4, "été"),
         (3, by_id[4]),
+        (None, by_id[1][100:250]),
     ]
     benchmark = spark.createDataFrame(items, "item_id long, text string")
     found = decontaminate.contamination(frame(spark, texts), benchmark)
     assert rows_of(found, *found.columns) == sorted(expected_contamination(texts, items), key=str)
 
 
+def test_decontamination_of_items_without_id_equals_its_sql(spark, texts, tmp_path):
+    by_id = dict(texts)
+    items = [(2, by_id[4]), (None, by_id[1][100:400]), (None, "one"), (1, by_id[1][:200]), (None, None)]
+    frame(spark, texts).write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame(items, "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    for name in ("documents", "benchmark"):
+        duckdb.sql(f"CREATE OR REPLACE TEMP VIEW {name} AS SELECT * FROM '{tmp_path}/{name}.parquet/*.parquet'")
+    found = queries.op4_decontaminate(spark, str(tmp_path))
+    expected = sorted(duckdb.sql(queries.DECONTAMINATE_SQL).fetchall(), key=str)
+    assert rows_of(found, *found.columns) == expected
+    assert any(r[2] and not r[3] for r in expected)  # hit by an item without an id alone
+
+
 def expected_groups(rows):
     sets = {}
     for doc, text in rows:

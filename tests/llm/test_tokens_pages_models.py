@@ -140,6 +140,47 @@ def test_packing_of_awkward_rows(spark):
     assert empty.count() == 0
 
 
+def fewest_sequences(lengths, capacity):
+    """The least number of sequences by search over all ways to place the lengths, longest first."""
+    best = len(lengths)
+
+    def place(at, rooms):
+        nonlocal best
+        if len(rooms) >= best:
+            return
+        if at == len(lengths):
+            best = len(rooms)
+            return
+        for i in {room: i for i, room in enumerate(rooms) if room >= lengths[at]}.values():
+            place(at + 1, [*rooms[:i], rooms[i] - lengths[at], *rooms[i + 1 :]])
+        place(at + 1, [*rooms, capacity - lengths[at]])
+
+    place(0, [])
+    return best
+
+
+@pytest.mark.parametrize("seed", range(6))
+def test_plan_of_few_lengths_needs_hardly_more_than_the_least(seed):
+    rng = np.random.default_rng(seed)
+    lengths = sorted((int(n) for n in rng.integers(100, 1400, 11)), reverse=True)
+    rows = packing.plan(np.bincount(lengths, minlength=2049))
+    assert sum(r for r, _ in rows) <= fewest_sequences(lengths, 2048) + 1
+
+
+@pytest.mark.parametrize("seed", range(4))
+def test_plan_keeps_the_best_share(seed, monkeypatch):
+    rng = np.random.default_rng(seed)
+    lengths = np.minimum(2048, rng.lognormal(6.5, 1.0, 5_000).astype(int) + 1)
+    histogram = np.bincount(lengths, minlength=2049)
+    shares = packing.PATTERN_SHARES
+
+    def sequences(tried):
+        monkeypatch.setattr(packing, "PATTERN_SHARES", tried)
+        return sum(r for r, _ in packing.plan(histogram))
+
+    assert sequences(shares) == min(sequences((share,)) for share in shares)
+
+
 @pytest.mark.parametrize("seed", range(4))
 def test_plan_uses_up_the_histogram(seed):
     rng = np.random.default_rng(seed)
