@@ -1,7 +1,7 @@
 """Near-duplicate groups by min-max hashing.
 
 Every permutation of the shingle hashes gives two signature values, the smallest and the largest, so a
-signature of 128 values costs 64 permutations. Bands of four values choose candidates. Links are
+signature of 252 values costs 126 permutations. Bands of six values choose candidates. Links are
 confirmed on the full shingle sets, and groups are connected components.
 
 No step lists the pairs of a group. Documents with equal sets are one class from the start. In a band
@@ -23,8 +23,8 @@ from sparkmon.llm.text import LOWERED, WordCodes, gram_codes, mixed, offsets, sl
 from sparkmon.session import broadcast_if_small, scratch, stage
 
 SHINGLE = 5
-PERMUTATIONS = 64
-BAND_ROWS = 4
+PERMUTATIONS = 126
+BAND_ROWS = 6
 SIMILARITY = 85  # per cent
 #: Open documents of a hub that are compared with all others of it before pairs are sought.
 LEADS = 3
@@ -162,8 +162,8 @@ def differences(pairs: DataFrame, sets: DataFrame, similarity: int) -> DataFrame
         F.size("base").alias("n"),
         F.array_except("base", "own").alias("lacks"),
         F.array_except("own", "base").alias("adds"),
-    )
-    burden = 100 * F.size("lacks") + similarity * F.size("adds")
+    ).withColumns({"n_lacks": F.size("lacks"), "n_adds": F.size("adds")})
+    burden = 100 * F.col("n_lacks") + similarity * F.col("n_adds")
     return apart.withColumn("burden", burden).withColumn(
         "linked", F.col("burden") <= (100 - similarity) * F.col("n")
     )
@@ -215,7 +215,8 @@ def near_duplicate_groups(documents: DataFrame, similarity: int = SIMILARITY) ->
         ends = edges.select(F.col("a").alias("id")).unionByName(edges.select(F.col("b").alias("id")))
         known = candidates.select(F.col("doc_id").alias("id")).unionByName(ends).distinct()
         labels = components(edges, known.withColumn("label", F.col("id")))
-        uneven = stage(uneven_hubs(apart, labels), "uneven")
+        hubs_left = broadcast_if_small(uneven_hubs(placed(apart, labels)))
+        uneven = stage(apart.join(hubs_left, "hub", "left_semi").drop("linked"), "uneven")
         for turn in range(LEADS):
             edges = stage(lead_links(uneven, labels, similarity, turn), "lead-links")
             if edges.isEmpty():
@@ -235,16 +236,23 @@ def near_duplicate_groups(documents: DataFrame, similarity: int = SIMILARITY) ->
 
 
 def placed(apart: DataFrame, labels: DataFrame) -> DataFrame:
-    """Differences with the components of both sides; ``open`` documents are not in the hub's component."""
+    """Sizes of the differences with the components of both sides, staged without the differences themselves.
+
+    ``open`` documents are not in the hub's component.
+    """
     mine = labels.select(F.col("id").alias("doc_id"), "label")
     hubs = labels.select(F.col("id").alias("hub"), F.col("label").alias("hub_label"))
-    return apart.join(mine, "doc_id").join(hubs, "hub").withColumn("open", F.expr("label <> hub_label"))
+    sizes = apart.select("hub", "doc_id", "n", "n_lacks", "n_adds", "burden")
+    here = sizes.join(mine, "doc_id").join(hubs, "hub").withColumn("open", F.expr("label <> hub_label"))
+    return stage(here.drop("hub_label"), "placed")
 
 
-def uneven_hubs(apart: DataFrame, labels: DataFrame) -> DataFrame:
-    """All differences from hubs that have an open document."""
-    hubs = stage(placed(apart.drop("lacks", "adds"), labels).filter("open").select("hub").distinct(), "hubs")
-    return apart.join(broadcast_if_small(hubs), "hub", "left_semi").drop("linked")
+def uneven_hubs(here: DataFrame) -> DataFrame:
+    """Hubs with an open document and documents of several components, which alone can hold further links."""
+    per_hub = here.groupBy("hub").agg(
+        F.max("open").alias("any_open"), F.min("label").alias("low"), F.max("label").alias("high")
+    )
+    return stage(per_hub.filter("any_open AND low < high").select("hub"), "hubs")
 
 
 def lead_links(apart: DataFrame, labels: DataFrame, similarity: int, turn: int) -> DataFrame:
@@ -253,24 +261,34 @@ def lead_links(apart: DataFrame, labels: DataFrame, similarity: int, turn: int)
     A hub that is far from documents which are alike leaves them all open. Their lead joins them with one
     comparison each, on the differences from the hub: with ``s`` in common two documents are linked if
     (100 + similarity) s >= b1 + b2 - (100 - similarity) n. The first lead is the open document nearest to
-    the hub, later ones are drawn by a hash.
+    the hub, later ones are drawn by a hash. Sizes alone rule most comparisons out; differences are read for
+    the others only.
     """
     here = placed(apart, labels)
     order = F.col("burden") if turn == 0 else F.xxhash64(F.col("doc_id"), F.lit(turn))
     first = here.filter("open").groupBy("hub").agg(F.min(F.struct(order, "doc_id")).alias("first"))
-    chosen = stage(first.select("hub", F.col("first.doc_id").alias("lead")), "leads")
+    chosen = stage(first.select("hub", F.col("first.doc_id").alias("lead")), "chosen")
     leads = here.join(broadcast_if_small(chosen), "hub").filter("doc_id = lead").select(
+        "hub", "lead", *[F.col(c).alias(f"lead_{c}") for c in ("label", "burden", "n_lacks", "n_adds")]
+    )
+    least = F.col("burden") + F.col("lead_burden") - (100 - similarity) * F.col("n")
+    most = F.least("n_lacks", "lead_n_lacks") + F.least("n_adds", "lead_n_adds")
+    near = here.join(broadcast_if_small(stage(leads, "leads")), "hub").filter(
+        (F.col("label") != F.col("lead_label")) & ((100 + similarity) * most >= least)
+    )
+    near = stage(near.select("hub", "doc_id", "lead", least.alias("least")), "near-leads")
+    asked = stage(near.select("hub", F.col("lead").alias("doc_id")).distinct(), "asked")
+    held = apart.select("hub", "doc_id", "lacks", "adds")
+    theirs = held.join(broadcast_if_small(asked), ["hub", "doc_id"]).select(
         "hub",
-        "lead",
-        F.col("label").alias("lead_label"),
-        F.col("burden").alias("lead_burden"),
+        F.col("doc_id").alias("lead"),
         F.col("lacks").alias("lead_lacks"),
         F.col("adds").alias("lead_adds"),
     )
-    near = here.join(broadcast_if_small(stage(leads, "leads")), "hub").filter("label <> lead_label")
+    ours = held.join(broadcast_if_small(near), ["hub", "doc_id"])
+    both = ours.join(broadcast_if_small(stage(theirs, "lead-sets")), ["hub", "lead"])
     common = F.size(F.array_intersect("lacks", "lead_lacks")) + F.size(F.array_intersect("adds", "lead_adds"))
-    least = F.col("burden") + F.col("lead_burden") - (100 - similarity) * F.col("n")
-    alike = near.filter((100 + similarity) * common >= least)
+    alike = both.filter((100 + similarity) * common >= F.col("least"))
     return alike.select(F.col("lead").alias("a"), F.col("doc_id").alias("b")).distinct()
 
 
@@ -289,7 +307,9 @@ def crossing(apart: DataFrame, labels: DataFrame, similarity: int) -> DataFrame:
     pairs. The number of shared differences is bounded by those not held once.
     """
     here = placed(apart, labels)
-    features = here.select(
+    here = here.join(broadcast_if_small(uneven_hubs(here)), "hub", "left_semi")
+    marks = stage(here.select("hub", "doc_id", "open"), "marks")
+    features = apart.join(broadcast_if_small(marks), ["hub", "doc_id"]).select(
         "hub",
         "doc_id",
         "open",
@@ -305,7 +325,7 @@ def crossing(apart: DataFrame, labels: DataFrame, similarity: int) -> DataFrame:
             "held": F.count("*").over(mine),
         }
     )
-    facts = here.select("hub", "doc_id", "label", "open", "n", "burden")
+    facts = here.select("hub", "doc_id", "label", "open", "n", "n_lacks", "n_adds", "burden")
     limits = facts.withColumns(
         {
             "shared": F.expr(f"floor(burden / {100 + similarity}) + 1"),
@@ -315,17 +335,15 @@ def crossing(apart: DataFrame, labels: DataFrame, similarity: int) -> DataFrame:
         }
     )
     cut = ranked.drop("open").join(limits, ["hub", "doc_id"])
-    left = cut.filter("rank <= held - shared + 1").select(*key, "doc_id", "label", "burden", "held")
+    sizes = ["label", "n_lacks", "n_adds", "held"]
+    left = cut.filter("rank <= held - shared + 1").select(*key, "doc_id", *sizes)
     right = cut.filter("open AND rank <= held - shared_open + 1").select(
-        *key,
-        F.col("doc_id").alias("other"),
-        F.col("label").alias("other_label"),
-        F.col("burden").alias("other_burden"),
-        F.col("held").alias("other_held"),
-        "n",
+        *key, F.col("doc_id").alias("other"), *[F.col(c).alias(f"other_{c}") for c in sizes], "n"
     )
-    least = F.col("burden") + F.col("other_burden") - (100 - similarity) * F.col("n")
-    enough = (100 + similarity) * F.least("held", "other_held") >= least
+    lacking, adding = F.col("n_lacks") + F.col("other_n_lacks"), F.col("n_adds") + F.col("other_n_adds")
+    least = 100 * lacking + similarity * adding - (100 - similarity) * F.col("n")
+    common = F.least("n_lacks", "other_n_lacks") + F.least("n_adds", "other_n_adds")
+    enough = (100 + similarity) * F.least("held", "other_held", common) >= least
     pairs = left.join(right, key).filter((F.col("label") != F.col("other_label")) & enough)
     return pairs.select(F.least("doc_id", "other").alias("a"), F.greatest("doc_id", "other").alias("b")).distinct()
 
