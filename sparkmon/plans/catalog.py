@@ -25,6 +25,7 @@ from sparkmon.plans.telemetry import as_events, surrogate_probability, telemetry
 from sparkmon.plans.train import train
 from sparkmon.session import fresh_dir, stage
 from sparkmon.sources import files, sinks, wire
+from sparkmon.streaming.open_windows import all_windows
 from sparkmon.streaming.queries import (
     late_rows_dropped,
     start_model_scores,
@@ -431,6 +432,13 @@ def stream_window_metrics(spark: SparkSession, folder: str) -> DataFrame:
     return files.read_window_metrics(spark, f"{root}/data").withColumns(times)
 
 
+def stream_window_metrics_closed(spark: SparkSession, folder: str) -> DataFrame:
+    """All windows at the end of the source: those the watermark closed, and the others from the stream's state."""
+    root, _ = window_stream(spark, folder)
+    times = {c: F.col(c).cast("timestamp_ntz") for c in ("window_start", "window_end")}
+    return all_windows(spark, f"{root}/data", f"{root}/checkpoint").withColumns(times)
+
+
 def stream_late(spark: SparkSession, folder: str) -> DataFrame:
     """Events in finished windows, and rows dropped behind the watermark."""
     root, query = window_stream(spark, folder)
@@ -686,6 +694,7 @@ PLANS: dict[str, Plan] = {
     "quarantine": quarantine,
     "event_files": event_files,
     "stream_window_metrics": stream_window_metrics,
+    "stream_window_metrics_closed": stream_window_metrics_closed,
     "stream_late": stream_late,
     "stream_alerts": stream_alerts,
     "stream_alerts_replayed": stream_alerts_replayed,

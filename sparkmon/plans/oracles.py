@@ -199,6 +199,7 @@ FAULT_NAME = "CASE fault_k " + " ".join(f"WHEN {i} THEN '{f}'" for i, f in enume
 FINISHED = (
     "WHERE window_end <= (SELECT date_trunc('milliseconds', max(event_time)) - INTERVAL '2 minutes' FROM tel)"
 )
+IS_FINISHED = FINISHED.removeprefix("WHERE ")
 BOUNDS = f"(SELECT min({DAY}) AS low, max({DAY}) AS high FROM tel)"
 PART = (
     f"CAST(({DAY} - (SELECT low FROM {BOUNDS})) // "
@@ -311,6 +312,8 @@ ORACLES: dict[str, str] = {
     "event_files": f"{VIEW} SELECT machine_type, count(*) AS n, true AS within_limit, true AS in_order FROM tel "
     "GROUP BY 1 ORDER BY n DESC, machine_type",
     "stream_window_metrics": f"{VIEW} SELECT * FROM ({WINDOWS.format(w='1 minute', avgs=averages())}) {FINISHED}",
+    "stream_window_metrics_closed": f"{VIEW} SELECT *, {IS_FINISHED} AS closed "
+    f"FROM ({WINDOWS.format(w='1 minute', avgs=averages())})",
     "stream_late": f"{VIEW} SELECT CAST(sum(events) AS BIGINT) AS events, CAST(1 AS BIGINT) AS late_rows "
     f"FROM ({WINDOWS.format(w='1 minute', avgs=averages())}) {FINISHED}",
     "stream_alerts": f"{ALERTS} SELECT {EVENT_COLUMNS}, {SENSOR_LIST}, {rounded(['anomaly_prob'])}, "

@@ -14,6 +14,7 @@ from sparkmon.plans.run import Layout, report, start_streams
 from sparkmon.sources import files
 from sparkmon.plans.telemetry import as_events, surrogate_probability
 from sparkmon.sources.wire import encode
+from sparkmon.streaming.open_windows import all_windows, open_windows
 from sparkmon.streaming.queries import late_rows_dropped, process_batch, start_window_metrics
 
 
@@ -52,6 +53,36 @@ def test_windows_equal_batch_up_to_the_watermark(spark, run):
     assert got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0
 
 
+def test_open_windows_complete_the_finished_ones(spark, run):
+    root, layout, _, _ = run
+    want = window_metrics(files.read_json(spark, str(root / "in")))
+    got = all_windows(spark, layout.windows, layout.checkpoint("windows"))
+    assert got.filter("NOT closed").count() > 0
+    got = got.drop("closed")
+    assert got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0
+
+
+def test_open_windows_follow_a_restarted_stream(spark, events, tmp_path):
+    """Null sensors, a window that goes on after a restart, and one that closes then."""
+    rows = as_events(events).filter("CAST(event_id AS INT) < 40").withColumn(
+        "power_kw", F.when(F.col("event_id").cast("int") % 3 > 0, F.col("power_kw"))
+    )
+    (tmp_path / "in").mkdir()
+    checkpoint, data = str(tmp_path / "checkpoint"), str(tmp_path / "data")
+    seen = []
+    for number, part in enumerate(("CAST(event_id AS INT) < 25", "CAST(event_id AS INT) >= 25")):
+        lines = [r["value"] for r in encode(rows.filter(part)).collect()]
+        (tmp_path / "in" / f"part-{number}.json").write_text("\n".join(lines))
+        stream = files.stream_json(spark, str(tmp_path / "in"))
+        start_window_metrics(stream, data, checkpoint, window="10 minutes").awaitTermination()
+        want = window_metrics(files.read_json(spark, str(tmp_path / "in")), "10 minutes")
+        got = all_windows(spark, data, checkpoint).drop("closed")
+        assert got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0
+        seen.append({tuple(r) for r in open_windows(spark, checkpoint).select("window_start", "site", "machine_type").collect()})
+    finished = {tuple(r) for r in files.read_window_metrics(spark, data).select("window_start", "site", "machine_type").collect()}
+    assert seen[0] & finished and seen[1] and not seen[1] & finished
+
+
 def test_each_micro_batch_owns_one_folder(spark, run):
     _, layout, _, _ = run
     log = files.read_drift_log(spark, layout.drift).orderBy("batch_id").collect()
