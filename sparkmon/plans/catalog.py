@@ -41,6 +41,9 @@ TRAIN_END = date(2024, 1, 19)
 EPOCH = date(1970, 1, 1)
 #: Parts in which the events arrive at the streams; each is one micro-batch of a restarted query.
 STREAM_PARTS = 3
+#: Rows per JSON file the streams are fed with. Listing, opening and committing cost a file as much as a hundred
+#: thousand rows, so files of ``K.EVENTS_PER_FILE`` rows would cost more than the rows in them.
+DELIVERED_PER_FILE = 500_000
 CURSOR = 500
 TOP_N = 50
 DAY = ["batch_id"]
@@ -523,9 +526,12 @@ def stream_drift(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def end_to_end_summary(spark: SparkSession, folder: str) -> DataFrame:
-    """JSON files through both streams with the surrogate score, then incidents and the summary."""
+    """JSON files through both streams with the surrogate score, then incidents and the summary.
+
+    The files arrive in ``STREAM_PARTS`` micro-batches, which grow with the events; their number does not.
+    """
     root = fresh_dir(spark, "end-to-end")
-    sinks.write_event_files(as_events(view(spark, folder)), f"{root}/in")
+    written = sinks.write_event_files(as_events(view(spark, folder)), f"{root}/in", DELIVERED_PER_FILE)
     row = run_files(
         spark,
         f"{root}/in",
@@ -533,6 +539,7 @@ def end_to_end_summary(spark: SparkSession, folder: str) -> DataFrame:
         stage(feature_reference(spark, folder), "reference"),
         files.packaged_guides(spark),
         f"{root}/run",
+        max_files=max(1, -(-written // STREAM_PARTS)),
     )
     return summary_text(row).drop("drift_batches", "max_drift_z_end", "drifted_at_end")
 

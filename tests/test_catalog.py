@@ -8,6 +8,7 @@ from __spark_entry__ import entry
 from sparkmon.plans import catalog
 from sparkmon.plans.catalog import PLANS
 from sparkmon.plans.oracles import ORACLES
+from sparkmon.streaming import queries
 from tests.oracle_check import differences
 
 # Quality floors hold from some thousand events on.
@@ -68,3 +69,25 @@ def test_entry_reports_incidents(spark):
     df = entry(spark)
     assert {"event_id", "likely_cause", "recommended_action"} <= set(df.columns)
     assert df.count() > 0
+
+
+def many_events(spark, path, rows=20_000):
+    """Readings over ten days, far more than ``K.EVENTS_PER_FILE``."""
+    columns = [
+        "id AS event_id",
+        "timestamp_ntz'2024-01-10 00:00:00' + make_dt_interval(0, 0, 0, id * 40) AS ts",
+        "id % 90 AS user_id",
+        "IF(id % 7 = 0, 'error', 'view') AS event_type",
+        "0D AS value",
+        "'' AS props",
+    ]
+    spark.range(rows).selectExpr(*columns).write.parquet(f"{path}/events.parquet")
+    return str(path)
+
+
+def test_end_to_end_batches_do_not_grow_with_the_events(spark, tmp_path, monkeypatch):
+    batches, process = [], queries.process_batch
+    monkeypatch.setattr(queries, "process_batch", lambda *a, **k: batches.append(a[1]) or process(*a, **k))
+    row = PLANS["end_to_end_summary"](spark, many_events(spark, tmp_path)).first()
+    assert row.n_events == 20_000 and row.n_alerts == row.n_incidents > 0
+    assert 0 < len(batches) <= 2 * catalog.STREAM_PARTS
