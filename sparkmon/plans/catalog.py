@@ -415,7 +415,7 @@ def late_event(events: DataFrame) -> DataFrame:
 def deliver(parts: list[DataFrame], root: str, start: Callable[[DataFrame], StreamingQuery]) -> StreamingQuery:
     """Write one part after the other as JSON files; the query restarts from its checkpoint each time."""
     for number, part in enumerate(parts):
-        sinks.write_event_files(part, f"{root}/in/part-{number}")
+        sinks.write_event_files(part, f"{root}/in/part-{number}", DELIVERED_PER_FILE)
         query = start(files.stream_json(part.sparkSession, f"{root}/in/*", max_files=None))
         query.awaitTermination()
     return query

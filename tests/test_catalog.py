@@ -91,3 +91,12 @@ def test_end_to_end_batches_do_not_grow_with_the_events(spark, tmp_path, monkeyp
     row = PLANS["end_to_end_summary"](spark, many_events(spark, tmp_path)).first()
     assert row.n_events == 20_000 and row.n_alerts == row.n_incidents > 0
     assert 0 < len(batches) <= 2 * catalog.STREAM_PARTS
+
+
+@pytest.mark.parametrize("name", ["stream_late", "stream_late_rows"])
+def test_streams_are_fed_with_few_files(spark, tmp_path, monkeypatch, name):
+    counts, write = [], catalog.sinks.write_event_files
+    monkeypatch.setattr(catalog.sinks, "write_event_files", lambda *a: counts.append(write(*a)) or counts[-1])
+    folder = many_events(spark, tmp_path)
+    assert PLANS[name](spark, folder).count() == 1
+    assert len(counts) == catalog.STREAM_PARTS and sum(counts) <= 4 * catalog.STREAM_PARTS
