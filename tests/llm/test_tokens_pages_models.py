@@ -466,3 +466,24 @@ def test_pipeline_stages_on_odd_rows(spark, folder):
         expected = one_each if name == "near_duplicates" else rows
         assert sorted(got, key=str) == sorted(expected, key=str)
         assert step(spark, docs.limit(0), folder).isEmpty()
+
+
+def test_texts_do_not_move_when_toxic_rows_are_dropped(spark):
+    """Without broadcasts, as for many rejected rows; a column is named like one of the scorer."""
+    docs = spark.range(400).selectExpr(
+        "IF(id % 50 = 7, NULL, id) AS doc_id",
+        "int(id) AS score",
+        "concat(IF(id % 2 = 0, 'vile', 'kind'), ' word w', id, ' v', id * 7 % 101) AS text",
+    )
+    labels = spark.range(400).selectExpr("id AS doc_id", "1 - id % 2 AS toxic")
+    scores = toxicity.toxicity(docs, labels, whole=True)
+    assert {(r.text[:4], r.row.score % 2, r.predicted) for r in scores.collect()} == {("vile", 0, 1), ("kind", 1, 0)}
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        table, corpus_pipeline.table = corpus_pipeline.table, lambda *_: labels
+        left = corpus_pipeline.drop_toxic(spark, docs, "")
+    finally:
+        corpus_pipeline.table = table
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert left.columns == docs.columns and "Exchange" not in left._jdf.queryExecution().executedPlan().toString()
+    assert sorted(r.score for r in left.collect()) == list(range(1, 400, 2))
