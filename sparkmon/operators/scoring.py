@@ -38,6 +38,15 @@ def hash_split(
     return Split(df.filter(bucket < cut), df.filter(bucket >= cut))
 
 
+def spread(rows: DataFrame) -> DataFrame:
+    """The rows dealt evenly over all cores, however few files or row groups they come from.
+
+    For rows that are persisted and read by every step of a fit.
+    """
+    cores = rows.sparkSession.sparkContext.defaultParallelism
+    return rows.repartition(max(cores, rows.rdd.getNumPartitions()))
+
+
 def is_scorable() -> Column:
     """Rows the feature assembler accepts: no sensor is NULL or NaN."""
     return F.expr(" AND ".join(f"{valid_sql(s)} IS NOT NULL" for s in K.SENSORS))

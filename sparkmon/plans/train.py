@@ -38,7 +38,7 @@ def train(
     """Tune on the training side of a hash split and evaluate on the other side."""
     rows = events.filter(scoring.is_scorable()).select(scoring.INPUT_COLUMNS)
     split = scoring.hash_split(rows)
-    training = split.train.persist(StorageLevel.MEMORY_AND_DISK)
+    training = scoring.spread(split.train).persist(StorageLevel.MEMORY_AND_DISK)
     try:
         tuned = scoring.cross_validate(
             training, depths, folds, gbt=scoring.classifier(maxIter=iterations)
@@ -48,7 +48,7 @@ def train(
         n_train = training.count()
     finally:
         training.unpersist()
-    predictions = scoring.score(model, split.test).persist(StorageLevel.MEMORY_AND_DISK)
+    predictions = scoring.score(model, scoring.spread(split.test)).persist(StorageLevel.MEMORY_AND_DISK)
     try:
         auc = evaluate.roc_auc(predictions)
         quality = evaluate.confusion(predictions).select(

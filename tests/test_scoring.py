@@ -127,3 +127,17 @@ def test_exact_auc_counts_pairs(spark):
     wins = sum((a > b) + 0.5 * (a == b) for a in pos for b in neg)
     got = evaluate.roc_auc(predictions(spark, rows), "p", exact=True)
     assert got == pytest.approx(wins / (len(pos) * len(neg)), abs=1e-12)
+
+
+def test_a_fit_uses_all_cores(spark, rows, monkeypatch):
+    """Also where the rows come from one file or row group."""
+    seen = []
+
+    def looked_at(training, *args, **options):
+        seen.extend(training.rdd.glom().map(len).collect())
+        raise InterruptedError
+
+    monkeypatch.setattr(scoring, "cross_validate", looked_at)
+    with pytest.raises(InterruptedError):
+        train(rows.coalesce(1))
+    assert len(seen) >= spark.sparkContext.defaultParallelism and min(seen) > 0
