@@ -572,7 +572,7 @@ def feature_vectors(spark: SparkSession, folder: str) -> DataFrame:
 
 def gbt_predictions(spark: SparkSession, folder: str) -> DataFrame:
     split = training_split(spark, folder)
-    training = split.train.persist(StorageLevel.MEMORY_AND_DISK)
+    training = scoring.spread(split.train).persist(StorageLevel.MEMORY_AND_DISK)
     try:
         model = scoring.fit(training)
     finally:
@@ -618,7 +618,7 @@ def model_reload(spark: SparkSession, folder: str) -> DataFrame:
     """Scores that differ after a model was saved and loaded again, over all events."""
     path = fresh_dir(spark, "model")
     events = view(spark, folder)
-    training = training_split(spark, folder).train.persist(StorageLevel.MEMORY_AND_DISK)
+    training = scoring.spread(training_split(spark, folder).train).persist(StorageLevel.MEMORY_AND_DISK)
     try:
         model = scoring.fit(training, scoring.classifier(maxIter=2))
     finally:
@@ -640,7 +640,7 @@ def stream_model_scores(spark: SparkSession, folder: str) -> DataFrame:
     """
     root = fresh_dir(spark, "stream-model")
     registry = f"{root}/models"
-    training = training_split(spark, folder).train.persist(StorageLevel.MEMORY_AND_DISK)
+    training = scoring.spread(training_split(spark, folder).train).persist(StorageLevel.MEMORY_AND_DISK)
     try:
         models = {v: scoring.fit(training, scoring.classifier(maxIter=v)) for v in (1, 2)}
     finally:
