@@ -29,6 +29,12 @@ def is_content(token: str, stop_words: list[str] | None = None) -> Column:
     return F.expr(f"`{token}` NOT IN ({listed})")
 
 
+def content(text: str | Column, stop_words: list[str] | None = None) -> Column:
+    """The tokens of the whole text that are no stop words, in order, with repeats."""
+    stop = K.STOP_WORDS if stop_words is None else stop_words
+    return F.filter(tokens(text), lambda token: ~token.isin(list(stop))) if stop else tokens(text)
+
+
 def strip(text: Column) -> Column:
     return F.btrim(text, F.lit(WHITESPACE))
 

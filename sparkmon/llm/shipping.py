@@ -1,24 +1,5 @@
-"""Makes this package importable on the executors."""
+"""The shipping of the package, under the name by which the corpus operators know it."""
 
-import shutil
-import tempfile
-from pathlib import Path
+from sparkmon.shipping import ship
 
-from pyspark.sql import SparkSession
-
-import sparkmon
-
-_SHIPPED: set[str] = set()
-
-
-def ship(spark: SparkSession) -> None:
-    """Send the package to the executors once per application, if it lies in a plain folder."""
-    package = Path(sparkmon.__file__).resolve().parent
-    context = spark.sparkContext
-    if context.applicationId in _SHIPPED or not package.is_dir():
-        return
-    archive = shutil.make_archive(
-        f"{tempfile.mkdtemp(prefix='sparkmon-')}/sparkmon", "zip", package.parent, package.name
-    )
-    context.addPyFile(archive)
-    _SHIPPED.add(context.applicationId)
+__all__ = ["ship"]

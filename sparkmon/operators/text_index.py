@@ -1,8 +1,9 @@
 """Inverted TF-IDF index on shared storage: built once, merged from increments, searched with pruning.
 
-Postings are clustered by token and falling impact, the document's own unit-length weight of the token, so
-a scan for a token above some impact reads few row groups. Increments keep their raw counts; merging adds up
-document frequencies and weighs the counts anew, without reading a text or copying a count.
+Each file of postings is ordered by token and falling impact, the document's own unit-length weight of the token,
+and a token lies in one file unless it is very frequent, so a scan for a token above some impact reads few row
+groups. Increments keep their raw counts, a row per document; merging adds up document frequencies and weighs the
+counts anew, without reading a text or copying a count.
 """
 
 from dataclasses import dataclass
@@ -11,14 +12,16 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from sparkmon.functions.text import is_content, tokens
+from sparkmon.functions.text import content, is_content, tokens
+from sparkmon.operators.posting_blocks import Frequent, count_documents, count_tokens, merge_blocks
 from sparkmon.session import broadcast_if_small, stage
+from sparkmon.shipping import ship
 
 SCORE_DECIMALS = 9
 #: What rounding of scores may add to a bound.
 SLACK = 1e-8
-#: A token from a ``1 / HOT_TOKENS`` share of all postings on is looked up in place; so many there are at most.
-HOT_TOKENS = 20_000
+#: So many tokens, the most frequent ones, are looked up in place.
+HOT_TOKENS = 200_000
 #: Squared weight of the rarest tokens of a query that are summed up to raise its threshold.
 LEAD = 0.25
 
@@ -41,7 +44,7 @@ class TextIndex:
     @property
     def counts(self) -> DataFrame:
         """``doc, token, tf`` of all increments."""
-        return self.spark.read.parquet(*self.segments)
+        return self.spark.read.parquet(*self.segments).select("doc", F.inline(F.arrays_zip("token", "tf")))
 
     @property
     def size(self) -> DataFrame:
@@ -55,7 +58,12 @@ class TextIndex:
     @property
     def postings(self) -> DataFrame:
         """``token, impact, doc``."""
-        return self._read("postings")
+        return self._read("postings").select("token", F.inline(F.arrays_zip("impact", "doc")))
+
+
+def _width(spark: SparkSession) -> int:
+    """The shuffle width, asked for by number: few bytes of text or postings are much work, so tasks stay apart."""
+    return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
 def build_index(
@@ -65,20 +73,17 @@ def build_index(
 
     The texts are shuffled once, by document, and read no more.
     """
-    counted = (
-        corpus.select(F.col(doc_id).alias("doc"), F.col(text).alias("text"))
-        .filter("doc IS NOT NULL")
-        .repartition("doc")
-        .select("doc", F.explode(tokens("text")).alias("token"))
-        .filter(is_content("token", stop_words))
-        .groupBy("doc", "token")
-        .agg(F.count(F.lit(1)).alias("tf"))
-    )
-    counted.write.parquet(f"{path}/counts")
     spark = corpus.sparkSession
+    ship(spark)
+    texts = corpus.select(F.col(doc_id).alias("doc"), F.col(text).alias("text")).filter("doc IS NOT NULL")
+    words = texts.repartition(_width(spark), "doc").sortWithinPartitions("doc").select("doc", content("text", stop_words).alias("token"))
+    kind = texts.schema["doc"].dataType.simpleString()
+    counted = words.mapInArrow(count_tokens, f"doc {kind}, token array<string>, tf array<bigint>")
+    counted.write.parquet(f"{path}/counts")
     size = stage(corpus.agg(F.count(F.lit(1)).alias("n")), "corpus-size")
     counts = spark.read.schema(counted.schema).parquet(f"{path}/counts")
-    frequencies = counts.groupBy("token").agg(F.count(F.lit(1)).alias("df"))
+    frequencies = counts.select("token").mapInArrow(count_documents, "token string, df bigint")
+    frequencies = frequencies.groupBy("token").agg(F.sum("df").alias("df"))
     return _weigh(spark, path, [f"{path}/counts"], size, frequencies)
 
 
@@ -103,27 +108,37 @@ def _weigh(
     """Weigh the counts of all segments and write terms and postings.
 
     Frequent tokens are looked up in place, from a list whose length ``HOT_TOKENS`` bounds; a rare one holds so
-    small a share that no partition of the shuffled join stands out. Norms need no join: the postings
-    of a document meet in one window. The range of token and impact deals a frequent token to several tasks.
+    small a share that no partition of the shuffled join stands out. Norms meet the counts a row per document.
+    The frequent tokens are transposed where their documents lie, so blocks of postings are shuffled and not
+    single ones; slices of falling impact deal the most frequent tokens to several tasks.
     """
+    ship(spark)
     spark.createDataFrame([(s,) for s in segments], "path string").coalesce(1).write.parquet(f"{path}/segments")
     size.coalesce(1).write.parquet(f"{path}/size")
     n = spark.read.parquet(f"{path}/size").select("n").scalar()
     idf = stage(frequencies.select("token", "df", (F.log((1 + n) / (1 + F.col("df"))) + 1).alias("idf")), "idf")
-    cutoff = idf.select(F.coalesce(F.sum("df") / HOT_TOKENS, F.lit(0.0))).scalar()
-    hot = stage(idf.filter(F.col("df") >= cutoff).select("token", "idf"), "hot-idf")
-    cold = idf.filter(F.col("df") < cutoff).select("token", F.col("idf").alias("cold_idf"))
+    listed = stage(idf.orderBy(F.desc("df"), "token").limit(HOT_TOKENS), "hot-idf")
+    hot = Frequent(listed.toArrow())
     counts = spark.read.parquet(*segments)
-    placed = counts.join(F.broadcast(hot), "token", "left")
-    raw = (F.col("tf") * F.col("idf")).alias("raw")
-    rare = placed.filter("idf IS NULL").join(cold, "token").withColumn("idf", F.col("cold_idf"))
-    weighed = placed.filter("idf IS NOT NULL").select("doc", "token", raw).unionByName(rare.select("doc", "token", raw))
-    norm = F.sqrt(F.sum(F.col("raw") * F.col("raw")).over(Window.partitionBy("doc")))
-    impacts = weighed.select("token", (F.col("raw") / norm).alias("impact"), "doc")
-    order = [F.col("token"), F.col("impact").desc(), F.col("doc")]
-    impacts.repartitionByRange(*order).sortWithinPartitions(*order).write.parquet(f"{path}/postings")
-    best = F.min(F.struct((-F.col("impact")).alias("negated"), "doc")).alias("best")
-    bounds = spark.read.schema(impacts.schema).parquet(f"{path}/postings").groupBy("token").agg(best)
+    kind = counts.schema["doc"].dataType.simpleString()
+    parts = stage(counts.mapInArrow(hot.squares, f"doc {kind}, token string, tf bigint, square double"), "squares")
+    cold = idf.join(listed.select("token"), "token", "left_anti").select("token", "idf")
+    rare = parts.filter("token IS NOT NULL").join(cold, "token")
+    rare = stage(rare.select("doc", "token", (F.col("tf") * F.col("idf")).alias("raw")), "rare")
+    squares = parts.filter("token IS NULL").select("doc", "square")
+    squares = squares.unionByName(rare.select("doc", (F.col("raw") * F.col("raw")).alias("square")))
+    norms = stage(squares.groupBy("doc").agg(F.sqrt(F.sum("square")).alias("norm")), "norms")
+    shape = f"token string, slice bigint, impact array<double>, doc array<{kind}>"
+    blocks = counts.join(norms, "doc").select("doc", "norm", "token", "tf").mapInArrow(hot.blocks, shape)
+    impact, doc = F.array(F.col("raw") / F.col("norm")).alias("impact"), F.array("doc").alias("doc")
+    singles = rare.join(norms, "doc").select("token", F.lit(0).cast("bigint").alias("slice"), impact, doc)
+    order = ["token", "slice"]
+    dealt = blocks.unionByName(singles).repartition(_width(spark), *order).sortWithinPartitions(*order)
+    shape = f"token string, bound double, best_doc {kind}, impact array<double>, doc array<{kind}>"
+    postings = dealt.mapInArrow(merge_blocks, shape)
+    postings.write.parquet(f"{path}/postings")
+    best = F.min(F.struct((-F.col("bound")).alias("negated"), F.col("best_doc").alias("doc"))).alias("best")
+    bounds = spark.read.schema(postings.schema).parquet(f"{path}/postings").groupBy("token").agg(best)
     bounds = bounds.select("token", (-F.col("best.negated")).alias("bound"), F.col("best.doc").alias("best_doc"))
     idf.join(bounds, "token").write.parquet(f"{path}/terms")
     return TextIndex(spark, path)

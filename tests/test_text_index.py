@@ -2,10 +2,11 @@
 
 import random
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from sparkmon.operators import text_index
+from sparkmon.operators import posting_blocks, text_index
 from sparkmon.operators.text_index import best_documents, build_index, candidate_pairs, merge_indexes, query_plan
 from sparkmon.session import stage
 from tests.test_retrieval import brute
@@ -102,3 +103,46 @@ def test_an_empty_corpus_has_no_best_documents(spark, texts, tmp_path):
     corpus, asked = frames(spark, texts)
     index = build_index(corpus.limit(0), "id", "body", str(tmp_path / "index"))
     assert best_documents(index, asked, "q", "words").collect() == [] and index.terms.count() == 0
+
+
+def test_postings_are_shuffled_and_kept_as_lists(spark, texts, tmp_path, monkeypatch):
+    corpus, _ = frames(spark, texts)
+    for hot in (200_000, 50):
+        monkeypatch.setattr(text_index, "HOT_TOKENS", hot)
+        index = build_index(corpus, "id", "body", str(tmp_path / f"index{hot}"))
+        lists = spark.read.parquet(f"{index.path}/postings")
+        assert lists.count() == index.terms.count() < index.postings.count() / 5
+        assert lists.filter("bound <> impact[0] OR best_doc <> doc[0]").count() == 0
+
+
+def test_texts_that_share_an_id_are_one_document(spark, tmp_path):
+    """Also where they come in different batches."""
+    rows_of_7 = [(7, f"aa b{i % 3}") for i in range(10)]
+    corpus = spark.createDataFrame([*rows_of_7, (1, "aa"), (8, "aa cc"), (9, None), (None, "aa")], "id long, body string")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", 2)
+    try:
+        index = build_index(corpus, "id", "body", str(tmp_path / "index"))
+        counted = {(r.doc, r.token): r.tf for r in index.counts.collect()}
+        assert index.counts.count() == len(counted)
+        assert counted == {(7, "aa"): 10, (7, "b0"): 4, (7, "b1"): 3, (7, "b2"): 3, (1, "aa"): 1, (8, "aa"): 1, (8, "cc"): 1}
+        assert {r.token: r.df for r in index.terms.collect()} == {"aa": 3, "b0": 1, "b1": 1, "b2": 1, "cc": 1}
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+
+
+def test_slices_of_frequent_tokens_and_pieces_of_long_lists(spark, texts, tmp_path, monkeypatch):
+    corpus, _ = frames(spark, texts)
+    whole = build_index(corpus, "id", "body", str(tmp_path / "whole"))
+    monkeypatch.setattr(posting_blocks, "SLICED", 10)
+    monkeypatch.setattr(posting_blocks, "PIECE", 3)
+    hot = posting_blocks.Frequent(whole.terms.select("token", "idf", "df").toArrow())
+    norms = whole.counts.join(whole.terms, "token").groupBy("doc").agg(F.sqrt(F.sum(F.expr("pow(tf * idf, 2)"))).alias("norm"))
+    counts = spark.read.parquet(*whole.segments).join(norms, "doc").select("doc", "norm", "token", "tf").toArrow()
+    blocks = pa.Table.from_batches(hot.blocks(counts.to_batches(max_chunksize=40)))
+    blocks = blocks.sort_by([("token", "ascending"), ("slice", "ascending")])
+    merged = pa.Table.from_batches(posting_blocks.merge_blocks(blocks.to_batches(max_chunksize=50))).to_pylist()
+    assert max(r["slice"] for r in blocks.to_pylist()) > 0 and max(len(r["doc"]) for r in merged) == 3
+    flat = [(r["token"], i, d) for r in merged for i, d in zip(r["impact"], r["doc"], strict=True)]
+    expected = sorted(rows(whole.postings, "token", "impact", "doc"), key=lambda r: (r[0], -r[1], r[2]))
+    assert [(t, round(-i, 9)) for t, i, _ in flat] == [(t, round(-i, 9)) for t, i, _ in expected]
+    assert sorted((t, d) for t, _, d in flat) == sorted((t, d) for t, _, d in expected)
