@@ -60,6 +60,11 @@ class TextIndex:
         """``token, impact, doc``."""
         return self._read("postings").select("token", F.inline(F.arrays_zip("impact", "doc")))
 
+    def postings_of(self, tokens: DataFrame) -> DataFrame:
+        """``token, impact, doc`` of staged tokens; lists of other tokens are not taken apart."""
+        lists = self._read("postings").join(broadcast_if_small(tokens), "token", "left_semi")
+        return lists.select("token", F.inline(F.arrays_zip("impact", "doc")))
+
 
 def _width(spark: SparkSession) -> int:
     """The shuffle width, asked for by number: few bytes of text or postings are much work, so tasks stay apart."""
@@ -205,7 +210,8 @@ def partial_sums(index: TextIndex, plan: DataFrame, thresholds: DataFrame, query
         }
     ).filter("alive")
     columns = [query_id, "token", "weight", "rest_sum", "rest_mass", "floor", "idle_sum", "idle_mass"]
-    met = index.postings.join(broadcast_if_small(stage(live.select(columns), "live")), "token")
+    live = stage(live.select(columns), "live")
+    met = index.postings_of(live.select("token")).join(broadcast_if_small(live), "token")
     sums = met.groupBy(query_id, "doc").agg(
         F.sum(F.col("weight") * F.col("impact")).alias("got"),
         F.sum(F.col("impact") * F.col("impact")).alias("used"),
@@ -225,8 +231,7 @@ def exact_scores(index: TextIndex, plan: DataFrame, pairs: DataFrame, query_id:
     """``query_id, doc, score`` of staged pairs, from the postings of their documents alone."""
     documents = stage(pairs.select("doc").distinct(), "candidates")
     wanted = stage(plan.select("token").distinct(), "query-tokens")
-    postings = index.postings.join(broadcast_if_small(wanted), "token", "left_semi")
-    postings = postings.join(broadcast_if_small(documents), "doc", "left_semi")
+    postings = index.postings_of(wanted).join(broadcast_if_small(documents), "doc", "left_semi")
     asked = pairs.join(plan.select(query_id, "token", "weight"), query_id)
     total = F.round(F.sum(F.col("weight") * F.col("impact")), SCORE_DECIMALS)
     return asked.join(postings, ["token", "doc"]).groupBy(query_id, "doc").agg(total.alias("score"))
