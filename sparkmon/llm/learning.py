@@ -22,6 +22,8 @@ from sparkmon.session import stage
 
 HASH_BITS = 18
 SAMPLE_ROWS = 24_000
+#: The staged sample has one file at most for so many of the rows it is bounded by.
+FILE_ROWS = 1_000
 FEATURES = 20_000
 LEAST_DOCUMENTS = 3
 LEAST_DISTANCE = 6.0
@@ -104,7 +106,9 @@ def examples(documents: DataFrame, labels: DataFrame, shapes: bool, rows: int =
     found = texts.join(sample, "doc_id").select("label", "text")
     hashed_texts = found.mapInArrow(_examples(shapes), EXAMPLE)
     # Copies would pass for many independent documents.
-    return stage(hashed_texts.groupBy("features").agg(F.max("label").alias("label")), "examples")
+    single = hashed_texts.groupBy("features").agg(F.max("label").alias("label"))
+    # A file for each of many shuffle partitions would cost executors more memory than the bounded sample.
+    return stage(single.coalesce(-(-rows // FILE_ROWS)), "examples")
 
 
 def telling_features(found: DataFrame) -> DataFrame:

@@ -376,6 +376,29 @@ def test_classifiers_without_labels_and_with_awkward_rows(spark):
     assert toxicity.toxicity(docs.filter("false"), odd).count() == 0
 
 
+def test_sample_of_many_shuffle_partitions_is_staged_in_few_files(spark):
+    """All its rows are there, equal sets of features once."""
+    docs = spark.range(2000).selectExpr("id AS doc_id", "concat('word', id % 1500, ' common') AS text")
+    labels = spark.range(2000).selectExpr("id AS doc_id", "int(id % 3) AS label")
+    held = {"spark.sql.shuffle.partitions": "60", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    before = {key: spark.conf.get(key) for key in held}
+    for key, value in held.items():
+        spark.conf.set(key, value)
+    try:
+        found = learning.examples(docs, labels, shapes=True)
+        assert len(found.inputFiles()) <= 24
+        rows = found.collect()
+    finally:
+        for key, value in before.items():
+            spark.conf.set(key, value)
+    whole = learning.Features(True)
+    expected = {}
+    for n in range(2000):
+        features = tuple(whole.of(b"word%d common" % (n % 1500)).tolist())
+        expected[features] = max(n % 3, expected.get(features, 0))
+    assert len(rows) == len(expected) and {tuple(r.features): r.label for r in rows} == expected
+
+
 def test_machine_learns_a_pair_that_weights_cannot():
     """Label 1 only if both or neither of two features are there."""
     rng = np.random.default_rng(1)
